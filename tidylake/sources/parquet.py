@@ -16,14 +16,18 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema=None,
     Pass ``schema`` (including the partition columns) to fix partition column
     types: otherwise Spark infers them from the folder names, so ``ano=2020``
     is read back as an integer while ``ano=unknown`` turns the column into a
-    string.  Filters on partition columns prune folders (``PartitionFilters``)
+    string.  With ``schema`` the columns come in its order.  Filters on partition columns prune folders (``PartitionFilters``)
     and filters on data columns are pushed to the reader (``PushedFilters``).
     """
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(make_schema(schema))
+        schema = make_schema(schema)
+        reader = reader.schema(schema)
     if base_path:
         reader = reader.option("basePath", base_path)
     if merge_schema:
         reader = reader.option("mergeSchema", True)
-    return reader.parquet(*([paths] if isinstance(paths, str) else list(paths)))
+    df = reader.parquet(*([paths] if isinstance(paths, str) else list(paths)))
+    if schema is not None:  # partition columns come last from the reader
+        df = df.select(*[f"`{n}`" for n in schema.fieldNames()])
+    return df
