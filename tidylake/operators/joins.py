@@ -33,6 +33,8 @@ log = logging.getLogger(__name__)
 
 _SALT = "__tidylake_salt"
 
+# Bounds of a broadcast dimension (read at call time, so a deployment can set
+# them once for all lookups).
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -52,18 +54,24 @@ def _row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
+                      max_bytes: int | None = None) -> bool:
     """True when ``dim`` holds at most ``max_rows`` rows and ``max_bytes``.
 
-    Measured, not estimated: one job over ``dim.limit(max_rows + 1)`` counts
-    rows and sums their width, so a large dimension stops after
-    ``max_rows + 1`` rows per partition and is never collected.
+    Measured, not estimated, in two steps that are both cheap at any scale:
+    first the rows of ``dim.limit(max_rows + 1)`` are counted (no column is
+    needed, so a plain Parquet dimension is counted from its footers and a
+    large one stops early); only when that bound holds, the width of those at
+    most ``max_rows`` rows is summed.  Nothing is collected to the driver but
+    two numbers.
     """
-    probe = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                        F.sum(_row_bytes(dim)).alias("b")).first()
-    n, b = probe["n"], probe["b"] or 0
-    return n <= max_rows and b <= max_bytes
+    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    bounded = dim.limit(max_rows + 1)
+    if bounded.count() > max_rows:
+        return False
+    width = bounded.agg(F.sum(_row_bytes(dim)).alias("b")).first()["b"] or 0
+    return width <= max_bytes
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -73,8 +81,8 @@ def _keys(k: str | Sequence[str]) -> list[str]:
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
            dim_key: str | Sequence[str] | None = None, how: str = "left",
            unique: bool = False, broadcast: bool | str = "auto",
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+           max_broadcast_rows: int | None = None,
+           max_broadcast_bytes: int | None = None,
            null_salt: int = 64, skew_salt: int = 1,
            salt_by: Sequence[str] | None = None) -> DataFrame:
     """Join ``dim`` onto ``fact`` by equal keys (left outer by default).

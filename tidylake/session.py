@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows per Arrow batch handed to Python (HTML pages can be large)
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Broadcast only what was measured: the static planner would broadcast on
     # file-size *estimates* (compressed Parquet can expand many times), so it
     # is off; explicit broadcasts come from joins.checked_broadcast, and AQE may
