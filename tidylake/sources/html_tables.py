@@ -163,7 +163,7 @@ def _clean_header(cells, chars: str) -> list[str | None]:
 
 def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id",),
                    table_index: int | None = None, header: bool = True,
-                   header_chars: str = ZERO_WIDTH_SPACE) -> DataFrame:
+                   header_chars: str = ZERO_WIDTH_SPACE, spread: bool = True) -> DataFrame:
     """One output row per table row of each document.
 
     Output columns: ``keep`` columns, ``table_ix`` (int, document order),
@@ -172,7 +172,8 @@ def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] =
     table is its header (names cleaned of ``header_chars`` and stripped) and
     is not emitted itself; otherwise ``header`` is null and every row is
     emitted.  ``table_index`` keeps only that table of each document (a page
-    with fewer tables yields nothing).
+    with fewer tables yields nothing).  ``spread`` spreads a scan with fewer
+    partitions than task slots over all slots before parsing.
     """
     keep = list(keep)
     in_schema = df.select(*keep, html_col).schema
@@ -208,9 +209,22 @@ def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] =
             yield pd.DataFrame(rows, columns=out_cols)
 
     src = df.select(*keep, html_col)
+    if spread:
+        src = _spread(src, keep)
     return src.mapInPandas(run, schema=out_schema)
 
 
+def _spread(src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give the parse all cores when the input has fewer partitions than the
+    cluster has task slots (e.g. one large row group).  Hash-partitioned on the
+    page keys (deterministic on retry); a large input already split into many
+    partitions is left alone, so no HTML is shuffled at scale."""
+    slots = src.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() >= slots:
+        return src
+    return src.repartition(slots, *keys) if keys else src.repartition(slots)
+
+
 def table_columns(rows: DataFrame, names: Mapping[str, str],
                   keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """Project extracted rows to named columns by header text.
