@@ -134,3 +134,17 @@ def test_extract_tables_and_columns(spark):
                                 (1, "lots of space", None, None)], key=repr)
     everything = extract_tables(pages, "html", header=False)
     assert everything.where("page_id = 2").count() == 1
+
+
+def test_excluded_files_are_not_read(spark, tmp):
+    """The exclusion prunes files before the scan: an excluded file whose header
+    would fail the strict check does not fail the job."""
+    _write(f"{tmp}/q/good.csv", "k,v\n1,x\n")
+    _write(f"{tmp}/q/other_layout.csv", "v,k\ny,2\n")
+    schema = [("k", "int"), ("v", "string")]
+    strict = read_csv(spark, f"{tmp}/q", schema=schema, strict_header=True)
+    with pytest.raises(Exception):
+        strict.collect()
+    pruned = read_csv(spark, f"{tmp}/q", schema=schema, strict_header=True,
+                      exclude=["other_layout.csv"])
+    assert rows(pruned) == [(1, "x")]

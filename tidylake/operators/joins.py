@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,11 @@ DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
+_FIXED_WIDTH = 8
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """Approximate in-memory width of a row: 8 bytes per fixed-width value,
     the UTF-8 length for strings/binary."""
@@ -46,8 +52,11 @@ def _row_bytes(df: DataFrame) -> Column:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(ref(f.name)), F.lit(0)) + F.lit(8))
-        else:
-            parts.append(F.lit(8))
+        elif isinstance(f.dataType, _FIXED):
+            parts.append(F.lit(_FIXED_WIDTH))
+        else:  # nested values: size of their JSON text as a stand-in
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(ref(f.name)))),
+                                    F.lit(0)))
     total = parts[0]
     for p in parts[1:]:
         total = total + p
@@ -68,12 +77,28 @@ def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
     max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     bounded = dim.limit(max_rows + 1)
-    if bounded.count() > max_rows:
+    n = bounded.count()
+    if n > max_rows:
         return False
+    if not any(isinstance(f.dataType, _VARIABLE) for f in dim.schema.fields):
+        return n * _FIXED_WIDTH * max(len(dim.columns), 1) <= max_bytes
     width = bounded.agg(F.sum(_row_bytes(dim)).alias("b")).first()["b"] or 0
     return width <= max_bytes
 
 
+def measure(*dims: DataFrame, max_rows: int | None = None,
+            max_bytes: int | None = None) -> list[bool]:
+    """:func:`checked_broadcast` of several dimensions as concurrent Spark jobs.
+
+    The checks are independent and each is a short job, so they run side by
+    side (one driver thread per dimension) instead of one after another.
+    """
+    if len(dims) <= 1:
+        return [checked_broadcast(d, max_rows, max_bytes) for d in dims]
+    with ThreadPoolExecutor(max_workers=min(len(dims), 8)) as pool:
+        return list(pool.map(lambda d: checked_broadcast(d, max_rows, max_bytes), dims))
+
+
 def _keys(k: str | Sequence[str]) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
@@ -84,7 +109,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
            max_broadcast_rows: int | None = None,
            max_broadcast_bytes: int | None = None,
            null_salt: int = 64, skew_salt: int = 1,
-           salt_by: Sequence[str] | None = None) -> DataFrame:
+           salt_by: Sequence[str] | None = None, small: bool | None = None) -> DataFrame:
     """Join ``dim`` onto ``fact`` by equal keys (left outer by default).
 
     Both key columns are kept when their names differ (with equal names the
@@ -93,7 +118,9 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     first reduces ``dim`` to one deterministic row per key.
 
     ``broadcast``: ``"auto"``/``True`` broadcast after the size check (``True``
-    logs when the check fails and falls back), ``False`` never.
+    logs when the check fails and falls back), ``False`` never.  ``small``
+    passes the result of an earlier :func:`checked_broadcast` of the same
+    dimension (e.g. one dimension used in two roles), skipping the check.
     """
     fks = _keys(fact_key)
     dks = _keys(dim_key) if dim_key is not None else fks
@@ -105,7 +132,8 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
 
     use_broadcast = False
     if broadcast in ("auto", True):
-        use_broadcast = checked_broadcast(dim, max_broadcast_rows, max_broadcast_bytes)
+        use_broadcast = small if small is not None else checked_broadcast(
+            dim, max_broadcast_rows, max_broadcast_bytes)
         if broadcast is True and not use_broadcast:
             log.warning("dimension exceeds the broadcast bound; using a shuffle join")
 
@@ -145,7 +173,8 @@ def role_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     ``dim_key`` is the dimension key's original name; it must be in
     ``mapping``.  Used twice on one dimension for role-playing joins
-    (departure / arrival airport).
+    (departure / arrival airport); measure the dimension once with
+    :func:`checked_broadcast` and pass ``small=`` to both calls.
     """
     if dim_key not in mapping:
         raise ValueError(f"mapping must rename the key {dim_key!r}")

@@ -262,13 +262,16 @@ def role_playing_join(spark, d):
     customer = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
-    # star order: the fact meets each base dimension once (each size check is
-    # on a plain table scan, never on a join result)
-    x = joins.lookup(li, orders, "l_orderkey", "o_orderkey")
-    x = joins.lookup(x, customer, "o_custkey", "c_custkey")
-    x = joins.lookup(x, supplier, "l_suppkey", "s_suppkey")
-    x = joins.role_lookup(x, nation, "c_nationkey", "n_nationkey", _nation_role("from"))
-    x = joins.role_lookup(x, nation, "s_nationkey", "n_nationkey", _nation_role("to"))
+    # star order: the fact meets each base dimension once, so every size check is
+    # on a plain table scan (never on a join result); the checks run concurrently
+    o_s, c_s, s_s, n_s = joins.measure(orders, customer, supplier, nation)
+    x = joins.lookup(li, orders, "l_orderkey", "o_orderkey", small=o_s)
+    x = joins.lookup(x, customer, "o_custkey", "c_custkey", small=c_s)
+    x = joins.lookup(x, supplier, "l_suppkey", "s_suppkey", small=s_s)
+    x = joins.role_lookup(x, nation, "c_nationkey", "n_nationkey", _nation_role("from"),
+                          small=n_s)
+    x = joins.role_lookup(x, nation, "s_nationkey", "n_nationkey", _nation_role("to"),
+                          small=n_s)
     return x.select("l_orderkey", "l_linenumber", "l_partkey", "nation_from", "nation_to")
 
 
@@ -404,10 +407,11 @@ def gold_enriched(spark, d):
     part = table(spark, d, "part").select("p_partkey", "p_name")
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
 
-    fact = joins.lookup(li, orders, "l_orderkey", "o_orderkey")
-    fact = joins.lookup(fact, customer, "o_custkey", "c_custkey")
-    fact = joins.lookup(fact, supplier, "l_suppkey", "s_suppkey")
-    fact = joins.lookup(fact, part, "l_partkey", "p_partkey")
+    o_s, c_s, s_s, p_s, n_s = joins.measure(orders, customer, supplier, part, nation)
+    fact = joins.lookup(li, orders, "l_orderkey", "o_orderkey", small=o_s)
+    fact = joins.lookup(fact, customer, "o_custkey", "c_custkey", small=c_s)
+    fact = joins.lookup(fact, supplier, "l_suppkey", "s_suppkey", small=s_s)
+    fact = joins.lookup(fact, part, "l_partkey", "p_partkey", small=p_s)
     fact = enrich.weekday_column(fact, "l_shipdate", airport.WEEKDAY_LABELS, "weekday",
                                  airport.WEEKDAY_DEFAULT)
     fact = enrich.date_range_flag(fact, "l_shipdate", WEEKDAYS_AND_FLAGS["low"],
@@ -418,8 +422,10 @@ def gold_enriched(spark, d):
     fact = enrich.directional_endpoints(fact, "l_returnflag", own="c_nationkey",
                                         other="s_nationkey", out_from="k_from", out_to="k_to",
                                         outbound="A", inbound="R")
-    fact = joins.role_lookup(fact, nation, "k_from", "n_nationkey", _nation_role("from"))
-    fact = joins.role_lookup(fact, nation, "k_to", "n_nationkey", _nation_role("to"))
+    fact = joins.role_lookup(fact, nation, "k_from", "n_nationkey", _nation_role("from"),
+                             small=n_s)
+    fact = joins.role_lookup(fact, nation, "k_to", "n_nationkey", _nation_role("to"),
+                             small=n_s)
     return fact.select("l_orderkey", "l_linenumber", "l_partkey", "p_name", "weekday",
                        "in_range", "late", "nation_from", "nation_to")
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tidylake import sinks
 from tidylake.functions.time import seconds_of_day
-from tidylake.operators import enrich, joins
+from tidylake.operators import dedup, enrich, joins
 from tidylake.operators.cleaning import clean_columns
 from tidylake.operators.projection import select_renamed
 from tidylake.plans.layers import LabelRule, enrich_fact, refine_dimension, refine_fact
@@ -236,9 +236,14 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
     movements = clean_columns(movements, ["tipo_servico", "aeroporto_ref", "aeroporto_outro"])
     service_types = clean_columns(service_types, ["cod_tipo_servico"])
     airports = clean_columns(airports, ["aeroporto_icao"])
+    if unique_dimensions:
+        airports = dedup.by_key(airports, ["aeroporto_icao"])
+    # measured once, concurrently (the airport dimension serves two roles)
+    services_small, airports_small = joins.measure(service_types, airports)
     steps = [
         partial(joins.lookup, dim=service_types, fact_key="tipo_servico",
-                dim_key="cod_tipo_servico", unique=unique_dimensions),
+                dim_key="cod_tipo_servico", unique=unique_dimensions,
+                small=None if unique_dimensions else services_small),
         partial(enrich.weekday_column, column="data_manobra", labels=WEEKDAY_LABELS,
                 out="dia_semana", default=WEEKDAY_DEFAULT),
         partial(enrich.date_range_flag, column="data_manobra", low=DECREE_START,
@@ -249,9 +254,9 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
                 own="aeroporto_ref", other="aeroporto_outro",
                 out_from="aeroporto_partida", out_to="aeroporto_chegada"),
         partial(joins.role_lookup, dim=airports, fact_key="aeroporto_partida",
-                dim_key="aeroporto_icao", mapping=DEPARTURE_COLUMNS, unique=unique_dimensions),
+                dim_key="aeroporto_icao", mapping=DEPARTURE_COLUMNS, small=airports_small),
         partial(joins.role_lookup, dim=airports, fact_key="aeroporto_chegada",
-                dim_key="aeroporto_icao", mapping=ARRIVAL_COLUMNS, unique=unique_dimensions),
+                dim_key="aeroporto_icao", mapping=ARRIVAL_COLUMNS, small=airports_small),
     ]
     return enrich_fact(movements, steps)
 
