@@ -146,3 +146,12 @@ def test_parity_mode_reads_clock_as_timestamp(spark, lake, tmp):
     labels = {r.natureza_operacao for r in df.collect()}
     assert airport.MONTH_DEFAULT in labels  # unknown nature gets the month default
     assert df.where(F.col("hora_manobra").isNotNull()).count() > 0
+
+
+def test_sentinel_rows(spark, tmp):
+    path = f"{tmp}/one/mov.csv"
+    _csv(path, FIELDS, [_move(1, QT_CARGA=None, MES="1"), _move(2, QT_CARGA=3.5),
+                        _move(3, QT_CARGA=None, MES=None)])
+    out = airport.sentinel_rows(spark, path)
+    got = sorted((r.matricula_aeronave, r.mes, r.qtd_carga, r.qtd_correio) for r in out.collect())
+    assert got == [("PR-001", "Janeiro", -1.0, -1.0), ("PR-003", "nops", -1.0, -1.0)]

@@ -7,6 +7,7 @@ Flows (each a plain function of paths; nothing is scheduled here):
 * :func:`service_types_to_silver` raw service-type CSV -> silver
 * :func:`airports_to_silver`    raw airport CSV -> silver
 * :func:`silver_to_gold`        silver tables -> enriched, partitioned gold
+* :func:`sentinel_rows`         one raw file, filled, rows with a missing cargo weight
 
 ``parity=True`` reproduces the original behaviour where it is questionable
 (clock columns parsed as timestamps of the day of the read, unknown
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from tidylake import sinks
 from tidylake.functions.time import seconds_of_day
 from tidylake.operators import dedup, enrich, joins
-from tidylake.operators.cleaning import clean_columns
+from tidylake.operators.cleaning import clean_columns, fill_nulls, replace_values
 from tidylake.operators.projection import select_renamed
 from tidylake.plans.layers import LabelRule, enrich_fact, refine_dimension, refine_fact
 from tidylake.schema import make_schema, reorder
@@ -103,6 +104,12 @@ MOVEMENT_DEDUP_KEYS = ["data_prevista_movimento", "data_calco", "data_manobra",
                        "hora_prevista_movimento", "hora_calco", "hora_manobra"]
 MOVEMENT_PARTITIONS = ["ano", "mes"]
 
+# Single-file check flow: numeric fills and the extra month fill/replacement.
+CHECK_NUMERIC_FILL = (-1, ["qtd_correio", "qtd_carga", "qtd_pax_conexao_internacional",
+                           "qtd_pax_conexao_domestico", "qtd_pax_local"])
+CHECK_MONTH_FILL = ("nops", ["mes"])
+CHECK_MONTH_REPLACE = {"1": "Janeiro"}
+
 # Clock column -> the date column it belongs to (silver names).
 CLOCK_DATES = {"hora_prevista_movimento": "data_prevista_movimento",
                "hora_calco": "data_calco", "hora_manobra": "data_manobra"}
@@ -210,6 +217,23 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                                count=True)
 
 
+def sentinel_rows(spark: SparkSession, path: str, sentinel_column: str = "qtd_carga",
+                  parity: bool = False) -> DataFrame:
+    """Single-file check: read one movement file (header verified), fill
+    numeric nulls with -1 and text nulls with their labels, replace month
+    ``"1"``, and keep the rows whose ``sentinel_column`` was missing."""
+    raw = read_csv(spark, path, schema=movement_schema(parity), sep=";", null_value="null",
+                   strict_header=True)
+    df = select_renamed(raw, MOVEMENT_COLUMNS)
+    value, cols = CHECK_NUMERIC_FILL
+    df = fill_nulls(df, value, cols)
+    df = fill_nulls(df, *CHECK_MONTH_FILL)
+    for text, cols in MOVEMENT_FILLS:
+        df = fill_nulls(df, text, cols)
+    df = replace_values(df, CHECK_MONTH_REPLACE, ["mes"])
+    return df.where(F.col(sentinel_column) == F.lit(value))
+
+
 def service_types_to_raw(pages: DataFrame, raw_path: str) -> int:
     """Third table of each stored page -> raw CSV with the table's header."""
     rows = extract_tables(pages, "html", keep=[], table_index=SERVICE_TABLE_INDEX)
