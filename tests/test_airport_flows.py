@@ -155,3 +155,22 @@ def test_sentinel_rows(spark, tmp):
     out = airport.sentinel_rows(spark, path)
     got = sorted((r.matricula_aeronave, r.mes, r.qtd_carga, r.qtd_correio) for r in out.collect())
     assert got == [("PR-001", "Janeiro", -1.0, -1.0), ("PR-003", "nops", -1.0, -1.0)]
+
+
+def test_run_all_layout(spark, tmp):
+    raw = f"{tmp}/lake/raw"
+    _csv(f"{raw}/anac_movimentacoes/2021/m.csv", FIELDS, [_move(1), _move(2, NR_NATUREZA="I")])
+    head = [n for n, _ in airport.AIRPORT_FIELDS]
+    _csv(f"{raw}/icao_aeroportos/airport-codes.csv", head,
+         [dict(zip(["ident", "name"], ["SBGR", "Guarulhos"]))], sep=",")
+    page = ("<table></table><table></table><table><tr><th>Service Type Code</th>"
+            "<th>Application</th><th>Type of Operation</th><th>Service Type Description</th>"
+            "</tr><tr><td>J</td><td>Schedule</td><td>Passenger</td><td>Normal</td></tr></table>")
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    counts = airport.run_all(spark, raw, f"{tmp}/lake/silver", f"{tmp}/lake/gold", pages,
+                             years=["2021"])
+    assert counts == {"raw_service_types": 1, "silver_movements": 2,
+                      "silver_service_types": 1, "silver_airports": 1, "gold": 2}
+    gold = spark.read.parquet(f"{tmp}/lake/gold")
+    assert {r.nome_aeroporto_partida for r in gold.collect()} == {"Guarulhos"}
+    assert {r.tipo_servico_desc for r in gold.collect()} == {"Normal"}

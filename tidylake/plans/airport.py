@@ -8,6 +8,7 @@ Flows (each a plain function of paths; nothing is scheduled here):
 * :func:`airports_to_silver`    raw airport CSV -> silver
 * :func:`silver_to_gold`        silver tables -> enriched, partitioned gold
 * :func:`sentinel_rows`         one raw file, filled, rows with a missing cargo weight
+* :func:`run_all`               the chain in order (also ``python -m tidylake.plans.airport``)
 
 ``parity=True`` reproduces the original behaviour where it is questionable
 (clock columns parsed as timestamps of the day of the read, unknown
@@ -16,6 +17,7 @@ operation nature labelled with the month default); the default corrects it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import partial
 
@@ -190,28 +192,37 @@ def clean_movements(df: DataFrame, parity: bool = False) -> DataFrame:
         dedup_order=[] if parity else ["numero_voo", "aeroporto_ref"])
 
 
+def movement_layouts(raw_root: str, years: Sequence[str] = MOVEMENT_YEARS,
+                     variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
+                     parity: bool = False) -> list[CsvLayout]:
+    """The raw movement files as layouts: ``raw_root/{year}/*.csv`` in the
+    default column order, except the files named in ``variant_files`` (any
+    year), which have the variant order.  A missing year folder or variant
+    file just contributes no rows."""
+    root = raw_root.rstrip("/")
+    in_years = "/(" + "|".join(re.escape(y) for y in years) + ")/[^/]+$"
+    layouts = [CsvLayout(root, movement_schema(parity), MOVEMENT_COLUMNS,
+                         exclude=list(variant_files), glob="*.csv", recursive=True,
+                         include=in_years)]
+    if variant_files:
+        layouts.append(CsvLayout(root, movement_schema(parity, MOVEMENT_VARIANT_ORDER),
+                                 MOVEMENT_COLUMNS, glob="{" + ",".join(variant_files) + "}",
+                                 recursive=True, include=in_years))
+    return layouts
+
+
 def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         years: Sequence[str] = MOVEMENT_YEARS,
-                        variant_paths: Sequence[str] | None = None,
+                        variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
                         parity: bool = False, strict_header: bool = True) -> int:
-    """Raw movement CSVs (``raw_root/{year}/*.csv``) -> silver, partitioned.
+    """Raw movement CSVs -> silver, partitioned by year and month name.
 
-    ``variant_paths`` (default: the known 2022-07 file) are read with the
-    variant layout and left out of the default-layout scan; both scans check
-    every file's header against their layout (``strict_header``).  Returns
-    the rows written.
+    Both layouts are checked against every file's header (``strict_header``),
+    so an undeclared layout fails instead of being misread.  Returns the rows
+    written.
     """
-    root = raw_root.rstrip("/")
-    if variant_paths is None:
-        variant_paths = [f"{root}/2022/{MOVEMENT_VARIANT_FILE}"]
-    variant_paths = list(variant_paths)
-    layouts = [CsvLayout([f"{root}/{y}" for y in years], movement_schema(parity),
-                         MOVEMENT_COLUMNS, exclude=variant_paths, glob="*.csv")]
-    if variant_paths:
-        layouts.append(CsvLayout(variant_paths, movement_schema(parity, MOVEMENT_VARIANT_ORDER),
-                                 MOVEMENT_COLUMNS))
-    raw = read_layouts(spark, layouts, sep=";", null_value="null",
-                       strict_header=strict_header)
+    raw = read_layouts(spark, movement_layouts(raw_root, years, variant_files, parity),
+                       sep=";", null_value="null", strict_header=strict_header)
     silver = clean_movements(raw, parity)
     return sinks.write_parquet(silver, silver_path, MOVEMENT_PARTITIONS, rebalance=True,
                                count=True)
@@ -294,3 +305,55 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
     airports = read_parquet(spark, f"{root}/icao_aeroportos")
     gold = enrich_movements(movements, service_types, airports, unique_dimensions)
     return sinks.write_parquet(gold, gold_path, MOVEMENT_PARTITIONS, rebalance=True, count=True)
+
+
+def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str,
+            pages: DataFrame | None = None, years: Sequence[str] = MOVEMENT_YEARS,
+            parity: bool = False, unique_dimensions: bool = False) -> dict[str, int]:
+    """The whole chain in dependency order; returns the rows written per step.
+
+    Layout (as the original lake): ``raw_root/anac_movimentacoes/{year}/*.csv``,
+    ``raw_root/anac_scraping/`` (written from ``pages`` when given),
+    ``raw_root/icao_aeroportos/airport-codes.csv``; silver tables below
+    ``silver_root``; gold at ``gold_path``.
+    """
+    raw, silver = raw_root.rstrip("/"), silver_root.rstrip("/")
+    counts = {}
+    if pages is not None:
+        counts["raw_service_types"] = service_types_to_raw(pages, f"{raw}/anac_scraping")
+    counts["silver_movements"] = movements_to_silver(
+        spark, f"{raw}/anac_movimentacoes", f"{silver}/anac_movimentacoes", years,
+        parity=parity)
+    counts["silver_service_types"] = service_types_to_silver(
+        spark, f"{raw}/anac_scraping", f"{silver}/anac_scraping")
+    counts["silver_airports"] = airports_to_silver(
+        spark, f"{raw}/icao_aeroportos/airport-codes.csv", f"{silver}/icao_aeroportos")
+    counts["gold"] = silver_to_gold(spark, silver, gold_path, unique_dimensions)
+    return counts
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    import argparse
+    import json
+
+    from tidylake.session import configure
+
+    ap = argparse.ArgumentParser(description="raw -> silver -> gold airport movements")
+    ap.add_argument("--raw", required=True)
+    ap.add_argument("--silver", required=True)
+    ap.add_argument("--gold", required=True)
+    ap.add_argument("--pages", help="Parquet table (page_id, url, html) with the metadata page")
+    ap.add_argument("--years", default=",".join(MOVEMENT_YEARS))
+    ap.add_argument("--parity", action="store_true")
+    ap.add_argument("--unique-dimensions", action="store_true")
+    args = ap.parse_args(argv)
+    spark = configure(SparkSession.builder.appName("tidylake-airport").getOrCreate())
+    pages = spark.read.parquet(args.pages) if args.pages else None
+    counts = run_all(spark, args.raw, args.silver, args.gold, pages,
+                     [y for y in args.years.split(",") if y], args.parity,
+                     args.unique_dimensions)
+    print(json.dumps(counts))
+
+
+if __name__ == "__main__":
+    main()

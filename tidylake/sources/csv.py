@@ -25,7 +25,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
              header: bool = True, null_value: str | None = None,
              strict_header: bool = False, glob: str | None = None,
              recursive: bool = False, exclude: Iterable[str] = (),
-             **options) -> DataFrame:
+             include: str | None = None, **options) -> DataFrame:
     """Read CSV files (a path, a directory, a glob or a list of those).
 
     * ``schema`` - explicit schema (``StructType``, field tuples or DDL) in the
@@ -37,6 +37,9 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
     * ``null_value`` - text read as null (unquoted empty fields are null anyway).
     * ``glob`` / ``recursive`` - file-name filter and recursive listing.
     * ``exclude`` - file names or full paths to leave out.
+    * ``include`` - regular expression a file's path must match (e.g. the
+      wanted year folders).  Like ``exclude`` it is a filter on the hidden
+      ``_metadata`` column, which Spark applies per file before reading.
     """
     reader = spark.read.option("header", header).option("sep", sep)
     if null_value is not None:
@@ -50,6 +53,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
+    if include:
+        df = df.where(F.col("_metadata.file_path").rlike(include))
     return exclude_files(df, exclude)
 
 
@@ -89,6 +94,7 @@ class CsvLayout:
     exclude: Sequence[str] = field(default_factory=tuple)
     glob: str | None = None
     recursive: bool = False
+    include: str | None = None
 
 
 def read_layouts(spark: SparkSession, layouts: Sequence[CsvLayout], sep: str = ",",
@@ -105,7 +111,7 @@ def read_layouts(spark: SparkSession, layouts: Sequence[CsvLayout], sep: str = "
     for lay in layouts:
         df = read_csv(spark, lay.paths, schema=lay.schema, sep=sep, null_value=null_value,
                       strict_header=strict_header, glob=lay.glob, recursive=lay.recursive,
-                      exclude=lay.exclude, **options)
+                      exclude=lay.exclude, include=lay.include, **options)
         frames.append(select_renamed(df, lay.rename) if lay.rename else df)
     return union_by_name(frames)
 

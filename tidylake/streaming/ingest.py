@@ -27,6 +27,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidylake import sinks
@@ -58,7 +59,10 @@ def read_layouts_stream(spark: SparkSession, layouts: Sequence[CsvLayout], sep:
                 reader = reader.option("recursiveFileLookup", True)
             if max_files_per_trigger:
                 reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-            df = exclude_files(reader.csv(path), lay.exclude)
+            df = reader.csv(path)
+            if lay.include:
+                df = df.where(F.col("_metadata.file_path").rlike(lay.include))
+            df = exclude_files(df, lay.exclude)
             frames.append(select_renamed(df, lay.rename) if lay.rename else df)
     return union_by_name(frames)
 
