@@ -137,6 +137,15 @@ def test_gold(spark, lake):
     assert g["PR-020"].nome_aeroporto_partida == "Viracopos"
 
 
+def test_declared_layouts_equal_discovered(spark, lake, tmp):
+    n = airport.movements_to_silver(spark, f"{tmp}/raw", f"{tmp}/silver_declared",
+                                    years=["2021", "2022"], discover=False)
+    assert n == lake["n_mov"]
+    a = spark.read.parquet(f"{tmp}/silver_declared")
+    b = spark.read.parquet(f"{lake['silver']}/anac_movimentacoes")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
 def test_parity_mode_reads_clock_as_timestamp(spark, lake, tmp):
     raw = f"{tmp}/raw"
     n = airport.movements_to_silver(spark, raw, f"{tmp}/silver_parity", years=["2021", "2022"],

@@ -148,3 +148,24 @@ def test_excluded_files_are_not_read(spark, tmp):
     pruned = read_csv(spark, f"{tmp}/q", schema=schema, strict_header=True,
                       exclude=["other_layout.csv"])
     assert rows(pruned) == [(1, "x")]
+
+
+def test_discover_layouts_by_header(spark, tmp):
+    from tidylake.sources import discover_layouts, file_headers
+    _write(f"{tmp}/d/2019/a.csv", "K;V;W\n1;x;1.5\n")
+    _write(f"{tmp}/d/2019/b.csv", "K;V;W\n2;y;2.5\n")
+    _write(f"{tmp}/d/2020/c.csv", "W;K;V\n3.5;3;z\n")
+    _write(f"{tmp}/d/2021/e f.csv", '"V";"W";"K"\n' + "q;4.5;4\n")
+    _write(f"{tmp}/d/2021/notes.txt", "nothing\n")
+    heads = {r.path.rsplit("/", 1)[-1]: r.header for r in file_headers(spark, f"{tmp}/d").collect()}
+    assert heads == {"a.csv": "K;V;W", "b.csv": "K;V;W", "c.csv": "W;K;V",
+                     "e f.csv": '"V";"W";"K"'}
+    schema = [("K", "int"), ("V", "string"), ("W", "double")]
+    layouts = discover_layouts(spark, f"{tmp}/d", schema, {"K": "k", "V": "v", "W": "w"},
+                               sep=";")
+    assert len(layouts) == 3
+    df = read_layouts(spark, layouts, sep=";")
+    assert rows(df) == [(1, "x", 1.5), (2, "y", 2.5), (3, "z", 3.5), (4, "q", 4.5)]
+    _write(f"{tmp}/d/2022/bad.csv", "K;X;W\n5;?;1\n")
+    with pytest.raises(ValueError, match="bad.csv"):
+        discover_layouts(spark, f"{tmp}/d", schema, None, sep=";")

@@ -26,6 +26,7 @@ from tidylake.schema import make_schema, reorder
 from tidylake.session import configure, scratch_path
 from tidylake.sources.csv import CsvLayout, read_csv, read_layouts
 from tidylake.sources.html_tables import extract_tables, table_columns
+from tidylake.sources.layouts import discover_layouts
 from tidylake.sources.parquet import read_parquet
 
 ZW = ZERO_WIDTH_SPACE
@@ -352,8 +353,8 @@ ORDER_STATUS_LABELS = {"O": "Doméstico", "P": "Internacional"}
 
 
 def silver_movements(spark, d):
-    """L1: orders as raw `;` CSVs in two layouts -> silver (fills, labels,
-    dedup, partitioned write) -> typed read-back."""
+    """L1: orders as raw `;` CSVs in two layouts (found from the headers) ->
+    silver (fills, labels, dedup, partitioned write) -> typed read-back."""
     _start(spark)
     orders = table(spark, d, "orders")
     raw = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -368,10 +369,9 @@ def silver_movements(spark, d):
     rename = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "status",
               "o_totalprice": "o_totalprice", "o_orderdate": "o_orderdate", "ANO": "ano",
               "MES": "mes"}
-    bronze = read_layouts(spark, [
-        CsvLayout(f"{base}/raw/default", schema, rename),
-        CsvLayout(f"{base}/raw/variant", reorder(schema, variant_order), rename)],
-        sep=";", null_value="null", strict_header=True)
+    # layouts found from the files' header lines, not declared per folder
+    layouts = discover_layouts(spark, f"{base}/raw", schema, rename, sep=";")
+    bronze = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=True)
     silver = refine_fact(
         bronze,
         fills=[("Não informado", ["status"]), ("Ano não informado", ["ano"])],

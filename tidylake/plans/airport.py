@@ -34,6 +34,7 @@ from tidylake.plans.layers import LabelRule, enrich_fact, refine_dimension, refi
 from tidylake.schema import make_schema, reorder
 from tidylake.sources.csv import CsvLayout, read_csv, read_layouts
 from tidylake.sources.html_tables import extract_tables, table_columns
+from tidylake.sources.layouts import discover_layouts
 from tidylake.sources.parquet import read_parquet
 
 S, I, D, TS = "string", "int", "double", "timestamp"
@@ -214,15 +215,24 @@ def movement_layouts(raw_root: str, years: Sequence[str] = MOVEMENT_YEARS,
 def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         years: Sequence[str] = MOVEMENT_YEARS,
                         variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
-                        parity: bool = False, strict_header: bool = True) -> int:
+                        parity: bool = False, strict_header: bool = True,
+                        discover: bool = True) -> int:
     """Raw movement CSVs -> silver, partitioned by year and month name.
 
-    Both layouts are checked against every file's header (``strict_header``),
-    so an undeclared layout fails instead of being misread.  Returns the rows
+    ``discover=True`` finds the column layouts from the files' header lines
+    (any number of layouts, no list of exceptions); ``discover=False`` uses
+    the declared ``variant_files`` names, as the original did.  Every file's
+    header is also checked by the scan itself (``strict_header``), so an
+    undeclared layout fails instead of being misread.  Returns the rows
     written.
     """
-    raw = read_layouts(spark, movement_layouts(raw_root, years, variant_files, parity),
-                       sep=";", null_value="null", strict_header=strict_header)
+    if discover:
+        in_years = "/(" + "|".join(re.escape(y) for y in years) + ")/[^/]+$"
+        layouts = discover_layouts(spark, raw_root.rstrip("/"), movement_schema(parity),
+                                   MOVEMENT_COLUMNS, sep=";", include=in_years)
+    else:
+        layouts = movement_layouts(raw_root, years, variant_files, parity)
+    raw = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=strict_header)
     silver = clean_movements(raw, parity)
     return sinks.write_parquet(silver, silver_path, MOVEMENT_PARTITIONS, rebalance=True,
                                count=True)

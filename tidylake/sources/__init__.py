@@ -2,7 +2,8 @@
 
 from tidylake.sources.csv import CsvLayout, read_csv, read_layouts
 from tidylake.sources.html_tables import extract_tables, parse_tables, table_columns
+from tidylake.sources.layouts import discover_layouts, file_headers
 from tidylake.sources.parquet import read_parquet
 
 __all__ = ["CsvLayout", "read_csv", "read_layouts", "extract_tables", "parse_tables",
-           "table_columns", "read_parquet"]
+           "table_columns", "read_parquet", "discover_layouts", "file_headers"]

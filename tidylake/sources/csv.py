@@ -73,12 +73,26 @@ def exclude_files(df: DataFrame, exclude: Iterable[str]) -> DataFrame:
     if names:
         drop = drop | F.col("_metadata.file_name").isin(names)
     for p in (e for e in exclude if "/" in e):
-        # file_path is a URI (scheme:/...); compare without the scheme
-        drop = drop | F.col("_metadata.file_path").contains(p.split(":", 1)[-1]
-                                                             if "://" in p else p)
+        for form in _uri_forms(p):
+            drop = drop | F.col("_metadata.file_path").contains(form)
     return df.where(~drop)
 
 
+# ASCII characters a URI path keeps as they are (RFC 3986 unreserved + sub-delims + ":@/")
+_URI_SAFE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+                "-._~!$&'()*+,;=:@/")
+
+
+def _uri_forms(path: str) -> set[str]:
+    """The path without its scheme, raw and as ``_metadata.file_path`` spells it
+    (a URI: ASCII specials such as a space percent-encoded, non-ASCII kept)."""
+    bare = path.split(":", 1)[1] if ":" in path.split("/", 1)[0] else path
+    bare = "/" + bare.lstrip("/") if bare.startswith("/") else bare
+    encoded = "".join(c if c in _URI_SAFE or ord(c) > 127 else f"%{ord(c):02X}"
+                      for c in bare)
+    return {bare, encoded}
+
+
 @dataclass
 class CsvLayout:
     """A group of CSV files sharing one column layout.

@@ -21,17 +21,24 @@ Parsing rules (those of common HTML table readers):
 
 from __future__ import annotations
 
+import sys
+
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidylake.functions.text import ZERO_WIDTH_SPACE
 
+# The functions below run inside Python workers.  Ship them with the task
+# (by value) so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _WS = re.compile(r"\s+")
 
 
