@@ -314,7 +314,11 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
     service_types = read_parquet(spark, f"{root}/anac_scraping")
     airports = read_parquet(spark, f"{root}/icao_aeroportos")
     gold = enrich_movements(movements, service_types, airports, unique_dimensions)
-    return sinks.write_parquet(gold, gold_path, MOVEMENT_PARTITIONS, rebalance=True, count=True)
+    # No rebalance here: silver is read folder by folder (every file belongs to
+    # one ano/mes), the dimensions are broadcast, so each task writes into at
+    # most a few gold folders and gold gets about as many files as silver.  A
+    # rebalance would shuffle the widest table once more for nothing.
+    return sinks.write_parquet(gold, gold_path, MOVEMENT_PARTITIONS, count=True)
 
 
 def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str,
