@@ -8,9 +8,11 @@ de-duplication must see earlier data, so each micro-batch is merged in
 
 1. the batch is reduced to one row per key (``dedup.by_key``: deterministic
    survivor, partial aggregation before the shuffle);
-2. keys already present in silver are removed with a null-safe anti join
-   (the first ingested row of a key stays; nulls are one key, as in the batch
-   flow);
+2. keys already present in silver are removed: silver's key columns are
+   semi-joined against the batch's keys (broadcast when measured small, so
+   silver is scanned but not shuffled), then a null-safe anti join drops them
+   from the batch (the first ingested row of a key stays; nulls are one key,
+   as in the batch flow);
 3. the remaining rows are appended, partitioned.
 
 The write is append-only, so no partition is rewritten and no row moves
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidylake import sinks
-from tidylake.operators import dedup
+from tidylake.operators import dedup, joins
 from tidylake.operators.projection import ref, select_renamed
 from tidylake.operators.union import union_by_name
 from tidylake.schema import make_schema
@@ -77,19 +79,31 @@ def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]):
 
 def merge_batch(batch: DataFrame, out_path: str, partition_by: Sequence[str],
                 dedup_keys: Sequence[str], dedup_order: Sequence[str] = ()) -> int:
-    """Append one micro-batch's new keys to the partitioned silver table."""
+    """Append one micro-batch's new keys to the partitioned silver table.
+
+    The batch's keys are broadcast when measured small (a micro-batch is
+    bounded by the files per trigger), so silver's key columns are only
+    scanned, never shuffled, to find the keys already present.
+    """
     spark = batch.sparkSession
-    fresh = dedup.by_key(batch, dedup_keys, dedup_order)
+    fresh = dedup.by_key(batch, dedup_keys, dedup_order).persist()
     try:
-        existing = spark.read.schema(fresh.schema).parquet(out_path)
-        existing.limit(0).collect()  # fails here when the table does not exist yet
-    except AnalysisException:
-        existing = None
-    if existing is not None:
-        seen = existing.select(*[ref(k) for k in dedup_keys])
-        fresh = fresh.join(seen, _null_safe(fresh, seen, dedup_keys), "left_anti")
-    return sinks.write_parquet(fresh, out_path, partition_by, mode="append", rebalance=True,
-                               count=True)
+        try:
+            existing = spark.read.schema(fresh.schema).parquet(out_path)
+            existing.limit(0).collect()  # fails here when the table does not exist yet
+        except AnalysisException:
+            existing = None
+        new_rows = fresh
+        if existing is not None:
+            keys = fresh.select(*[ref(k) for k in dedup_keys])
+            probe = F.broadcast(keys) if joins.checked_broadcast(keys) else keys
+            seen = existing.select(*[ref(k) for k in dedup_keys])
+            present = seen.join(probe, _null_safe(seen, probe, dedup_keys), "left_semi")
+            new_rows = fresh.join(present, _null_safe(fresh, present, dedup_keys), "left_anti")
+        return sinks.write_parquet(new_rows, out_path, partition_by, mode="append",
+                                   rebalance=True, count=True)
+    finally:
+        fresh.unpersist()
 
 
 def ingest_to_silver(spark: SparkSession, layouts: Sequence[CsvLayout],
