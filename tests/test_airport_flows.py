@@ -76,18 +76,18 @@ def lake(spark, tmp):
     _csv(f"{raw}/airports/airport-codes.csv", head, recs, sep=",")
 
     silver = f"{tmp}/silver"
-    n_mov = airport.movements_to_silver(spark, raw, f"{silver}/anac_movimentacoes",
+    n_mov = airport.movements_to_silver(spark, raw, f"{silver}/movements",
                                         years=["2021", "2022"])
-    airport.service_types_to_silver(spark, f"{raw}/service/", f"{silver}/anac_scraping")
+    airport.service_types_to_silver(spark, f"{raw}/service/", f"{silver}/service_types")
     airport.airports_to_silver(spark, f"{raw}/airports/airport-codes.csv",
-                               f"{silver}/icao_aeroportos")
+                               f"{silver}/airports")
     n_gold = airport.silver_to_gold(spark, silver, f"{tmp}/gold")
     return dict(tmp=tmp, silver=silver, n_mov=n_mov, n_gold=n_gold)
 
 
 def test_silver_movements(spark, lake):
     assert lake["n_mov"] == 11  # 12 rows, two share all six date/time values
-    df = read_parquet(spark, f"{lake['silver']}/anac_movimentacoes",
+    df = read_parquet(spark, f"{lake['silver']}/movements",
                       schema=airport.silver_movement_schema())
     assert df.columns == list(airport.MOVEMENT_COLUMNS.values())
     by_plane = {r.matricula_aeronave: r for r in df.collect()}
@@ -104,14 +104,14 @@ def test_silver_movements(spark, lake):
     assert str(by_plane["PR-001"].hora_prevista_movimento) == "2021-01-02 10:00:00"
     assert by_plane["PR-007"].numero_voo == "777"  # deterministic survivor
     assert by_plane["PR-020"].aeroporto_ref == "SBKP" and by_plane["PR-020"].mes == "Julho"
-    assert os.path.isdir(f"{lake['silver']}/anac_movimentacoes/ano=2021/mes=Janeiro")
+    assert os.path.isdir(f"{lake['silver']}/movements/ano=2021/mes=Janeiro")
 
 
 def test_silver_dimensions(spark, lake):
-    st = read_parquet(spark, f"{lake['silver']}/anac_scraping")
+    st = read_parquet(spark, f"{lake['silver']}/service_types")
     assert st.columns == list(airport.SERVICE_TYPE_COLUMNS.values())
     assert sorted(r.cod_tipo_servico for r in st.collect()) == ["J", "S"]
-    ap = read_parquet(spark, f"{lake['silver']}/icao_aeroportos")
+    ap = read_parquet(spark, f"{lake['silver']}/airports")
     assert ap.columns == list(airport.AIRPORT_COLUMNS.values()) and ap.count() == 3
 
 
@@ -142,7 +142,7 @@ def test_declared_layouts_equal_discovered(spark, lake, tmp):
                                     years=["2021", "2022"], discover=False)
     assert n == lake["n_mov"]
     a = spark.read.parquet(f"{tmp}/silver_declared")
-    b = spark.read.parquet(f"{lake['silver']}/anac_movimentacoes")
+    b = spark.read.parquet(f"{lake['silver']}/movements")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
@@ -168,9 +168,9 @@ def test_sentinel_rows(spark, tmp):
 
 def test_run_all_layout(spark, tmp):
     raw = f"{tmp}/lake/raw"
-    _csv(f"{raw}/anac_movimentacoes/2021/m.csv", FIELDS, [_move(1), _move(2, NR_NATUREZA="I")])
+    _csv(f"{raw}/movements/2021/m.csv", FIELDS, [_move(1), _move(2, NR_NATUREZA="I")])
     head = [n for n, _ in airport.AIRPORT_FIELDS]
-    _csv(f"{raw}/icao_aeroportos/airport-codes.csv", head,
+    _csv(f"{raw}/airports/airport-codes.csv", head,
          [dict(zip(["ident", "name"], ["SBGR", "Guarulhos"]))], sep=",")
     page = ("<table></table><table></table><table><tr><th>Service Type Code</th>"
             "<th>Application</th><th>Type of Operation</th><th>Service Type Description</th>"

@@ -310,9 +310,9 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
                    unique_dimensions: bool = False) -> int:
     """Read the three silver tables, enrich, write gold partitioned; row count."""
     root = silver_root.rstrip("/")
-    movements = read_parquet(spark, f"{root}/anac_movimentacoes", schema=silver_movement_schema())
-    service_types = read_parquet(spark, f"{root}/anac_scraping")
-    airports = read_parquet(spark, f"{root}/icao_aeroportos")
+    movements = read_parquet(spark, f"{root}/movements", schema=silver_movement_schema())
+    service_types = read_parquet(spark, f"{root}/service_types")
+    airports = read_parquet(spark, f"{root}/airports")
     gold = enrich_movements(movements, service_types, airports, unique_dimensions)
     # No rebalance here: silver is read folder by folder (every file belongs to
     # one ano/mes), the dimensions are broadcast, so each task writes into at
@@ -326,22 +326,22 @@ def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str
             parity: bool = False, unique_dimensions: bool = False) -> dict[str, int]:
     """The whole chain in dependency order; returns the rows written per step.
 
-    Layout (as the original lake): ``raw_root/anac_movimentacoes/{year}/*.csv``,
-    ``raw_root/anac_scraping/`` (written from ``pages`` when given),
-    ``raw_root/icao_aeroportos/airport-codes.csv``; silver tables below
+    Layout: ``raw_root/movements/{year}/*.csv``,
+    ``raw_root/service_types/`` (written from ``pages`` when given),
+    ``raw_root/airports/airport-codes.csv``; silver tables below
     ``silver_root``; gold at ``gold_path``.
     """
     raw, silver = raw_root.rstrip("/"), silver_root.rstrip("/")
     counts = {}
     if pages is not None:
-        counts["raw_service_types"] = service_types_to_raw(pages, f"{raw}/anac_scraping")
+        counts["raw_service_types"] = service_types_to_raw(pages, f"{raw}/service_types")
     counts["silver_movements"] = movements_to_silver(
-        spark, f"{raw}/anac_movimentacoes", f"{silver}/anac_movimentacoes", years,
+        spark, f"{raw}/movements", f"{silver}/movements", years,
         parity=parity)
     counts["silver_service_types"] = service_types_to_silver(
-        spark, f"{raw}/anac_scraping", f"{silver}/anac_scraping")
+        spark, f"{raw}/service_types", f"{silver}/service_types")
     counts["silver_airports"] = airports_to_silver(
-        spark, f"{raw}/icao_aeroportos/airport-codes.csv", f"{silver}/icao_aeroportos")
+        spark, f"{raw}/airports/airport-codes.csv", f"{silver}/airports")
     counts["gold"] = silver_to_gold(spark, silver, gold_path, unique_dimensions)
     return counts
 
