@@ -169,3 +169,12 @@ def test_discover_layouts_by_header(spark, tmp):
     _write(f"{tmp}/d/2022/bad.csv", "K;X;W\n5;?;1\n")
     with pytest.raises(ValueError, match="bad.csv"):
         discover_layouts(spark, f"{tmp}/d", schema, None, sep=";")
+
+
+def test_exclusion_matches_encoded_names(spark, tmp):
+    for name in ("e f.csv", "Março.csv", "ok.csv"):
+        _write(f"{tmp}/enc/{name}", "k\n1\n")
+    schema = [("k", "int")]
+    assert read_csv(spark, f"{tmp}/enc", schema=schema, exclude=["e f.csv", "Março.csv"]).count() == 1
+    full = [f"file:{tmp}/enc/e f.csv", f"file:{tmp}/enc/Março.csv"]
+    assert read_csv(spark, f"{tmp}/enc", schema=schema, exclude=full).count() == 1

@@ -61,18 +61,27 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
 def exclude_files(df: DataFrame, exclude: Iterable[str]) -> DataFrame:
     """Drop the rows read from some files.
 
-    An entry without ``/`` is an exact file name; an entry with ``/`` is a
-    path or folder fragment contained in the file's path.  The filter is on
-    the scan's hidden ``_metadata`` column, so no column is added.
+    Entries: a bare file name (no ``/``) matches the file name; a full path
+    with a scheme (``file:/...``, ``s3a://...``) matches that file exactly; any
+    other entry with ``/`` is a path or folder fragment contained in the
+    file's path.  Names and full paths are hash-set lookups (``isin``), so
+    thousands of excluded files stay cheap; the filter is on the scan's hidden
+    ``_metadata`` column, which Spark applies per file before reading.
     """
     exclude = list(exclude)
     if not exclude:
         return df
-    drop = F.lit(False)
     names = [e for e in exclude if "/" not in e]
+    full = [e for e in exclude if "/" in e and _has_scheme(e) and not e.endswith("/")]
+    fragments = [e for e in exclude if "/" in e and e not in full]
+    drop = F.lit(False)
     if names:
-        drop = drop | F.col("_metadata.file_name").isin(names)
-    for p in (e for e in exclude if "/" in e):
+        forms = sorted({f for n in names for f in (n, _encode(n))})
+        drop = drop | F.col("_metadata.file_name").isin(forms)
+    if full:
+        forms = sorted({f for e in full for f in (e, _as_uri(e))})
+        drop = drop | F.col("_metadata.file_path").isin(forms)
+    for p in fragments:
         for form in _uri_forms(p):
             drop = drop | F.col("_metadata.file_path").contains(form)
     return df.where(~drop)
@@ -83,14 +92,27 @@ _URI_SAFE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
                 "-._~!$&'()*+,;=:@/")
 
 
-def _uri_forms(path: str) -> set[str]:
-    """The path without its scheme, raw and as ``_metadata.file_path`` spells it
-    (a URI: ASCII specials such as a space percent-encoded, non-ASCII kept)."""
-    bare = path.split(":", 1)[1] if ":" in path.split("/", 1)[0] else path
+def _encode(text: str) -> str:
+    return "".join(c if c in _URI_SAFE or ord(c) > 127 else f"%{ord(c):02X}" for c in text)
+
+
+def _has_scheme(path: str) -> bool:
+    head = path.split("/", 1)[0]
+    return head.endswith(":") and len(head) > 2
+
+
+def _as_uri(path: str) -> str:
+    """``file:/a b/c.csv`` -> ``file:/a%20b/c.csv``: how ``_metadata`` spells a
+    path (ASCII specials percent-encoded, non-ASCII and the slashes kept)."""
+    scheme, rest = path.split(":", 1)
+    return f"{scheme}:{_encode(rest)}"
+
+
+def _uri_forms(fragment: str) -> set[str]:
+    """A path fragment without scheme, raw and URI-encoded."""
+    bare = fragment.split(":", 1)[1] if _has_scheme(fragment) else fragment
     bare = "/" + bare.lstrip("/") if bare.startswith("/") else bare
-    encoded = "".join(c if c in _URI_SAFE or ord(c) > 127 else f"%{ord(c):02X}"
-                      for c in bare)
-    return {bare, encoded}
+    return {bare, _encode(bare)}
 
 
 @dataclass
