@@ -149,7 +149,7 @@ def _grid(rows: list[list]) -> list[list[str | None]]:
 
 def parse_tables(html: str | None) -> list[list[list[str | None]]]:
     """All tables of one document, each a list of rows of cell texts."""
-    if not html:
+    if not html or "<table" not in html.lower():  # whole-text scan, no tag -> no table
         return []
     p = _TableCollector()
     p.feed(html)
