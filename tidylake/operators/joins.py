@@ -126,14 +126,16 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     dks = _keys(dim_key) if dim_key is not None else fks
     if len(fks) != len(dks):
         raise ValueError("fact_key and dim_key differ in length")
-    if unique:
-        dim = dedup.by_key(dim, dks)
-    same_names = fks == dks
-
     use_broadcast = False
     if broadcast in ("auto", True):
+        # measured before any dedup: dedup never adds rows or bytes, so the raw
+        # dimension's bound holds for the reduced one, and the check never has
+        # to run the dedup's shuffle
         use_broadcast = small if small is not None else checked_broadcast(
             dim, max_broadcast_rows, max_broadcast_bytes)
+    if unique:
+        dim = dedup.by_key(dim, dks)
+    same_names = fks == dks
         if broadcast is True and not use_broadcast:
             log.warning("dimension exceeds the broadcast bound; using a shuffle join")
 

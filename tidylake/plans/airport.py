@@ -281,14 +281,14 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
     movements = clean_columns(movements, ["tipo_servico", "aeroporto_ref", "aeroporto_outro"])
     service_types = clean_columns(service_types, ["cod_tipo_servico"])
     airports = clean_columns(airports, ["aeroporto_icao"])
+    # measured once, concurrently (the airport dimension serves two roles);
+    # a later dedup only shrinks them, so the bounds still hold
+    services_small, airports_small = joins.measure(service_types, airports)
     if unique_dimensions:
         airports = dedup.by_key(airports, ["aeroporto_icao"])
-    # measured once, concurrently (the airport dimension serves two roles)
-    services_small, airports_small = joins.measure(service_types, airports)
     steps = [
         partial(joins.lookup, dim=service_types, fact_key="tipo_servico",
-                dim_key="cod_tipo_servico", unique=unique_dimensions,
-                small=None if unique_dimensions else services_small),
+                dim_key="cod_tipo_servico", unique=unique_dimensions, small=services_small),
         partial(enrich.weekday_column, column="data_manobra", labels=WEEKDAY_LABELS,
                 out="dia_semana", default=WEEKDAY_DEFAULT),
         partial(enrich.date_range_flag, column="data_manobra", low=DECREE_START,
