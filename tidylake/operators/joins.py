@@ -140,23 +140,23 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     same_names = fks == dks
 
     if use_broadcast:
-        small = F.broadcast(dim)
+        bdim = F.broadcast(dim)
         if same_names:
-            return fact.join(small, on=fks, how=how)
-        cond = [fact[f] == small[d] for f, d in zip(fks, dks)]
-        return fact.join(small, on=cond, how=how)
+            return fact.join(bdim, on=fks, how=how)
+        cond = [fact[f] == bdim[d] for f, d in zip(fks, dks)]
+        return fact.join(bdim, on=cond, how=how)
 
     # Shuffle join: salt the partitioning so null (or hot) keys spread out.
-    salt_cols = [ref(c) for c in (salt_by or fact.columns)]
-    row_hash = F.pmod(F.xxhash64(*salt_cols), F.lit(max(skew_salt, null_salt, 1)))
-    if skew_salt > 1:
-        fact_salt = F.pmod(F.xxhash64(*salt_cols), F.lit(skew_salt))
+    row_hash = F.xxhash64(*[ref(c) for c in (salt_by or fact.columns)])
+    if skew_salt > 1:  # every key over skew_salt partitions, dimension replicated
+        fact_salt = F.pmod(row_hash, F.lit(skew_salt))
         dim_s = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(skew_salt - 1))))
-    else:
+    else:  # only rows with a null key (they never match) spread out
         any_null = None
         for f in fks:
             any_null = ref(f).isNull() if any_null is None else any_null | ref(f).isNull()
-        fact_salt = F.when(any_null, row_hash).otherwise(F.lit(0)) if null_salt > 1 else F.lit(0)
+        fact_salt = (F.when(any_null, F.pmod(row_hash, F.lit(null_salt))).otherwise(F.lit(0))
+                     if null_salt > 1 else F.lit(0))
         dim_s = dim.withColumn(_SALT, F.lit(0))
     fact_s = fact.withColumn(_SALT, fact_salt.cast("int"))
     dim_s = dim_s.withColumn(_SALT, F.col(_SALT).cast("int"))
