@@ -404,7 +404,7 @@ def silver_dimension(spark, d):
     return read_parquet(spark, f"{base}/silver")
 
 
-WEEKDAYS_AND_FLAGS = dict(low="1996-03-20", high="1998-04-22",
+SHIPPING_RULES = dict(low="1996-03-20", high="1998-04-22",
                           delay_minutes={"A": 43200, "R": 86400})
 
 
@@ -427,11 +427,11 @@ def gold_enriched(spark, d):
     fact = joins.lookup(fact, part, "l_partkey", "p_partkey", small=p_s)
     fact = enrich.weekday_column(fact, "l_shipdate", airport.WEEKDAY_LABELS, "weekday",
                                  airport.WEEKDAY_DEFAULT)
-    fact = enrich.date_range_flag(fact, "l_shipdate", WEEKDAYS_AND_FLAGS["low"],
-                                  WEEKDAYS_AND_FLAGS["high"], "in_range")
+    fact = enrich.date_range_flag(fact, "l_shipdate", SHIPPING_RULES["low"],
+                                  SHIPPING_RULES["high"], "in_range")
     fact = enrich.delay_flag(fact, actual="l_shipdate", planned="o_orderdate",
                              category="l_returnflag",
-                             thresholds=WEEKDAYS_AND_FLAGS["delay_minutes"], out="late")
+                             thresholds=SHIPPING_RULES["delay_minutes"], out="late")
     fact = enrich.directional_endpoints(fact, "l_returnflag", own="c_nationkey",
                                         other="s_nationkey", out_from="k_from", out_to="k_to",
                                         outbound="A", inbound="R")
