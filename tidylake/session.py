@@ -59,11 +59,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered as the checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = None
+    try:
+        context = spark.sparkContext  # absent on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        pass
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tidylake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if context is not None:
+            context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

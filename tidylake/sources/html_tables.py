@@ -226,8 +226,11 @@ def _spread(src: DataFrame, keys: Sequence[str]) -> DataFrame:
     cluster has task slots (e.g. one large row group).  Hash-partitioned on the
     page keys (deterministic on retry); a large input already split into many
     partitions is left alone, so no HTML is shuffled at scale."""
-    slots = src.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() >= slots:
+    try:
+        slots = src.sparkSession.sparkContext.defaultParallelism
+        if src.rdd.getNumPartitions() >= slots:
+            return src
+    except Exception:  # noqa: BLE001  (Spark Connect: no RDD view, leave as is)
         return src
     return src.repartition(slots, *keys) if keys else src.repartition(slots)
 
