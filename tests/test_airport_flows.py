@@ -183,3 +183,15 @@ def test_run_all_layout(spark, tmp):
     gold = spark.read.parquet(f"{tmp}/lake/gold")
     assert {r.nome_aeroporto_partida for r in gold.collect()} == {"Guarulhos"}
     assert {r.tipo_servico_desc for r in gold.collect()} == {"Normal"}
+
+
+def test_rerun_one_year_dynamic(spark, lake, tmp):
+    """Re-running 2022 alone with dynamic overwrite keeps the 2021 partitions."""
+    silver = f"{lake['silver']}/movements"
+    before = spark.read.parquet(silver).count()
+    n = airport.movements_to_silver(spark, f"{tmp}/raw", silver, years=["2022"], dynamic=True)
+    assert n == 2
+    assert spark.read.parquet(silver).count() == before
+    g = airport.silver_to_gold(spark, lake["silver"], f"{tmp}/gold", years=["2022"],
+                               dynamic=True)
+    assert g == 2 and spark.read.parquet(f"{tmp}/gold").count() == lake["n_gold"]

@@ -216,14 +216,16 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         years: Sequence[str] = MOVEMENT_YEARS,
                         variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
                         parity: bool = False, strict_header: bool = True,
-                        discover: bool = True) -> int:
+                        discover: bool = True, dynamic: bool = False) -> int:
     """Raw movement CSVs -> silver, partitioned by year and month name.
 
     ``discover=True`` finds the column layouts from the files' header lines
     (any number of layouts, no list of exceptions); ``discover=False`` uses
     the declared ``variant_files`` names, as the original did.  Every file's
     header is also checked by the scan itself (``strict_header``), so an
-    undeclared layout fails instead of being misread.  Returns the rows
+    undeclared layout fails instead of being misread.  ``dynamic`` replaces
+    only the year/month partitions present in the input (re-running one month
+    keeps the others); the default replaces the whole table.  Returns the rows
     written.
     """
     if discover:
@@ -235,7 +237,7 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
     raw = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=strict_header)
     silver = clean_movements(raw, parity)
     return sinks.write_parquet(silver, silver_path, MOVEMENT_PARTITIONS, rebalance=True,
-                               count=True)
+                               dynamic=dynamic, count=True)
 
 
 def sentinel_rows(spark: SparkSession, path: str, sentinel_column: str = "qtd_carga",
@@ -307,10 +309,17 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
 
 
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
-                   unique_dimensions: bool = False) -> int:
-    """Read the three silver tables, enrich, write gold partitioned; row count."""
+                   unique_dimensions: bool = False, dynamic: bool = False,
+                   years: Sequence[str] | None = None) -> int:
+    """Read the three silver tables, enrich, write gold partitioned; row count.
+
+    ``years`` restricts the run to those silver partitions (pruned folders);
+    with ``dynamic`` only the gold partitions written are replaced.
+    """
     root = silver_root.rstrip("/")
     movements = read_parquet(spark, f"{root}/movements", schema=silver_movement_schema())
+    if years:
+        movements = movements.where(F.col("ano").isin(list(years)))
     service_types = read_parquet(spark, f"{root}/service_types")
     airports = read_parquet(spark, f"{root}/airports")
     gold = enrich_movements(movements, service_types, airports, unique_dimensions)
@@ -318,7 +327,8 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
     # one ano/mes), the dimensions are broadcast, so each task writes into at
     # most a few gold folders and gold gets about as many files as silver.  A
     # rebalance would shuffle the widest table once more for nothing.
-    return sinks.write_parquet(gold, gold_path, MOVEMENT_PARTITIONS, count=True)
+    return sinks.write_parquet(gold, gold_path, MOVEMENT_PARTITIONS, dynamic=dynamic,
+                               count=True)
 
 
 def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str,
