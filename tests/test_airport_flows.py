@@ -49,6 +49,11 @@ def lake(spark, tmp):
         _move(8, DT_PREVISTO="2021-01-09", HH_PREVISTO="23:50", DT_TOQUE="2021-01-10",
               HH_TOQUE="00:20", DT_CALCO="2021-01-10"),  # over midnight: 30 min
         _move(9, QT_PAX_LOCAL="bad", NR_SERVICE_TYPE="Q"),  # malformed int, unknown service
+        # all six date/time values missing, twice: nulls are one dedup key
+        _move(10, DT_PREVISTO=None, HH_PREVISTO=None, DT_CALCO=None, HH_CALCO=None,
+              DT_TOQUE=None, HH_TOQUE=None, NR_VOO_NUMERO="1010"),
+        _move(11, DT_PREVISTO=None, HH_PREVISTO=None, DT_CALCO=None, HH_CALCO=None,
+              DT_TOQUE=None, HH_TOQUE=None, NR_VOO_NUMERO="1011"),
     ]
     _csv(f"{raw}/2021/mov_202101.csv", FIELDS, default)
     _csv(f"{raw}/2021/notes.txt", FIELDS, default[:1])
@@ -86,7 +91,7 @@ def lake(spark, tmp):
 
 
 def test_silver_movements(spark, lake):
-    assert lake["n_mov"] == 11  # 12 rows, two share all six date/time values
+    assert lake["n_mov"] == 12  # 14 rows; two pairs share all six date/time values
     df = read_parquet(spark, f"{lake['silver']}/movements",
                       schema=airport.silver_movement_schema())
     assert df.columns == list(airport.MOVEMENT_COLUMNS.values())
@@ -104,6 +109,8 @@ def test_silver_movements(spark, lake):
     assert str(by_plane["PR-001"].hora_prevista_movimento) == "2021-01-02 10:00:00"
     assert by_plane["PR-007"].numero_voo == "777"  # deterministic survivor
     assert by_plane["PR-020"].aeroporto_ref == "SBKP" and by_plane["PR-020"].mes == "Julho"
+    assert "PR-010" in by_plane and "PR-011" not in by_plane  # smallest flight number kept
+    assert by_plane["PR-010"].hora_manobra is None
     assert os.path.isdir(f"{lake['silver']}/movements/ano=2021/mes=Janeiro")
 
 
@@ -116,7 +123,7 @@ def test_silver_dimensions(spark, lake):
 
 
 def test_gold(spark, lake):
-    assert lake["n_gold"] == 11
+    assert lake["n_gold"] == 12
     gold = spark.read.parquet(f"{lake['tmp']}/gold")
     assert len(gold.columns) == 43
     g = {r.matricula_aeronave: r for r in gold.collect()}
@@ -135,6 +142,9 @@ def test_gold(spark, lake):
     assert g["PR-008"].atraso is True  # 23:50 -> 00:20 next day
     assert g["PR-009"].cod_tipo_servico is None  # unknown service type kept
     assert g["PR-020"].nome_aeroporto_partida == "Viracopos"
+    ten = g["PR-010"]
+    assert ten.dia_semana == "Dia não informado" and ten.pandemia_decreto is False
+    assert ten.atraso is False
 
 
 def test_declared_layouts_equal_discovered(spark, lake, tmp):
