@@ -4,8 +4,10 @@
 aggregation, not a window: ``min(struct(order..., rest...))`` is combined
 map-side before the single shuffle, so a hot key (for instance the group of
 rows whose keys are all null) reaches its reducer as one row per map task
-instead of all its rows.  A ``row_number()`` window would ship every row of
-the hot key to one task.
+instead of all its rows.  (A ``row_number() = 1`` window gets a similar
+map-side ``WindowGroupLimit`` from Spark's optimizer and measured about the
+same at sf0.1; the aggregation is kept because its map-side reduction does not
+depend on that rule firing.)
 """
 
 from __future__ import annotations
