@@ -205,3 +205,16 @@ def test_rerun_one_year_dynamic(spark, lake, tmp):
     g = airport.silver_to_gold(spark, lake["silver"], f"{tmp}/gold", years=["2022"],
                                dynamic=True)
     assert g == 2 and spark.read.parquet(f"{tmp}/gold").count() == lake["n_gold"]
+
+
+def test_latin1_raw_files(spark, tmp):
+    raw = f"{tmp}/latin/raw"
+    os.makedirs(f"{raw}/2021", exist_ok=True)
+    rec = _move(1, NR_AERONAVE_OPERADOR="AVIAÇÃO")
+    line = ";".join("null" if rec[c] is None else str(rec[c]) for c in FIELDS)
+    with open(f"{raw}/2021/m.csv", "w", encoding="latin-1") as fh:
+        fh.write(";".join(FIELDS) + "\n" + line.replace(ZW, "") + "\n")
+    n = airport.movements_to_silver(spark, raw, f"{tmp}/latin/silver", years=["2021"],
+                                    encoding="ISO-8859-1")
+    assert n == 1
+    assert spark.read.parquet(f"{tmp}/latin/silver").first().aeronave_operador == "AVIAÇÃO"

@@ -216,7 +216,8 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         years: Sequence[str] = MOVEMENT_YEARS,
                         variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
                         parity: bool = False, strict_header: bool = True,
-                        discover: bool = True, dynamic: bool = False) -> int:
+                        discover: bool = True, dynamic: bool = False,
+                        encoding: str = "utf-8") -> int:
     """Raw movement CSVs -> silver, partitioned by year and month name.
 
     ``discover=True`` finds the column layouts from the files' header lines
@@ -225,16 +226,19 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
     header is also checked by the scan itself (``strict_header``), so an
     undeclared layout fails instead of being misread.  ``dynamic`` replaces
     only the year/month partitions present in the input (re-running one month
-    keeps the others); the default replaces the whole table.  Returns the rows
-    written.
+    keeps the others); the default replaces the whole table.  ``encoding`` is
+    the raw files' character set (header discovery decodes the same way).
+    Returns the rows written.
     """
     if discover:
         in_years = "/(" + "|".join(re.escape(y) for y in years) + ")/[^/]+$"
         layouts = discover_layouts(spark, raw_root.rstrip("/"), movement_schema(parity),
-                                   MOVEMENT_COLUMNS, sep=";", include=in_years)
+                                   MOVEMENT_COLUMNS, sep=";", include=in_years,
+                                   encoding=encoding)
     else:
         layouts = movement_layouts(raw_root, years, variant_files, parity)
-    raw = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=strict_header)
+    raw = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=strict_header,
+                       encoding=encoding)
     silver = clean_movements(raw, parity)
     return sinks.write_parquet(silver, silver_path, MOVEMENT_PARTITIONS, rebalance=True,
                                dynamic=dynamic, count=True)
