@@ -178,3 +178,18 @@ def test_exclusion_matches_encoded_names(spark, tmp):
     assert read_csv(spark, f"{tmp}/enc", schema=schema, exclude=["e f.csv", "Março.csv"]).count() == 1
     full = [f"file:{tmp}/enc/e f.csv", f"file:{tmp}/enc/Março.csv"]
     assert read_csv(spark, f"{tmp}/enc", schema=schema, exclude=full).count() == 1
+
+
+@pytest.mark.parametrize("method", ["arrow", "spark"])
+def test_file_headers_methods_agree(spark, tmp, method):
+    from tidylake.sources import discover_layouts, file_headers
+    _write(f"{tmp}/h/2019/a.csv", "\ufeffK;V\n1;x\n2;y\n")
+    _write(f"{tmp}/h/2020/e f.csv", "V;K\nz;3\n")
+    _write(f"{tmp}/h/2020/a+b.csv", "K;V\n4;w\n")
+    heads = {r.path.rsplit("/", 1)[-1]: r.header
+             for r in file_headers(spark, f"{tmp}/h", method=method).collect()}
+    assert heads == {"a.csv": "K;V", "e f.csv": "V;K", "a+b.csv": "K;V"}
+    layouts = discover_layouts(spark, f"{tmp}/h", [("K", "int"), ("V", "string")], None,
+                               sep=";", method=method)
+    assert rows(read_layouts(spark, layouts, sep=";")) == [(1, "x"), (2, "y"), (3, "z"),
+                                                            (4, "w")]

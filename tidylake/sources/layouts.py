@@ -2,8 +2,9 @@
 
 Instead of a hand-kept list of files that use another column order, every
 file's first line is read inside Spark tasks (one small read per file, via
-``pyarrow.fs``; the file listing itself is Spark's ``binaryFile`` source with
-the content column pruned).  Files are grouped by header; each distinct
+``pyarrow.fs``, or Spark's own ``text`` source where Python cannot reach the
+filesystem; the file listing itself is Spark's ``binaryFile`` source with the
+content column pruned).  Files are grouped by header; each distinct
 header is mapped onto the canonical schema by column name, giving one
 ``CsvLayout`` per header.  The most common header becomes the layout that
 reads the whole folder minus the other layouts' files, so only the minority
@@ -59,14 +60,32 @@ def _first_line(path: str, encoding: str) -> str:
 
 def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.csv",
                  recursive: bool = True, include: str | None = None,
-                 encoding: str = "utf-8") -> DataFrame:
-    """``(path, header)`` for every matching file: one small read per file, in tasks."""
+                 encoding: str = "utf-8", method: str = "auto") -> DataFrame:
+    """``(path, header)`` for every matching file.
+
+    ``method="arrow"``: one small read per file inside tasks via ``pyarrow.fs``
+    (local, HDFS, S3, ...).  ``method="spark"``: Spark's own ``text`` source,
+    so any filesystem the cluster's Hadoop configuration reaches (e.g.
+    ``s3a://`` with credentials only in that configuration); it reads the
+    first block of every file, so it costs more.  ``"auto"`` probes one file
+    from the driver with ``pyarrow`` and falls back to ``"spark"``.
+    """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     files = reader.load(root if isinstance(root, str) else list(root)).select("path")
     if include:
         files = files.where(F.col("path").rlike(include))
+    if method == "auto":
+        first = files.limit(1).collect()
+        method = "arrow"
+        if first:
+            try:
+                _first_line(first[0]["path"], encoding)
+            except Exception:  # noqa: BLE001  (filesystem not reachable from Python)
+                method = "spark"
+    if method == "spark":
+        return _headers_with_spark(spark, root, glob, recursive, include)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -78,13 +97,38 @@ def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.
                                                 T.StructField("header", T.StringType())]))
 
 
+def _headers_with_spark(spark: SparkSession, root, glob: str, recursive: bool,
+                        include: str | None) -> DataFrame:
+    """First line of every file with Spark's ``text`` source (JVM only).
+
+    Rows of a file's first split arrive in file order, so the smallest
+    ``monotonically_increasing_id`` of that split is its first line.  Paths
+    come back in the raw form ``binaryFile`` uses (``_metadata`` percent-encodes
+    them).
+    """
+    reader = spark.read.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    lines = reader.text(root if isinstance(root, str) else list(root)).select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("i"), "value")
+    first = (lines.where(F.col("start") == 0).groupBy("uri")
+             .agg(F.min_by("value", "i").alias("header"))
+             .select(F.url_decode(F.regexp_replace("uri", r"\+", "%2B")).alias("path"),
+                     F.regexp_replace("header", "^\ufeff", "").alias("header")))
+    if include:
+        first = first.where(F.col("path").rlike(include))
+    return first
+
+
 def _names(header: str, sep: str) -> list[str]:
     return [c.strip().strip('"').strip() for c in header.split(sep)]
 
 
 def discover_layouts(spark: SparkSession, root: str, schema, rename: Mapping[str, str] | None,
                      sep: str = ",", glob: str = "*.csv", include: str | None = None,
-                     encoding: str = "utf-8") -> list[CsvLayout]:
+                     encoding: str = "utf-8", method: str = "auto") -> list[CsvLayout]:
     """One ``CsvLayout`` per distinct header found under ``root``.
 
     Every header must name exactly the columns of ``schema`` (any order);
@@ -94,7 +138,7 @@ def discover_layouts(spark: SparkSession, root: str, schema, rename: Mapping[str
     """
     schema = make_schema(schema)
     wanted = sorted(schema.fieldNames())
-    headers = file_headers(spark, root, glob, True, include, encoding).cache()
+    headers = file_headers(spark, root, glob, True, include, encoding, method).cache()
     try:
         counts = headers.groupBy("header").count().collect()
         if not counts:
