@@ -217,7 +217,7 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
                         parity: bool = False, strict_header: bool = True,
                         discover: bool = True, dynamic: bool = False,
-                        encoding: str = "utf-8") -> int:
+                        encoding: str = "utf-8", header_method: str = "auto") -> int:
     """Raw movement CSVs -> silver, partitioned by year and month name.
 
     ``discover=True`` finds the column layouts from the files' header lines
@@ -234,7 +234,7 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
         in_years = "/(" + "|".join(re.escape(y) for y in years) + ")/[^/]+$"
         layouts = discover_layouts(spark, raw_root.rstrip("/"), movement_schema(parity),
                                    MOVEMENT_COLUMNS, sep=";", include=in_years,
-                                   encoding=encoding)
+                                   encoding=encoding, method=header_method)
     else:
         layouts = movement_layouts(raw_root, years, variant_files, parity)
     raw = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=strict_header,
@@ -337,7 +337,8 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
 
 def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str,
             pages: DataFrame | None = None, years: Sequence[str] = MOVEMENT_YEARS,
-            parity: bool = False, unique_dimensions: bool = False) -> dict[str, int]:
+            parity: bool = False, unique_dimensions: bool = False,
+            encoding: str = "utf-8") -> dict[str, int]:
     """The whole chain in dependency order; returns the rows written per step.
 
     Layout: ``raw_root/movements/{year}/*.csv``,
@@ -351,7 +352,7 @@ def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str
         counts["raw_service_types"] = service_types_to_raw(pages, f"{raw}/service_types")
     counts["silver_movements"] = movements_to_silver(
         spark, f"{raw}/movements", f"{silver}/movements", years,
-        parity=parity)
+        parity=parity, encoding=encoding)
     counts["silver_service_types"] = service_types_to_silver(
         spark, f"{raw}/service_types", f"{silver}/service_types")
     counts["silver_airports"] = airports_to_silver(
@@ -374,12 +375,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--years", default=",".join(MOVEMENT_YEARS))
     ap.add_argument("--parity", action="store_true")
     ap.add_argument("--unique-dimensions", action="store_true")
+    ap.add_argument("--encoding", default="utf-8", help="character set of the raw CSV files")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.appName("tidylake-airport").getOrCreate())
     pages = spark.read.parquet(args.pages) if args.pages else None
     counts = run_all(spark, args.raw, args.silver, args.gold, pages,
                      [y for y in args.years.split(",") if y], args.parity,
-                     args.unique_dimensions)
+                     args.unique_dimensions, args.encoding)
     print(json.dumps(counts))
 
 
