@@ -376,8 +376,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--parity", action="store_true")
     ap.add_argument("--unique-dimensions", action="store_true")
     ap.add_argument("--encoding", default="utf-8", help="character set of the raw CSV files")
+    ap.add_argument("--ui", action="store_true", help="keep Spark's web UI on")
     args = ap.parse_args(argv)
-    spark = configure(SparkSession.builder.appName("tidylake-airport").getOrCreate())
+    builder = SparkSession.builder.appName("tidylake-airport")
+    if not args.ui:
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = configure(builder.getOrCreate())
     pages = spark.read.parquet(args.pages) if args.pages else None
     counts = run_all(spark, args.raw, args.silver, args.gold, pages,
                      [y for y in args.years.split(",") if y], args.parity,
