@@ -265,6 +265,18 @@ def _orders_with_customer(orders: DataFrame, customer: DataFrame, orders_small:
     return oc, (joins.checked_broadcast(oc) if orders_small else False)
 
 
+def left_join_unique_dimension(spark, d):
+    """J1 with D9: a dimension holding every key twice (two spellings of the
+    name); ``unique=True`` keeps one deterministic row per key, so the fact
+    rows are not multiplied."""
+    _start(spark)
+    customer = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
+    doubled = union_by_name([nation, nation.select(
+        "n_nationkey", F.lower("n_name").alias("n_name"))])
+    return joins.lookup(customer, doubled, "c_nationkey", "n_nationkey", unique=True)
+
+
 def _nation_role(role: str):
     return {"n_nationkey": f"{role}_nationkey", "n_name": f"nation_{role}"}
 
@@ -338,6 +350,15 @@ def date_range_flag(spark, d):
     return o.select("o_orderkey", "in_range")
 
 
+def date_range_whole_days(spark, d):
+    """E1 with D10: a range over timestamps with a time of day, last day
+    included entirely."""
+    _start(spark)
+    ev = enrich.date_range_flag(table(spark, d, "events"), "ts", "2024-01-10", "2024-01-20",
+                                "in_range", whole_days=True)
+    return ev.select("event_id", "in_range")
+
+
 def delay_flag(spark, d):
     """Minutes late against the start of the hour, per event type."""
     _start(spark)
@@ -463,6 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "code_label": code_label,
     "directional_endpoints": directional_endpoints_q,
     "left_join_dimension": left_join_dimension,
+    "left_join_unique_dimension": left_join_unique_dimension,
     "role_playing_join": role_playing_join,
     "dedup_subset": dedup_subset,
     "dedup_rows": dedup_rows,
@@ -470,6 +492,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_keys": clean_keys,
     "weekday_label": weekday_label,
     "date_range_flag": date_range_flag,
+    "date_range_whole_days": date_range_whole_days,
     "delay_flag": delay_flag,
     "silver_movements": silver_movements,
     "silver_dimension": silver_dimension,
@@ -531,6 +554,11 @@ ORACLE_SQL: dict[str, str] = {
     "left_join_dimension": (
         "SELECT c_custkey, c_nationkey, n_nationkey, n_name FROM customer LEFT JOIN "
         "(SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey"),
+    "left_join_unique_dimension": (
+        "SELECT c_custkey, c_nationkey, n_nationkey, n_name FROM customer LEFT JOIN "
+        "(SELECT n_nationkey, min(n_name) AS n_name FROM (SELECT n_nationkey, n_name FROM nation "
+        "UNION ALL SELECT n_nationkey, lower(n_name) FROM nation) GROUP BY n_nationkey) "
+        "ON c_nationkey = n_nationkey"),
     "role_playing_join": (
         "SELECT l_orderkey, l_linenumber, l_partkey, cn.n_name AS nation_from, "
         "sn.n_name AS nation_to FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey "
@@ -550,6 +578,9 @@ ORACLE_SQL: dict[str, str] = {
     "date_range_flag": (
         "SELECT o_orderkey, coalesce(o_orderdate BETWEEN TIMESTAMP '1996-03-20' AND "
         "TIMESTAMP '1998-04-22', false) AS in_range FROM orders"),
+    "date_range_whole_days": (
+        "SELECT event_id, coalesce(ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-21', "
+        "false) AS in_range FROM events"),
     "delay_flag": (
         "SELECT event_id, coalesce(((floor(epoch(ts)) - floor(epoch(date_trunc('hour', ts)))) "
         "/ 60 >= 30 AND event_type = 'click') OR ((floor(epoch(ts)) - "
