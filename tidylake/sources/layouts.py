@@ -76,6 +76,9 @@ def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.
     files = reader.load(root if isinstance(root, str) else list(root)).select("path")
     if include:
         files = files.where(F.col("path").rlike(include))
+    roots = [root] if isinstance(root, str) else list(root)
+    if method == "auto" and all(r.startswith("/") or r.startswith("file:") for r in roots):
+        method = "arrow"  # local files: always readable from Python, no probe needed
     if method == "auto":
         first = files.limit(1).collect()
         method = "arrow"
