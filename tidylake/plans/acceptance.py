@@ -54,7 +54,8 @@ def csv_scan_typed(spark, d):
     return read_csv(spark, path, schema=schema, sep=";", null_value="null", strict_header=True)
 
 
-def _variant_month(df: DataFrame):
+def _variant_month():
+    """Orders of one month are written in the variant column order."""
     return (F.year("o_orderdate") == 1996) & (F.month("o_orderdate") == 7)
 
 
@@ -63,7 +64,7 @@ def csv_scan_variant_union(spark, d):
     _start(spark)
     orders = table(spark, d, "orders")
     base = scratch_path(spark, "csv_scan_variant_union")
-    odd = F.coalesce(_variant_month(orders), F.lit(False))
+    odd = F.coalesce(_variant_month(), F.lit(False))
     variant_order = list(reversed(orders.columns))
     sinks.write_csv(orders.where(~odd), f"{base}/default", sep=";")
     sinks.write_csv(orders.where(odd).select(*variant_order), f"{base}/variant", sep=";")
@@ -382,7 +383,7 @@ def silver_movements(spark, d):
                         "o_orderdate", F.year("o_orderdate").cast("string").alias("ANO"),
                         F.date_format("o_orderdate", "MM").alias("MES"))
     base = scratch_path(spark, "silver_movements")
-    odd = F.coalesce(_variant_month(orders), F.lit(False))
+    odd = F.coalesce(_variant_month(), F.lit(False))
     variant_order = list(reversed(raw.columns))
     sinks.write_csv(raw.where(~odd), f"{base}/raw/default", sep=";")
     sinks.write_csv(raw.where(odd).select(*variant_order), f"{base}/raw/variant", sep=";")
