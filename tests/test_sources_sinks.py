@@ -193,3 +193,11 @@ def test_file_headers_methods_agree(spark, tmp, method):
                                sep=";", method=method)
     assert rows(read_layouts(spark, layouts, sep=";")) == [(1, "x"), (2, "y"), (3, "z"),
                                                             (4, "w")]
+
+
+def test_max_records_per_file(spark, tmp):
+    import glob
+    df = spark.range(100).select(F.col("id"), F.lit("x").alias("p")).coalesce(1)
+    sinks.write_parquet(df, f"{tmp}/mr", ["p"], max_records_per_file=30)
+    assert len(glob.glob(f"{tmp}/mr/p=x/*.parquet")) == 4
+    assert read_parquet(spark, f"{tmp}/mr").count() == 100

@@ -277,7 +277,7 @@ def service_types_to_silver(spark: SparkSession, raw_path: str, silver_path: str
 def airports_to_silver(spark: SparkSession, raw_path: str, silver_path: str) -> int:
     raw = read_csv(spark, raw_path, schema=AIRPORT_FIELDS, sep=",", null_value="null",
                    strict_header=True)
-    silver = select_renamed(raw, AIRPORT_COLUMNS).dropDuplicates()
+    silver = dedup.rows(select_renamed(raw, AIRPORT_COLUMNS))
     return sinks.write_parquet(silver, silver_path, count=True)
 
 

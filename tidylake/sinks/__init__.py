@@ -33,7 +33,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                   mode: str = "overwrite", dynamic: bool = False, rebalance: bool = False,
-                  count: bool = False) -> int | None:
+                  count: bool = False, max_records_per_file: int | None = None) -> int | None:
     """Write Parquet, optionally Hive-partitioned by ``partition_by``.
 
     * ``mode="overwrite"`` replaces the whole target (static overwrite);
@@ -45,12 +45,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
       month holding a third of the data does not become one huge task.
     * ``count`` returns the row count observed during the write (no second
       execution of the plan).
+    * ``max_records_per_file`` caps the rows per output file (a task that
+      holds many rows of one partition value writes several files).
     """
     partition_by = list(partition_by)
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     df, obs = _counted(df, count)
     writer = df.write.mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
