@@ -500,10 +500,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_enriched": gold_enriched,
 }
 
-_MONTHS = ("['Janeiro', 'Fevereiro', 'Março', 'Abril', 'Maio', 'Junho', 'Julho', 'Agosto', "
-           "'Setembro', 'Outubro', 'Novembro', 'Dezembro']")
-_WEEKDAYS_ISO = ("['Segunda-feira', 'Terça-feira', 'Quarta-feira', 'Quinta-feira', "
-                 "'Sexta-feira', 'Sábado', 'Domingo']")
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+# SQL arrays built from the fixed labels of the airport configuration
+_MONTHS = _sql_list(airport.MONTH_LABELS[m] for m in range(1, 13))
+_WEEKDAYS_ISO = _sql_list(airport.WEEKDAY_LABELS[d] for d in (
+    "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"))
 
 ORACLE_SQL: dict[str, str] = {
     "csv_scan_typed": "SELECT * FROM orders",
@@ -542,7 +546,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Final' WHEN 'O' THEN 'Open' "
         "ELSE o_orderstatus END AS o_orderstatus FROM orders"),
     "month_label": (
-        "SELECT o_orderkey, coalesce(" + _MONTHS + "[month(o_orderdate)], 'Mês não informado') "
+        "SELECT o_orderkey, coalesce(" + _MONTHS + "[month(o_orderdate)], '" + airport.MONTH_DEFAULT + "') "
         "AS mes FROM orders"),
     "code_label": (
         "SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN "
@@ -575,7 +579,7 @@ ORACLE_SQL: dict[str, str] = {
     "clean_keys": "SELECT n_nationkey, n_name AS n_key FROM nation",
     "weekday_label": (
         "SELECT o_orderkey, coalesce(" + _WEEKDAYS_ISO + "[isodow(o_orderdate)], "
-        "'Dia não informado') AS dia_semana FROM orders"),
+        "'" + airport.WEEKDAY_DEFAULT + "') AS dia_semana FROM orders"),
     "date_range_flag": (
         "SELECT o_orderkey, coalesce(o_orderdate BETWEEN TIMESTAMP '1996-03-20' AND "
         "TIMESTAMP '1998-04-22', false) AS in_range FROM orders"),
@@ -604,7 +608,7 @@ ORACLE_SQL: dict[str, str] = {
         "s_nationkey END AS k_from, CASE l_returnflag WHEN 'R' THEN c_nationkey WHEN 'A' "
         "THEN s_nationkey END AS k_to FROM f) "
         "SELECT l_orderkey, l_linenumber, l_partkey, p_name, coalesce(" + _WEEKDAYS_ISO +
-        "[isodow(l_shipdate)], 'Dia não informado') AS weekday, coalesce(l_shipdate BETWEEN "
+        "[isodow(l_shipdate)], '" + airport.WEEKDAY_DEFAULT + "') AS weekday, coalesce(l_shipdate BETWEEN "
         "TIMESTAMP '1996-03-20' AND TIMESTAMP '1998-04-22', false) AS in_range, "
         "coalesce(((floor(epoch(l_shipdate)) - floor(epoch(o_orderdate))) / 60 >= 43200 AND "
         "l_returnflag = 'A') OR ((floor(epoch(l_shipdate)) - floor(epoch(o_orderdate))) / 60 "
