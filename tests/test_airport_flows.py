@@ -218,3 +218,12 @@ def test_latin1_raw_files(spark, tmp):
                                     encoding="ISO-8859-1")
     assert n == 1
     assert spark.read.parquet(f"{tmp}/latin/silver").first().aeronave_operador == "AVIAÇÃO"
+
+
+def test_nested_folders_below_a_year(spark, tmp):
+    raw = f"{tmp}/nested/raw"
+    _csv(f"{raw}/2021/01/a.csv", FIELDS, [_move(1)])
+    _csv(f"{raw}/2021/02/b.csv", FIELDS, [_move(2, DT_TOQUE="2021-02-05")])
+    _csv(f"{raw}/2020/c.csv", FIELDS, [_move(3, ANO="2020")])
+    n = airport.movements_to_silver(spark, raw, f"{tmp}/nested/silver", years=["2021"])
+    assert n == 2

@@ -193,6 +193,11 @@ def clean_movements(df: DataFrame, parity: bool = False) -> DataFrame:
         dedup_order=[] if parity else ["numero_voo", "aeroporto_ref"])
 
 
+def _year_folders(years: Sequence[str]) -> str:
+    """Path pattern: a file anywhere below one of the year folders."""
+    return "/(" + "|".join(re.escape(y) for y in years) + ")/(?:[^/]+/)*[^/]+$"
+
+
 def movement_layouts(raw_root: str, years: Sequence[str] = MOVEMENT_YEARS,
                      variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
                      parity: bool = False) -> list[CsvLayout]:
@@ -201,7 +206,7 @@ def movement_layouts(raw_root: str, years: Sequence[str] = MOVEMENT_YEARS,
     year), which have the variant order.  A missing year folder or variant
     file just contributes no rows."""
     root = raw_root.rstrip("/")
-    in_years = "/(" + "|".join(re.escape(y) for y in years) + ")/[^/]+$"
+    in_years = _year_folders(years)
     layouts = [CsvLayout(root, movement_schema(parity), MOVEMENT_COLUMNS,
                          exclude=list(variant_files), glob="*.csv", recursive=True,
                          include=in_years)]
@@ -231,7 +236,7 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
     Returns the rows written.
     """
     if discover:
-        in_years = "/(" + "|".join(re.escape(y) for y in years) + ")/[^/]+$"
+        in_years = _year_folders(years)
         layouts = discover_layouts(spark, raw_root.rstrip("/"), movement_schema(parity),
                                    MOVEMENT_COLUMNS, sep=";", include=in_years,
                                    encoding=encoding, method=header_method)
