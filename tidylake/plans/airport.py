@@ -373,13 +373,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     from tidylake.session import configure
 
     ap = argparse.ArgumentParser(description="raw -> silver -> gold airport movements")
-    ap.add_argument("--raw", required=True)
-    ap.add_argument("--silver", required=True)
-    ap.add_argument("--gold", required=True)
+    ap.add_argument("--raw", required=True,
+                    help="raw root: movements/{year}/*.csv, airports/airport-codes.csv")
+    ap.add_argument("--silver", required=True, help="silver root (three tables below it)")
+    ap.add_argument("--gold", required=True, help="gold table path (partitioned by ano, mes)")
     ap.add_argument("--pages", help="Parquet table (page_id, url, html) with the metadata page")
-    ap.add_argument("--years", default=",".join(MOVEMENT_YEARS))
-    ap.add_argument("--parity", action="store_true")
-    ap.add_argument("--unique-dimensions", action="store_true")
+    ap.add_argument("--years", default=",".join(MOVEMENT_YEARS),
+                    help="comma-separated year folders to ingest")
+    ap.add_argument("--parity", action="store_true",
+                    help="reproduce the original behaviour where it is questionable")
+    ap.add_argument("--unique-dimensions", action="store_true",
+                    help="one deterministic row per dimension key (no fan-out)")
     ap.add_argument("--encoding", default="utf-8", help="character set of the raw CSV files")
     ap.add_argument("--ui", action="store_true", help="keep Spark's web UI on")
     args = ap.parse_args(argv)
