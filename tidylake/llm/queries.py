@@ -6,7 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidylake.llm import mixing, quality, sharding, topk, url_filter
+import public_tokenizers
+
+from tidylake.llm import bpe, mixing, quality, sharding, token_output, topk, url_filter
+from tidylake.llm.common import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +26,24 @@ def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+TOKEN_FILE = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def op7_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "tokens")
+    token_output.write_tokens(_table(spark, sf_dir, "documents"), out,
+                              public_tokenizers.path(TOKEN_FILE), END_ID)
+    return token_output.id_crc32(token_output.read_tokens(spark, out))
+
+
+WORD_FILE = "word_bpe_49k.json"
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_FILE))
+
+
 SHARDS = 24
 
 
@@ -69,7 +90,9 @@ QUERIES = {
     "op2_compression_bands": op2_compression_bands,
     "op3_mixture": op3_mixture,
     "op6_exact_top_k": op6_exact_top_k,
+    "op7_token_lists": op7_token_lists,
     "op8_interleaved_shards": op8_interleaved_shards,
+    "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
 }
 
