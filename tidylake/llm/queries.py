@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidylake.llm import bpe, mixing, quality, sharding, token_output, topk, url_filter
+from tidylake.llm import bpe, html_text, mixing, quality, sharding, token_output, topk, url_filter
 from tidylake.llm.common import scratch_path
 
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_style_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.compression_bands(docs).drop("text")
@@ -87,6 +91,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_style_tree_text": op1_style_tree_text,
     "op2_compression_bands": op2_compression_bands,
     "op3_mixture": op3_mixture,
     "op6_exact_top_k": op6_exact_top_k,
