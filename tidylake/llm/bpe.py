@@ -40,6 +40,7 @@ from tidylake.llm.common import ref
 
 REMEMBERED_WORDS = 300_000
 REMEMBERED_PAIRS = 1_000_000
+SLICE_BYTES = 4_000_000
 _ENDED = 0x1000  # added to a word's last symbol
 
 
@@ -279,38 +280,54 @@ def load(path: str) -> Codec:
         return Codec(f.read())
 
 
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``SLICE_BYTES``, at least one row each."""
+    for batch in batches:
+        rows = max(1, int(len(batch) * SLICE_BYTES / max(batch.nbytes, 1)))
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _mapped(df: DataFrame, column: str, name: str, kind: str, path: str, values) -> DataFrame:
-    """``df`` with column ``name``: ``values(codec, pyarrow array)`` per batch of
-    ``column``; all other columns stay in Spark."""
+    """``df`` with column ``name``: ``values(codec, pyarrow array)`` of ``column``."""
     shared = df.sparkSession.sparkContext.broadcast(load(path))
+    # by place, so that no name can clash
+    own = [c for c in df.columns if c != name]
+    source = df.select(*[ref(c).alias(f"c{i}") for i, c in enumerate(own)],
+                       ref(column).alias("source"))
+    kinds = [f.dataType.simpleString() for f in source.schema.fields[:-1]]
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared.value.prepare()
-        for series in batches:
-            yield values(codec, series)
+        for batch in _batches(batches):
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], values(codec, batch.column(len(kinds)))],
+                names=[*[f"c{i}" for i in range(len(kinds))], "made"])
+
+    schema = ", ".join([*[f"c{i} {k}" for i, k in enumerate(kinds)], f"made {kind}"])
+    made = source.mapInArrow(run, schema)
+    return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)],
+                       F.col("made").alias(name))
+
 
-    # evaluated by Spark in a task; the annotations choose the iterator form
-    import pandas as pd
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    made = F.pandas_udf(run, kind)(ref(column))
-    return df.select(*[ref(c) for c in df.columns if c != name], made.alias(name))
+def _encode(codec: Codec, texts: pa.Array) -> pa.Array:
+    found = [codec.encode(t.as_py() or "").astype(np.int32) for t in texts]
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def encoded(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with the token ids (array of int) of every whole text; a null text
     counts as empty and has no ids."""
-    import pandas as pd
-    return _mapped(df, text_col, ids_col, "array<int>", path, lambda codec, texts: pd.Series(
-        [codec.encode(t or "").astype(np.int32) for t in texts], dtype=object))
+    return _mapped(df, text_col, ids_col, "array<int>", path, _encode)
 
 
 def decoded(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with the decoded text of every list of ids; a null list counts as
     empty and decodes to an empty text."""
-    import pandas as pd
-    return _mapped(df, ids_col, text_col, "string", path, lambda codec, lists: pd.Series(
-        [codec.decode(np.asarray([] if x is None else x, np.int64)).decode() for x in lists],
-        dtype=object))
+    return _mapped(df, ids_col, text_col, "string", path, lambda codec, lists: pa.array(
+        [codec.decode(np.array(x.as_py() or [], np.int64)).decode() for x in lists], pa.string()))
 
 
 def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

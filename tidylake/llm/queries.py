@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidylake.llm import bpe, html_text, mixing, quality, sharding, token_output, topk, toxicity, url_filter
+from tidylake.llm import (bpe, html_text, mixing, quality, sharding, token_groups, token_output,
+                          topk, toxicity, url_filter)
 from tidylake.llm.common import scratch_path
 
 
@@ -30,6 +31,10 @@ def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_groups.clusters(token_groups.jaccard_join(_table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
@@ -100,6 +105,7 @@ QUERIES = {
     "op1_style_tree_text": op1_style_tree_text,
     "op2_compression_bands": op2_compression_bands,
     "op3_mixture": op3_mixture,
+    "op4_token_groups": op4_token_groups,
     "op5_toxicity": op5_toxicity,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_token_lists": op7_token_lists,
