@@ -49,7 +49,8 @@ def op7_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
     token_output.write_tokens(_table(spark, sf_dir, "documents"), out,
                               public_tokenizers.path(TOKEN_FILE), END_ID)
-    return token_output.id_crc32(token_output.read_tokens(spark, out))
+    rows = token_output.id_crc32(token_output.read_tokens(spark, out))
+    return token_output.placed(rows, out).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 WORD_FILE = "word_bpe_49k.json"

@@ -12,20 +12,23 @@ Every row carries ``first``, the place of its first id within its file, so the
 place in the whole output is the file's start plus ``first``; file starts come
 from one sum per file.
 
-Encoding goes by chunks that begin at a single space before a non-space
-character.  In byte-level vocabularies a token never spans such a place, so a
-chunk has the same ids anywhere; ids of chunks met before are remembered.
+The library encodes chunks: runs of letters (with the space before) and what
+lies between.  In byte-level vocabularies no token spans the border of two
+chunks, so a chunk has the same ids anywhere; ids of chunks met before are
+remembered.  Texts with characters outside the Latin range, and texts that hold
+a special token, are encoded whole.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -33,8 +36,10 @@ from tidylake.llm.common import ref
 
 REMEMBERED_CHUNKS = 300_000
 BATCH_CHUNKS = 20_000
-#: Rows of one Arrow batch handed back to Spark hold about this many ids.
-BATCH_IDS = 1_000_000
+RUN_WORDS = 500
+_SPACE = "\u0120"  # stands for a space in byte-level vocabularies
+#: Texts encoded together, and so the rows of an Arrow batch, hold about this much.
+BATCH_CHARS = 2_000_000
 # Parquet writer settings: row groups, pages, dictionary, delta-capable v2 pages.
 ROW_GROUP_BYTES = 32 * 1024 * 1024
 WRITER = {
@@ -47,7 +52,14 @@ WRITER = {
     "compression": "zstd",
 }
 
-_CHUNK = re.compile(r" (?=\S)")
+# Runs of letters with at most one space before, and what lies between.  Neither
+# an apostrophe nor white space may end a chunk that a letter follows: what the
+# library makes of them depends on that letter.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+_CHUNK = re.compile(rf" ?[{_LETTER}]+(?:'[{_LETTER}]+)*"
+                    rf"|(?:(?! ?[{_LETTER}])[\s\S])+(?:(?<=['\s])[{_LETTER}]+)?")
+# a character beyond these may be a letter that continues a run
+_PLAIN = re.compile(r"[\x00-\x7F\xA1-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF-\u024F]*")
 
 
 class Encoder:
@@ -68,42 +80,50 @@ class Encoder:
             added = self.tokenizer.get_added_tokens_decoder().values()
             self.specials = [str(t.content) for t in added]
             self.known: dict[str, bytes] = {}
+            tokens = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.spaced = np.zeros(max(tokens.values()) + 1, bool)
+            self.spaced[[i for t, i in tokens.items() if t.startswith(_SPACE)]] = True
         return self
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of chunks that are a space and letters.  They go through the
+        library in runs: only a word's first token begins with a space, so the
+        run's ids fall apart into the words'."""
+        runs = [words[at:at + RUN_WORDS] for at in range(0, len(words), RUN_WORDS)]
+        out = []
+        for run, found in zip(runs, self.tokenizer.encode_batch_fast(
+                ["".join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            starts = (np.flatnonzero(self.spaced[ids]) * 4).tolist()
+            if len(starts) != len(run):
+                raise ValueError("the vocabulary does not mark the space before a word")
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
+        return out
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each whole text, the end id appended."""
-        split: list[list[str] | bytes] = []
-        missing: dict[str, None] = {}
-        out: list[bytes] = []
-
-        def flush() -> None:
-            for at in range(0, len(missing), BATCH_CHUNKS):
-                part = list(missing)[at:at + BATCH_CHUNKS]
-                self.known.update(zip(part, self._whole(part)))
-            known = self.known
-            for x in split:
-                out.append(x if isinstance(x, bytes)
-                           else b"".join([known[c] for c in x]) + self.end)
-            split.clear()
-            missing.clear()
-            if len(known) > REMEMBERED_CHUNKS:
-                known.clear()
-
-        for text in texts:
-            if any(s in text for s in self.specials):  # a special token may span chunks
-                split.append(self._whole([text])[0] + self.end)
-                continue
-            first, *rest = _CHUNK.split(text)
-            chunks = [first] + [" " + c for c in rest]
-            missing.update((c, None) for c in chunks if c not in self.known)
-            split.append(chunks)
-            if len(missing) >= BATCH_CHUNKS:
-                flush()
-        flush()
+        whole = [any(s in t for s in self.specials) or not _PLAIN.fullmatch(t) for t in texts]
+        pieces = [() if w else _CHUNK.findall(t) for t, w in zip(texts, whole)]
+        met: set[str] = set()
+        met.update(*pieces)
+        known = self.known
+        missing = [p for p in met if p not in known]
+        words = [p for p in missing if p[0] == " " and p[1:].isalpha()]
+        known.update(zip(words, self._words(words)))
+        missing = [p for p in missing if p not in known]
+        for at in range(0, len(missing), BATCH_CHUNKS):
+            part = missing[at:at + BATCH_CHUNKS]
+            known.update(zip(part, self._library(part)))
+        out = [self._library([t])[0] + self.end if w
+               else b"".join(map(known.__getitem__, p)) + self.end
+               for t, w, p in zip(texts, whole, pieces)]
+        if len(known) > REMEMBERED_CHUNKS:
+            known.clear()
         return out
 
 
@@ -121,7 +141,7 @@ def encode_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             at = 0
             while at < len(texts):
                 piece, size = [], 0
-                while at + len(piece) < len(texts) and size < 4 * BATCH_IDS:
+                while at + len(piece) < len(texts) and size < BATCH_CHARS:
                     piece.append(texts[at + len(piece)].as_py() or "")
                     size += len(piece[-1])
                 found = encoder.encode(piece)
@@ -158,36 +178,39 @@ def write_tokens(df: DataFrame, out: str, tokenizer_path: str, end_id: int,
         **WRITER, maxRecordsPerFile=0).parquet(out)
 
 
-def read_tokens(spark, out: str, columns=("doc_id", "first", "n_tokens", "ids")) -> DataFrame:
-    """The written rows with ``start``, the ids of all documents before each;
-    only ``columns`` and ``first`` are read from the files."""
-    rows = spark.read.parquet(out).select(
-        *columns, F.col("first").alias("__tl_first"),
-        F.col("_metadata.file_name").alias("__tl_file"))
-    totals = spark.read.parquet(out).groupBy(
-        F.col("_metadata.file_name").alias("__tl_file")).agg(
-        F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("__tl_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("__tl_file", F.coalesce(F.sum("n").over(before), F.lit(0))
-                           .cast("long").alias("__tl_base"))
-    return rows.join(starts, "__tl_file").select(
-        *columns, (F.col("__tl_base") + F.col("__tl_first")).alias("start"))
+def read_tokens(spark: SparkSession, out: str,
+                columns: Sequence[str] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
+    """Columns of the written rows, and ``first`` and ``file``; no other column
+    is read from the files."""
+    return spark.read.parquet(out).select(
+        *columns, "first", F.col("_metadata.file_name").alias("file"))
+
+
+def placed(rows: DataFrame, out: str) -> DataFrame:
+    """``rows`` of :func:`read_tokens` with ``start``, the ids of all documents
+    before each, for ``first`` and ``file``."""
+    totals = rows.sparkSession.read.parquet(out).groupBy(
+        F.col("_metadata.file_name").alias("file")).agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return rows.join(starts, "file").withColumn(
+        "start", (F.col("base") + F.col("first")).cast("long")).drop("base", "first", "file")
 
 
-def id_crc32(tokens: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32``: the unsigned CRC-32 of each
-    document's ids as little-endian unsigned 32-bit integers."""
-    kind = dict(tokens.dtypes)["doc_id"]
+def id_crc32(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``ids`` replaced by ``ids_crc32``: the unsigned CRC-32 of
+    each document's ids as little-endian unsigned 32-bit integers."""
+    others = [c for c in rows.columns if c != "ids"]
+    kinds = dict(rows.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(3)
+            ids = batch.column(0)
             ends = ids.offsets.to_numpy()
             values = ids.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
             crc = [zlib.crc32(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(crc, pa.int64()), *batch.columns[1:]],
+                                             names=["ids_crc32", *others])
 
-    return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return rows.select("ids", *others).mapInArrow(
+        run, ", ".join(["ids_crc32 long", *(f"`{c}` {kinds[c]}" for c in others)]))
