@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import rows
 from tidylake.plans import airport
 from tidylake.sources import read_parquet
 
@@ -227,3 +228,42 @@ def test_nested_folders_below_a_year(spark, tmp):
     _csv(f"{raw}/2020/c.csv", FIELDS, [_move(3, ANO="2020")])
     n = airport.movements_to_silver(spark, raw, f"{tmp}/nested/silver", years=["2021"])
     assert n == 2
+
+
+def test_year_folders_are_directly_below_the_root(spark, tmp):
+    """A year in the root's own path, or deeper down, does not count."""
+    raw = f"{tmp}/2022/raw dir"
+    for year in ("2010", "2022"):
+        _csv(f"{raw}/{year}/a.csv", FIELDS, [_move(int(year), ANO=year)])
+    _csv(f"{raw}/2010/2022/b.csv", FIELDS, [_move(3, ANO="2010")])
+    for discover in (True, False):
+        n = airport.movements_to_silver(spark, raw, f"{tmp}/y{discover}", years=["2021", "2022"],
+                                        discover=discover)
+        assert n == 1
+
+
+def test_dynamic_rerun_equals_the_full_run(spark, tmp):
+    """Rows without a year in two folders, and a row in the other year's folder."""
+    raw = f"{tmp}/rr/raw"
+    _csv(f"{raw}/2021/a.csv", FIELDS, [_move(1, ANO="2021"), _move(2, ANO="null"),
+                                       _move(3, ANO="2022")])
+    _csv(f"{raw}/2022/b.csv", FIELDS, [_move(4, ANO="2022"), _move(5, ANO="null"),
+                                       _move(6, ANO="2021"), _move(1, ANO="2021")])
+    silver = f"{tmp}/rr/silver"
+    years = ["2021", "2022"]
+    airport.movements_to_silver(spark, raw, silver, years=years)
+    full = rows(spark.read.parquet(silver))
+    for again in years:
+        airport.movements_to_silver(spark, raw, silver, years=[again], dynamic=True, all_years=years)
+        assert rows(spark.read.parquet(silver)) == full
+
+
+def test_page_choice(spark, tmp):
+    table = "<table><tr>" + "".join(f"<th>{h}</th>" for h in airport.SERVICE_TYPE_COLUMNS) + "</tr><tr>" \
+        + "<td>x</td>" * len(airport.SERVICE_TYPE_COLUMNS) + "</tr></table>"
+    other = "<table><tr><td>x</td></tr><tr><td>y</td></tr></table>"
+    pages = spark.createDataFrame([("u1", other * 2 + table), ("u2", other * 3), ("u3", other)],
+                                  "url string, html string")
+    assert airport.service_types_to_raw(pages, f"{tmp}/chosen", url="u1") == 1
+    with pytest.raises(Exception, match="no column"):
+        airport.service_types_to_raw(pages, f"{tmp}/all")

@@ -67,3 +67,11 @@ def test_expressions_stay_in_codegen(spark):
     plan = df.select(clean_key("k"), map_labels("k", {"1": "a"}, "b"))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_malformed_seconds_are_not_absent_ones(spark):
+    from tidylake.functions.time import seconds_of_day
+    texts = ["10:30", "10:30:05", "10:30:ab", "10:30:45.5", "10:30:", "10:30:60", "24:00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(seconds_of_day("t")).collect()] == [
+        37800, 37805, None, None, None, None, None, None]

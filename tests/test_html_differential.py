@@ -24,7 +24,7 @@ class ReferenceCollector(HTMLParser):
         for k, v in attrs:
             if k == name and v and v.strip()[:1].isdigit():
                 digits = "".join(c for c in v.strip() if c.isdigit()) or "1"
-                return max(1, min(int(digits[:4]), 1000))
+                return max(1, int(digits))
         return 1
 
     def _close_cell(self, t):

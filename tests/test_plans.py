@@ -7,8 +7,8 @@ TABLE_DIR = "/root/testdata/sf0.001"
 
 
 def _keys():
-    from __spark_entry__ import queries
-    return list(queries())
+    from tidylake.plans.acceptance import QUERIES
+    return list(QUERIES)
 
 
 @pytest.mark.parametrize("key", _keys())

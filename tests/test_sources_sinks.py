@@ -180,17 +180,16 @@ def test_exclusion_matches_encoded_names(spark, tmp):
     assert read_csv(spark, f"{tmp}/enc", schema=schema, exclude=full).count() == 1
 
 
-@pytest.mark.parametrize("method", ["arrow", "spark"])
-def test_file_headers_methods_agree(spark, tmp, method):
+def test_file_headers(spark, tmp):
     from tidylake.sources import discover_layouts, file_headers
     _write(f"{tmp}/h/2019/a.csv", "\ufeffK;V\n1;x\n2;y\n")
     _write(f"{tmp}/h/2020/e f.csv", "V;K\nz;3\n")
     _write(f"{tmp}/h/2020/a+b.csv", "K;V\n4;w\n")
     heads = {r.path.rsplit("/", 1)[-1]: r.header
-             for r in file_headers(spark, f"{tmp}/h", method=method).collect()}
+             for r in file_headers(spark, f"{tmp}/h").collect()}
     assert heads == {"a.csv": "K;V", "e f.csv": "V;K", "a+b.csv": "K;V"}
     layouts = discover_layouts(spark, f"{tmp}/h", [("K", "int"), ("V", "string")], None,
-                               sep=";", method=method)
+                               sep=";")
     assert rows(read_layouts(spark, layouts, sep=";")) == [(1, "x"), (2, "y"), (3, "z"),
                                                             (4, "w")]
 
@@ -201,3 +200,89 @@ def test_max_records_per_file(spark, tmp):
     sinks.write_parquet(df, f"{tmp}/mr", ["p"], max_records_per_file=30)
     assert len(glob.glob(f"{tmp}/mr/p=x/*.parquet")) == 4
     assert read_parquet(spark, f"{tmp}/mr").count() == 100
+
+
+def test_long_and_latin1_headers(spark, tmp):
+    import os
+
+    from tidylake.sources import file_headers
+    names = [f"coluna_{i}_é" for i in range(120_000)]  # longer than a mebibyte
+    os.makedirs(f"{tmp}/l")
+    with open(f"{tmp}/l/a.csv", "w", encoding="latin-1") as f:
+        f.write(";".join(names) + "\n1\n")
+    header = file_headers(spark, f"{tmp}/l", encoding="latin-1").first().header
+    assert header.split(";") == names
+
+
+def test_headers_read_no_more_of_longer_files(spark, tmp, monkeypatch):
+    import io
+
+    from tidylake.sources import layouts
+    read = []
+
+    class Counted(io.BytesIO):
+        def read(self, n=-1):
+            block = super().read(n)
+            read.append(len(block))
+            return block
+
+    for rows_ in (10, 1_000_000):
+        monkeypatch.setattr(layouts, "_open", lambda p, o, n=rows_: Counted(b"K;V\n" + b"1;x\n" * n))
+        assert layouts._first_line("any", "utf-8") == "K;V"
+    assert max(read) <= 65536 and len(read) == 2
+
+
+def test_unreachable_header_is_an_error():
+    from tidylake.sources import layouts
+    with pytest.raises(Exception):
+        layouts._first_line("file:/no/such/file.csv", "utf-8")
+
+
+def test_half_the_files_in_each_of_two_layouts(spark, tmp):
+    import itertools
+
+    from tidylake.sources import discover_layouts
+    columns = ["K", "V", "W"]
+    orders = list(itertools.permutations(columns))[:5]
+    want = []
+    for i in range(20):
+        order = orders[i % 2] if i < 16 else orders[2 + i % 3]
+        row = {"K": str(i), "V": f"v{i}", "W": f"w{i}"}
+        _write(f"{tmp}/two/{i}.csv", ";".join(order) + "\n" + ";".join(row[c] for c in order) + "\n")
+        want.append((i, f"v{i}", f"w{i}"))
+    layouts = discover_layouts(spark, f"{tmp}/two", [("K", "int"), ("V", "string"), ("W", "string")],
+                               None, sep=";")
+    assert rows(read_layouts(spark, layouts, sep=";").select("K", "V", "W")) == sorted(want, key=repr)
+
+
+def test_wide_spans(spark):
+    from tidylake.sources.html_tables import extract_tables, parse_tables
+    tall = "<table><tr><td rowspan=1500>a</td><td>0</td></tr>" + "".join(
+        f"<tr><td>{i}</td></tr>" for i in range(1, 1500)) + "<tr><td>z</td></tr></table>"
+    grid = parse_tables(tall)[0]
+    assert grid[:1500] == [["a", str(i)] for i in range(1500)] and grid[1500] == ["z"]
+    wide = parse_tables("<table><tr><td colspan=1500>a</td><td>b</td></tr></table>")[0]
+    assert wide == [["a"] * 1500 + ["b"]]
+    absurd = spark.createDataFrame([(7, "<table><tr><td colspan=99999999>a</td></tr></table>")],
+                                   "page_id int, html string")
+    with pytest.raises(Exception, match="page .*7"):
+        extract_tables(absurd).collect()
+
+
+def test_building_html_plan_starts_no_job(spark):
+    from tidylake.sources.html_tables import extract_tables
+    pages = spark.range(100).groupBy("id").count().select("id", F.lit("<table></table>").alias("html"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("html-plan", "", False)
+    extract_tables(pages, keep=["id"], spread=4)
+    assert list(tracker.getJobIdsForGroup("html-plan")) == []
+
+
+def test_missing_table_column_is_an_error(spark):
+    from tidylake.sources.html_tables import extract_tables, table_columns
+    pages = spark.createDataFrame([(1, "<table><tr><th>a</th></tr><tr><td>1</td></tr></table>")],
+                                  "page_id int, html string")
+    found = extract_tables(pages, header_chars="")
+    assert table_columns(found, {"b": "b"}).collect()[0]["b"] is None
+    with pytest.raises(Exception, match="no column 'b'"):
+        table_columns(found, {"b": "b"}, required=True).collect()

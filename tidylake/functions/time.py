@@ -55,12 +55,13 @@ def seconds_of_day(column: str | Column) -> Column:
 
     Keeps the date out of clock columns, so a re-run gives the same value
     (parsing ``10:30`` as a timestamp would stamp it with the day of the read).
-    Malformed text gives null.
+    Malformed text gives null, also where only the seconds are malformed;
+    absent seconds are zero.
     """
     parts = F.split(F.trim(_col(column)), ":")
     h = F.get(parts, 0).try_cast("int")
     m = F.get(parts, 1).try_cast("int")
-    s = F.coalesce(F.get(parts, 2).try_cast("int"), F.lit(0))
+    s = F.when(F.size(parts) < 3, F.lit(0)).otherwise(F.get(parts, 2).try_cast("int"))
     ok = (h.between(0, 23) & m.between(0, 59) & s.between(0, 59)
           & (F.size(parts) <= 3))
     return F.when(ok, h * 3600 + m * 60 + s)

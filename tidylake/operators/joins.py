@@ -2,16 +2,20 @@
 
 Strategy of :func:`lookup`:
 
-1. If the dimension is *measured* (one small Spark job over at most
-   ``max_broadcast_rows + 1`` rows) to hold at most ``max_broadcast_rows`` rows
-   and ``max_broadcast_bytes`` bytes, it is broadcast: the fact side is never
-   shuffled and hot keys cost nothing extra.
-2. Otherwise both sides are hash-partitioned (sort-merge join).  Fact rows
-   with a null key can never match, yet would all hash to one partition; they
-   get a deterministic salt so they spread over ``null_salt`` partitions.
-   ``skew_salt=N`` additionally spreads every key over N partitions and
-   replicates the dimension N times, for known hot keys.  AQE's skew-join
-   splitting stays on as the backstop.
+1. A dimension *measured* (one plain aggregate: rows and bytes, one row per task
+   before the shuffle) to lie within both bounds is broadcast: the fact side is
+   never shuffled and hot keys cost nothing extra.
+2. Otherwise both sides are hash-partitioned (sort-merge join).  Fact rows with a
+   null key can never match, yet would all hash to one partition; they get a
+   deterministic salt so they spread over ``null_salt`` partitions.  Keys named
+   in ``hot_keys`` (e.g. the label that replaced nulls) are spread over
+   ``hot_salt`` partitions, and only their dimension rows are replicated;
+   ``skew_salt=N`` does that for every key.  AQE's skew-join splitting stays on as
+   the backstop.
+
+Both ways give the same rows.  Replicating dimension rows would repeat unmatched
+ones in joins that keep them, so salting keys is refused for ``right`` and
+``full`` joins, whatever the size.
 
 Salts are derived from row content (``xxhash64``), never from random numbers,
 so a recomputed task after an executor loss sends every row to the same place.
@@ -63,40 +67,51 @@ def _row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
+# A hash relation holds, beside the values, about this much per row.
+_ROW_OVERHEAD = 48
+
+
+def sizes(dim: DataFrame) -> tuple[int, int]:
+    """Rows of ``dim`` and their approximate bytes as a hash relation, by one
+    aggregate: a task sends one row, whatever it reads."""
+    n, width = dim.agg(F.count(F.lit(1)), F.sum(_row_bytes(dim))).first()
+    return n, (width or 0) + n * _ROW_OVERHEAD
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
                       max_bytes: int | None = None) -> bool:
-    """True when ``dim`` holds at most ``max_rows`` rows and ``max_bytes``.
-
-    Measured, not estimated, in two steps that are both cheap at any scale:
-    first the rows of ``dim.limit(max_rows + 1)`` are counted (no column is
-    needed, so a plain Parquet dimension is counted from its footers and a
-    large one stops early); only when that bound holds, the width of those at
-    most ``max_rows`` rows is summed.  Nothing is collected to the driver but
-    two numbers.
-    """
-    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    bounded = dim.limit(max_rows + 1)
-    n = bounded.count()
-    if n > max_rows:
-        return False
-    if not any(isinstance(f.dataType, _VARIABLE) for f in dim.schema.fields):
-        return n * _FIXED_WIDTH * max(len(dim.columns), 1) <= max_bytes
-    width = bounded.agg(F.sum(_row_bytes(dim)).alias("b")).first()["b"] or 0
-    return width <= max_bytes
+    """True when ``dim`` holds at most ``max_rows`` rows and ``max_bytes``;
+    measured, not estimated.  Only the two numbers reach the driver."""
+    return measure(dim, max_rows=max_rows, max_bytes=max_bytes)[0]
 
 
 def measure(*dims: DataFrame, max_rows: int | None = None,
             max_bytes: int | None = None) -> list[bool]:
-    """:func:`checked_broadcast` of several dimensions as concurrent Spark jobs.
+    """Which of the dimensions of one query may be broadcast together.
 
-    The checks are independent and each is a short job, so they run side by
-    side (one driver thread per dimension) instead of one after another.
+    They are measured by concurrent Spark jobs; the smallest are taken first
+    while their bytes together stay within ``max_bytes``, so the bound holds for
+    the query, not for each dimension alone.
     """
-    if len(dims) <= 1:
-        return [checked_broadcast(d, max_rows, max_bytes) for d in dims]
-    with ThreadPoolExecutor(max_workers=min(len(dims), 8)) as pool:
-        return list(pool.map(lambda d: checked_broadcast(d, max_rows, max_bytes), dims))
+    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    with ThreadPoolExecutor(max_workers=min(max(len(dims), 1), 8)) as pool:
+        measured = list(pool.map(sizes, dims))
+    small, total = [False] * len(dims), 0
+    for i in sorted(range(len(dims)), key=lambda i: measured[i][1]):
+        rows, width = measured[i]
+        if rows <= max_rows and total + width <= max_bytes:
+            small[i], total = True, total + width
+    return small
+
+
+# joins that keep dimension rows without a match
+_KEEPS_DIMENSION = {"right", "rightouter", "full", "fullouter", "outer"}
+
+
+def _of(df: DataFrame, name: str) -> Column:
+    """A column of ``df`` by its exact name, also one with a dot."""
+    return df["`" + name.replace("`", "``") + "`"]
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -109,6 +124,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
            max_broadcast_rows: int | None = None,
            max_broadcast_bytes: int | None = None,
            null_salt: int = 64, skew_salt: int = 1,
+           hot_keys: Sequence[object] = (), hot_salt: int = 64,
            salt_by: Sequence[str] | None = None, small: bool | None = None) -> DataFrame:
     """Join ``dim`` onto ``fact`` by equal keys (left outer by default).
 
@@ -118,8 +134,9 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     first reduces ``dim`` to one deterministic row per key.
 
     ``broadcast``: ``"auto"``/``True`` broadcast after the size check (``True``
-    logs when the check fails and falls back), ``False`` never.  ``small``
-    passes the result of an earlier :func:`checked_broadcast` of the same
+    logs when the check fails and falls back), ``False`` never.  ``hot_keys``
+    lists key values that may hold a large share of the fact.  ``small`` passes
+    the result of an earlier :func:`checked_broadcast` of the same
     dimension (e.g. one dimension used in two roles), skipping the check.
     """
     fks = _keys(fact_key)
@@ -138,32 +155,44 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     if unique:
         dim = dedup.by_key(dim, dks)
     same_names = fks == dks
+    if hot_keys and len(fks) != 1:
+        raise ValueError("hot_keys are values of a single key column")
+    if (hot_keys or skew_salt > 1) and how.lower().replace("_", "") in _KEEPS_DIMENSION:
+        raise ValueError(f"keys cannot be salted in a {how!r} join: it keeps dimension rows, "
+                         "and replicas without a match would come out repeated")
 
     if use_broadcast:
         bdim = F.broadcast(dim)
         if same_names:
             return fact.join(bdim, on=fks, how=how)
-        cond = [fact[f] == bdim[d] for f, d in zip(fks, dks)]
+        cond = [_of(fact, f) == _of(bdim, d) for f, d in zip(fks, dks)]
         return fact.join(bdim, on=cond, how=how)
 
     # Shuffle join: salt the partitioning so null (or hot) keys spread out.
     row_hash = F.xxhash64(*[ref(c) for c in (salt_by or fact.columns)])
+    copies = F.array(F.lit(0))
     if skew_salt > 1:  # every key over skew_salt partitions, dimension replicated
         fact_salt = F.pmod(row_hash, F.lit(skew_salt))
-        dim_s = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(skew_salt - 1))))
-    else:  # only rows with a null key (they never match) spread out
+        copies = F.sequence(F.lit(0), F.lit(skew_salt - 1))
+    else:  # rows with a null key (they never match) and rows of hot keys spread out
+        fact_salt = F.lit(0)
+        if hot_keys:
+            fact_salt = F.when(ref(fks[0]).isin(list(hot_keys)),
+                               F.pmod(row_hash, F.lit(hot_salt))).otherwise(fact_salt)
+            copies = F.when(ref(dks[0]).isin(list(hot_keys)),
+                            F.sequence(F.lit(0), F.lit(hot_salt - 1))).otherwise(copies)
         any_null = None
         for f in fks:
             any_null = ref(f).isNull() if any_null is None else any_null | ref(f).isNull()
-        fact_salt = (F.when(any_null, F.pmod(row_hash, F.lit(null_salt))).otherwise(F.lit(0))
-                     if null_salt > 1 else F.lit(0))
-        dim_s = dim.withColumn(_SALT, F.lit(0))
+        if null_salt > 1:
+            fact_salt = F.when(any_null, F.pmod(row_hash, F.lit(null_salt))).otherwise(fact_salt)
+    dim_s = dim.withColumn(_SALT, F.explode(copies))
     fact_s = fact.withColumn(_SALT, fact_salt.cast("int"))
     dim_s = dim_s.withColumn(_SALT, F.col(_SALT).cast("int"))
     if same_names:
         joined = fact_s.join(dim_s, on=fks + [_SALT], how=how)
     else:
-        cond = [fact_s[f] == dim_s[d] for f, d in zip(fks, dks)]
+        cond = [_of(fact_s, f) == _of(dim_s, d) for f, d in zip(fks, dks)]
         cond.append(fact_s[_SALT] == dim_s[_SALT])
         joined = fact_s.join(dim_s, on=cond, how=how).drop(dim_s[_SALT])
     return joined.drop(_SALT)

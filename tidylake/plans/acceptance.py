@@ -1,10 +1,10 @@
 """Acceptance queries: every operator exercised on the driver's tables.
 
-Each function takes ``(spark, table_dir)`` and returns a lazy DataFrame over
-the *whole* input tables (``{table_dir}/{name}.parquet``).  File-format
-operators first write their input with Spark to a fresh folder below the
-session's shared checkpoint directory, then read it back with the operator
-under test.  ``ORACLE_SQL`` holds the equivalent ANSI SQL for each key.
+Each function takes ``(spark, table_dir)`` and returns a DataFrame over the
+*whole* input tables (``{table_dir}/{name}.parquet``).  File-format operators
+first write their input with Spark to a fresh folder below the session's shared
+checkpoint directory, then read it back with the operator under test, and joins
+first measure their dimensions: these jobs run while the query is built.  ``ORACLE_SQL`` holds the equivalent ANSI SQL for each key.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from tidylake.operators import cleaning, dedup, enrich, joins
 from tidylake.operators.projection import clean_headers, select_renamed
 from tidylake.operators.union import union_by_name
 from tidylake.plans import airport
-from tidylake.plans.layers import LabelRule, refine_dimension, refine_fact
+from tidylake.plans.layers import (LabelRule, refine_dimension, refine_fact,
+                                   touched_partitions)
 from tidylake.schema import make_schema, reorder
 from tidylake.session import configure, scratch_path
 from tidylake.sources.csv import CsvLayout, read_csv, read_layouts
@@ -78,7 +79,8 @@ def csv_scan_header_strings(spark, d):
     """Names from the header, every column a string, directory read."""
     _start(spark)
     path = scratch_path(spark, "csv_scan_header_strings")
-    sinks.write_csv(table(spark, d, "nation"), path)
+    sinks.write_csv(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+                    path)
     return read_csv(spark, path)
 
 
@@ -163,11 +165,19 @@ def parquet_overwrite(spark, d):
 
 
 def row_count(spark, d):
-    """K4 A3: rows written, observed during the write (no second pass)."""
+    """A3: a global count."""
     _start(spark)
-    n = sinks.write_parquet(table(spark, d, "lineitem"), scratch_path(spark, "row_count"),
-                            count=True)
-    return spark.createDataFrame([(n,)], "n bigint")
+    return table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_count(spark, d):
+    """K4: the rows observed during a write, next to the count of what was
+    written."""
+    _start(spark)
+    path = scratch_path(spark, "write_count")
+    n = sinks.write_parquet(table(spark, d, "lineitem"), path, count=True)
+    return read_parquet(spark, path).agg(F.lit(n).cast("long").alias("observed"),
+                                         F.count(F.lit(1)).alias("n"))
 
 
 # -- projections, cleaning, labels ---------------------------------------------
@@ -182,8 +192,8 @@ def select_rename(spark, d):
 def clean_headers_q(spark, d):
     """Column names with zero-width spaces."""
     _start(spark)
-    region = table(spark, d, "region")
-    return clean_headers(region.toDF(f"{ZW}r_regionkey{ZW}", f"r_name{ZW}"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return clean_headers(orders.toDF(f"{ZW}o_orderkey{ZW}", f"o_orderstatus{ZW}"))
 
 
 def filter_sentinel(spark, d):
@@ -214,10 +224,13 @@ def replace_values_q(spark, d):
 
 
 def month_label(spark, d):
-    """Zero-padded month text -> month name."""
+    """Zero-padded month text -> month name; text that is no number and
+    null give the default."""
     _start(spark)
+    turn = F.pmod(F.col("o_orderkey"), F.lit(5))
     o = table(spark, d, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "MM").alias("mes"))
+        "o_orderkey", F.when(turn == 1, F.lit("x1")).when(
+            turn != 2, F.date_format("o_orderdate", "MM")).alias("mes"))
     return enrich.label_column(o, "mes", airport.MONTH_LABELS, airport.MONTH_DEFAULT,
                                key_type="int")
 
@@ -257,13 +270,28 @@ def _orders_with_customer(orders: DataFrame, customer: DataFrame, orders_small:
 
     Orders are ~1/4 of the line items, so with big dimensions shuffling orders
     twice (by customer, then by order key) costs less than shuffling the line
-    items by customer key.  Size of the result: a left join keeps every orders
-    row, so when orders alone exceed the broadcast bound the joined frame does
-    too and is not measured; otherwise it is measured (a bounded job).
-    Returns the joined frame and whether it may be broadcast.
+    items by customer key.  The joined frame is never measured: a left join on
+    the customers' key keeps the rows of orders, so it is small if both are.
     """
     oc = joins.lookup(orders, customer, "o_custkey", "c_custkey", small=customer_small)
-    return oc, (joins.checked_broadcast(oc) if orders_small else False)
+    return oc, orders_small and customer_small
+
+
+HOT_PART = "hot"
+
+
+def lookup_null_and_hot_keys(spark, d):
+    """J1 on the shuffle path: a third of the keys null, a third one hot value."""
+    _start(spark)
+    turn = F.pmod(F.col("l_orderkey"), F.lit(3))
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.when(turn == 1, F.lit(HOT_PART)).when(turn == 2, F.col("l_partkey").cast("string"))
+        .alias("k"))
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("part_key"),
+                                          "p_name")
+    dim = part.union(spark.createDataFrame([(HOT_PART, "the hot part")], part.schema))
+    return joins.lookup(li, dim, "k", "part_key", broadcast=False, hot_keys=[HOT_PART])
 
 
 def left_join_unique_dimension(spark, d):
@@ -311,27 +339,36 @@ def dedup_subset(spark, d):
 
 
 def dedup_rows(spark, d):
-    """A2."""
+    """A2: whole rows, every line item there twice."""
     _start(spark)
-    return dedup.rows(table(spark, d, "documents").select("lang", "source"))
+    li = table(spark, d, "lineitem")
+    return dedup.rows(union_by_name([li, li]))
+
+
+def dedup_null_keys(spark, d):
+    """A1: null keys count as one key value."""
+    _start(spark)
+    o = table(spark, d, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")))
+    return dedup.by_key(o, ["o_custkey"], ["o_orderkey"])
 
 
 def union_by_name_q(spark, d):
-    """Two parts of nation in different column orders."""
+    """Two overlapping parts of the orders in different column orders; rows in
+    both come out twice."""
     _start(spark)
-    nation = table(spark, d, "nation")
-    first = F.coalesce(F.col("n_regionkey") < 3, F.lit(False))
-    a = nation.where(first)
-    b = nation.where(~first).select("n_regionkey", "n_name", "n_nationkey")
+    orders = table(spark, d, "orders")
+    a = orders.where(F.col("o_orderkey") % 3 != 0)
+    b = orders.where(F.col("o_orderkey") % 2 == 0).select(*reversed(orders.columns))
     return union_by_name([a, b])
 
 
 def clean_keys(spark, d):
     """Zero-width spaces and blanks around a key."""
     _start(spark)
-    nation = table(spark, d, "nation").select(
-        "n_nationkey", F.concat(F.lit(f" {ZW}"), F.col("n_name"), F.lit(f"{ZW}  ")).alias("n_key"))
-    return cleaning.clean_columns(nation, ["n_key"])
+    parts = table(spark, d, "part").select(
+        "p_partkey", F.concat(F.lit(f" {ZW}"), F.col("p_name"), F.lit(f"{ZW}  ")).alias("p_key"))
+    return cleaning.clean_columns(parts, ["p_key"])
 
 
 def weekday_label(spark, d):
@@ -426,6 +463,135 @@ def silver_dimension(spark, d):
     return read_parquet(spark, f"{base}/silver")
 
 
+def _movement_files(spark, d, base: str) -> tuple[DataFrame, object, dict]:
+    """Orders as raw CSVs below ``base/{year}``: rows of 1995 (some without a
+    year, each twice) also in the folder 1996; their schema and renaming."""
+    raw = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+        F.when(F.col("o_orderkey") % 7 != 0, F.year("o_orderdate")).cast("string").alias("ANO"),
+        F.date_format("o_orderdate", "MM").alias("MES"), F.year("o_orderdate").alias("y"))
+    for year in (1995, 1996):
+        rows = raw.where(F.col("y") == year) if year == 1995 else raw.where(
+            (F.col("y") == 1996) | ((F.col("y") == 1995) & (F.col("o_orderkey") % 2 == 0)))
+        sinks.write_csv(rows.drop("y"), f"{base}/{year}", sep=";")
+    schema = make_schema([(f.name, f.dataType) for f in raw.drop("y").schema.fields])
+    rename = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey",
+              "o_totalprice": "o_totalprice", "ANO": "ano", "MES": "mes"}
+    return raw, schema, rename
+
+
+def silver_movements_rerun(spark, d):
+    """L1 with D15: a full run over two year folders that share partitions (rows
+    without a year, rows in the other year's folder), then a dynamic re-run of one
+    folder; the table must be that of the full run."""
+    _start(spark)
+    base = scratch_path(spark, "silver_movements_rerun")
+    _, schema, rename = _movement_files(spark, d, f"{base}/raw")
+
+    def silver(years):
+        bronze = read_layouts(spark, [CsvLayout(f"{base}/raw/{y}", schema, rename) for y in years],
+                              sep=";", null_value="null")
+        return refine_fact(
+            bronze, fills=[("Ano não informado", ["ano"])],
+            labels=[LabelRule("mes", airport.MONTH_LABELS, airport.MONTH_DEFAULT, key_type="int")],
+            dedup_keys=["o_orderkey"], strict_fills=True)
+
+    parts = ["ano", "mes"]
+    sinks.write_parquet(silver([1995, 1996]), f"{base}/silver", parts, rebalance=True)
+    again = touched_partitions(silver([1995, 1996]), silver([1996]), parts)
+    sinks.write_parquet(again, f"{base}/silver", parts, rebalance=True, dynamic=True)
+    return read_parquet(spark, f"{base}/silver", schema=(
+        "o_orderkey bigint, o_custkey bigint, o_totalprice double, ano string, mes string"))
+
+
+def gold_flow(spark, d):
+    """L4 as a whole: silver Parquet partitions -> key clean-up -> one lookup and
+    two role lookups -> flags -> partitioned write -> read-back."""
+    _start(spark)
+    base = scratch_path(spark, "gold_flow")
+    decorated = lambda c: F.concat(F.lit(f" {ZW}"), F.col(c).cast("string"), F.lit(f"{ZW} "))
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate",
+        decorated("l_partkey").alias("part_key"), decorated("l_suppkey").alias("own_key"),
+        decorated("l_linenumber").alias("other_key"),
+        F.year("l_shipdate").alias("ano"), F.month("l_shipdate").alias("mes"))
+    sinks.write_parquet(li, f"{base}/silver", ["ano", "mes"], rebalance=True)
+    silver = read_parquet(spark, f"{base}/silver")
+    part = table(spark, d, "part").select(decorated("p_partkey").alias("p_key"), "p_name")
+    supplier = table(spark, d, "supplier").select(decorated("s_suppkey").alias("s_key"), "s_name")
+    silver = cleaning.clean_columns(silver, ["part_key", "own_key", "other_key"])
+    part = cleaning.clean_columns(part, ["p_key"])
+    supplier = cleaning.clean_columns(supplier, ["s_key"])
+    p_s, s_s = joins.measure(part, supplier)
+    fact = joins.lookup(silver, part, "part_key", "p_key", small=p_s)
+    fact = enrich.weekday_column(fact, "l_shipdate", airport.WEEKDAY_LABELS, "weekday",
+                                 airport.WEEKDAY_DEFAULT)
+    fact = enrich.date_range_flag(fact, "l_shipdate", SHIPPING_RULES["low"],
+                                  SHIPPING_RULES["high"], "in_range")
+    fact = enrich.directional_endpoints(fact, "l_returnflag", own="own_key", other="other_key",
+                                        out_from="k_from", out_to="k_to",
+                                        outbound="A", inbound="R")
+    for role in ("from", "to"):
+        fact = joins.role_lookup(fact, supplier, f"k_{role}", "s_key",
+                                 {"s_key": f"{role}_key", "s_name": f"supplier_{role}"}, small=s_s)
+    gold = fact.select("l_orderkey", "l_linenumber", "part_key", "p_name", "weekday", "in_range",
+                       "supplier_from", "supplier_to", "ano", "mes")
+    sinks.write_parquet(gold, f"{base}/gold", ["ano", "mes"], rebalance=not (p_s and s_s))
+    return read_parquet(spark, f"{base}/gold", schema=gold.schema)
+
+
+def airports_flow(spark, d):
+    """L3: a wide CSV under its strict schema -> some columns renamed -> distinct
+    rows -> Parquet -> read-back."""
+    _start(spark)
+    base = scratch_path(spark, "airports_flow")
+    li = table(spark, d, "lineitem")
+    sinks.write_csv(li, f"{base}/raw", sep=",")
+    sinks.write_csv(li, f"{base}/raw", sep=",", mode="append")
+    raw = read_csv(spark, f"{base}/raw", schema=li.schema, strict_header=True)
+    silver = dedup.rows(select_renamed(raw, {
+        "l_orderkey": "order_id", "l_partkey": "part_id", "l_quantity": "quantity",
+        "l_returnflag": "flag"}))
+    sinks.write_parquet(silver, f"{base}/silver", count=True)
+    return read_parquet(spark, f"{base}/silver")
+
+
+def page_to_csv_flow(spark, d):
+    """The third table of the chosen pages (those of one site) -> CSV -> all
+    string read-back -> clean-up -> Parquet -> read-back."""
+    _start(spark)
+    base = scratch_path(spark, "page_to_csv_flow")
+    pages = table(spark, d, "pages")
+    chosen = pages_with_tables(pages.where(F.col("url").contains("example.com")))
+    rows = extract_tables(chosen, "html", keep=["page_id"], table_index=2)
+    sinks.write_csv(table_columns(rows, {"part_no": "part_no", "part": "part"}, keep=["page_id"],
+                                  required=True), f"{base}/raw")
+    silver = refine_dimension(read_csv(spark, f"{base}/raw"),
+                              {"page_id": "page_id", "part_no": "no", "part": "part"},
+                              key_columns=["part"])
+    sinks.write_parquet(silver, f"{base}/silver")
+    return read_parquet(spark, f"{base}/silver")
+
+
+def single_file_check_flow(spark, d):
+    """One `;` CSV under its strict schema -> rename -> numeric and text fills
+    -> value replacement -> rows whose amount was missing."""
+    _start(spark)
+    base = scratch_path(spark, "single_file_check_flow")
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
+        F.when(F.col("o_orderkey") % 4 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+        F.month("o_orderdate").cast("string").alias("MES"))
+    sinks.write_csv(orders, base, sep=";")
+    raw = read_csv(spark, base, schema=orders.schema, sep=";", strict_header=True)
+    df = select_renamed(raw, {"o_orderkey": "order_id", "o_orderstatus": "status",
+                              "o_totalprice": "total", "MES": "mes"})
+    df = cleaning.fill_nulls(df, -1, ["total"])
+    df = cleaning.fill_nulls(df, "Não informado", ["status"])
+    df = cleaning.replace_values(df, {"1": "Janeiro"}, ["mes"])
+    return df.where(F.col("total") == -1)
+
+
 SHIPPING_RULES = dict(low="1996-03-20", high="1998-04-22",
                           delay_minutes={"A": 43200, "R": 86400})
 
@@ -476,6 +642,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_pruned_read": partition_pruned_read,
     "parquet_overwrite": parquet_overwrite,
     "row_count": row_count,
+    "write_count": write_count,
     "select_rename": select_rename,
     "clean_headers": clean_headers_q,
     "filter_sentinel": filter_sentinel,
@@ -486,8 +653,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "directional_endpoints": directional_endpoints_q,
     "left_join_dimension": left_join_dimension,
     "left_join_unique_dimension": left_join_unique_dimension,
+    "lookup_null_and_hot_keys": lookup_null_and_hot_keys,
     "role_playing_join": role_playing_join,
     "dedup_subset": dedup_subset,
+    "dedup_null_keys": dedup_null_keys,
     "dedup_rows": dedup_rows,
     "union_by_name": union_by_name_q,
     "clean_keys": clean_keys,
@@ -496,7 +665,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_range_whole_days": date_range_whole_days,
     "delay_flag": delay_flag,
     "silver_movements": silver_movements,
+    "silver_movements_rerun": silver_movements_rerun,
     "silver_dimension": silver_dimension,
+    "gold_flow": gold_flow,
+    "airports_flow": airports_flow,
+    "page_to_csv_flow": page_to_csv_flow,
+    "single_file_check_flow": single_file_check_flow,
     "gold_enriched": gold_enriched,
 }
 
@@ -513,8 +687,8 @@ ORACLE_SQL: dict[str, str] = {
     "csv_scan_typed": "SELECT * FROM orders",
     "csv_scan_variant_union": "SELECT * FROM orders",
     "csv_scan_header_strings": (
-        "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, "
-        "n_regionkey::VARCHAR AS n_regionkey FROM nation"),
+        "SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, "
+        "o_orderstatus FROM orders"),
     "file_discovery": "SELECT * FROM nation WHERE n_regionkey <> 4",
     "csv_write_roundtrip": "SELECT * FROM supplier",
     "html_table_extract": (
@@ -533,7 +707,8 @@ ORACLE_SQL: dict[str, str] = {
     "select_rename": (
         "SELECT o_orderkey AS order_id, o_orderdate AS ordered_at, o_totalprice AS total "
         "FROM orders"),
-    "clean_headers": "SELECT r_regionkey, r_name FROM region",
+    "write_count": "SELECT count(*) AS observed, count(*) AS n FROM lineitem",
+    "clean_headers": "SELECT o_orderkey, o_orderstatus FROM orders",
     "filter_sentinel": (
         "SELECT l_orderkey, l_linenumber, l_partkey, "
         "coalesce(nullif(l_discount, 0.0), -1.0) AS l_discount FROM lineitem "
@@ -546,8 +721,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Final' WHEN 'O' THEN 'Open' "
         "ELSE o_orderstatus END AS o_orderstatus FROM orders"),
     "month_label": (
-        "SELECT o_orderkey, coalesce(" + _MONTHS + "[month(o_orderdate)], '" + airport.MONTH_DEFAULT + "') "
-        "AS mes FROM orders"),
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 5 NOT IN (1, 2) THEN coalesce(" + _MONTHS +
+        "[month(o_orderdate)], '" + airport.MONTH_DEFAULT + "') ELSE '" + airport.MONTH_DEFAULT +
+        "' END AS mes FROM orders"),
     "code_label": (
         "SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN "
         "'Doméstico' WHEN 'R' THEN 'Internacional' ELSE 'Não informada' END AS natureza "
@@ -574,9 +750,48 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, "
         "l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, "
         "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1"),
-    "dedup_rows": "SELECT DISTINCT lang, source FROM documents",
-    "union_by_name": "SELECT * FROM nation",
-    "clean_keys": "SELECT n_nationkey, n_name AS n_key FROM nation",
+    "dedup_null_keys": (
+        "SELECT * REPLACE (CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS o_custkey) "
+        "FROM orders QUALIFY row_number() OVER (PARTITION BY CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END ORDER BY o_orderkey) = 1"),
+    "dedup_rows": "SELECT DISTINCT * FROM lineitem",
+    "union_by_name": (
+        "SELECT * FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL "
+        "SELECT * FROM orders WHERE o_orderkey % 2 = 0"),
+    "clean_keys": "SELECT p_partkey, trim(p_name) AS p_key FROM part",
+    "lookup_null_and_hot_keys": (
+        "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE l_orderkey % 3 WHEN 1 THEN "
+        "'hot' WHEN 2 THEN l_partkey::VARCHAR END AS k FROM lineitem), "
+        "p AS (SELECT p_partkey::VARCHAR AS part_key, p_name FROM part "
+        "UNION ALL SELECT 'hot', 'the hot part') "
+        "SELECT * FROM l LEFT JOIN p ON k = part_key"),
+    "silver_movements_rerun": (
+        "SELECT o_orderkey, o_custkey, o_totalprice, coalesce(CASE WHEN o_orderkey % 7 <> 0 THEN "
+        "year(o_orderdate)::VARCHAR END, 'Ano não informado') AS ano, " + _MONTHS +
+        "[month(o_orderdate)] AS mes FROM orders WHERE year(o_orderdate) IN (1995, 1996)"),
+    "gold_flow": (
+        "WITH f AS (SELECT *, CASE l_returnflag WHEN 'A' THEN l_suppkey WHEN 'R' THEN "
+        "l_linenumber END AS k_from, CASE l_returnflag WHEN 'R' THEN l_suppkey WHEN 'A' THEN "
+        "l_linenumber END AS k_to FROM lineitem) "
+        "SELECT l_orderkey, l_linenumber, l_partkey::VARCHAR AS part_key, p_name, coalesce(" +
+        _WEEKDAYS_ISO + "[isodow(l_shipdate)], '" + airport.WEEKDAY_DEFAULT + "') AS weekday, "
+        "coalesce(l_shipdate BETWEEN TIMESTAMP '1996-03-20' AND TIMESTAMP '1998-04-22', false) AS "
+        "in_range, a.s_name AS supplier_from, b.s_name AS supplier_to, "
+        "year(l_shipdate)::INTEGER AS ano, month(l_shipdate)::INTEGER AS mes "
+        "FROM f LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier a ON k_from = "
+        "a.s_suppkey LEFT JOIN supplier b ON k_to = b.s_suppkey"),
+    "airports_flow": (
+        "SELECT DISTINCT l_orderkey AS order_id, l_partkey AS part_id, l_quantity AS quantity, "
+        "l_returnflag AS flag FROM lineitem"),
+    "page_to_csv_flow": (
+        "SELECT DISTINCT page_id::VARCHAR AS page_id, i::VARCHAR AS no, NULLIF(trim(parts[i]), '') "
+        "AS part FROM (SELECT page_id, string_split(url, '/') AS parts, "
+        "unnest(generate_series(1, len(string_split(url, '/')))) AS i FROM pages "
+        "WHERE contains(url, 'example.com'))"),
+    "single_file_check_flow": (
+        "SELECT o_orderkey AS order_id, coalesce(nullif(o_orderstatus, 'P'), 'Não informado') AS "
+        "status, -1.0::DOUBLE AS total, CASE month(o_orderdate) WHEN 1 THEN 'Janeiro' ELSE "
+        "month(o_orderdate)::VARCHAR END AS mes FROM orders WHERE o_orderkey % 4 = 0 OR "
+        "o_totalprice IS NULL"),
     "weekday_label": (
         "SELECT o_orderkey, coalesce(" + _WEEKDAYS_ISO + "[isodow(o_orderdate)], "
         "'" + airport.WEEKDAY_DEFAULT + "') AS dia_semana FROM orders"),

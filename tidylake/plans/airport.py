@@ -18,7 +18,7 @@ operation nature labelled with the month default); the default corrects it.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +30,10 @@ from tidylake.functions.time import seconds_of_day
 from tidylake.operators import dedup, enrich, joins
 from tidylake.operators.cleaning import clean_columns, fill_nulls, replace_values
 from tidylake.operators.projection import select_renamed
-from tidylake.plans.layers import LabelRule, enrich_fact, refine_dimension, refine_fact
+from tidylake.plans.layers import (LabelRule, enrich_fact, refine_dimension, refine_fact,
+                                   touched_partitions)
 from tidylake.schema import make_schema, reorder
-from tidylake.sources.csv import CsvLayout, read_csv, read_layouts
+from tidylake.sources.csv import CsvLayout, encode_path, read_csv, read_layouts
 from tidylake.sources.html_tables import extract_tables, table_columns
 from tidylake.sources.layouts import discover_layouts
 from tidylake.sources.parquet import read_parquet
@@ -193,9 +194,13 @@ def clean_movements(df: DataFrame, parity: bool = False) -> DataFrame:
         dedup_order=[] if parity else ["numero_voo", "aeroporto_ref"])
 
 
-def _year_folders(years: Sequence[str]) -> str:
-    """Path pattern: a file anywhere below one of the year folders."""
-    return "/(" + "|".join(re.escape(y) for y in years) + ")/(?:[^/]+/)*[^/]+$"
+def _year_folders(root: str, years: Sequence[str]) -> str:
+    """Path pattern: a file at any depth below ``root/{year}`` - directly below
+    the root, so folders further up or down that look like a year do not count.
+    The listing may spell the root raw or percent-encoded."""
+    bare = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", root.rstrip("/")).strip("/")
+    forms = "|".join(sorted({re.escape(f) for f in (bare, encode_path(bare))}))
+    return f"(?:{forms})/(?:" + "|".join(re.escape(y) for y in years) + ")/(?:[^/]+/)*[^/]+$"
 
 
 def movement_layouts(raw_root: str, years: Sequence[str] = MOVEMENT_YEARS,
@@ -206,7 +211,7 @@ def movement_layouts(raw_root: str, years: Sequence[str] = MOVEMENT_YEARS,
     year), which have the variant order.  A missing year folder or variant
     file just contributes no rows."""
     root = raw_root.rstrip("/")
-    in_years = _year_folders(years)
+    in_years = _year_folders(root, years)
     layouts = [CsvLayout(root, movement_schema(parity), MOVEMENT_COLUMNS,
                          exclude=list(variant_files), glob="*.csv", recursive=True,
                          include=in_years)]
@@ -222,29 +227,45 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         variant_files: Sequence[str] = (MOVEMENT_VARIANT_FILE,),
                         parity: bool = False, strict_header: bool = True,
                         discover: bool = True, dynamic: bool = False,
-                        encoding: str = "utf-8", header_method: str = "auto") -> int:
+                        encoding: str = "utf-8", filesystem: Mapping[str, object] | None = None,
+                        all_years: Sequence[str] = MOVEMENT_YEARS) -> int:
     """Raw movement CSVs -> silver, partitioned by year and month name.
 
     ``discover=True`` finds the column layouts from the files' header lines
     (any number of layouts, no list of exceptions); ``discover=False`` uses
     the declared ``variant_files`` names, as the original did.  Every file's
     header is also checked by the scan itself (``strict_header``), so an
-    undeclared layout fails instead of being misread.  ``dynamic`` replaces
-    only the year/month partitions present in the input (re-running one month
-    keeps the others); the default replaces the whole table.  ``encoding`` is
-    the raw files' character set (header discovery decodes the same way).
-    Returns the rows written.
+    undeclared layout fails instead of being misread.
+
+    ``dynamic`` re-runs ``years`` and keeps the other partitions.  A partition is
+    named by its rows, not by their folder, so the run first finds the partitions
+    that rows of ``years`` fall into and then writes exactly these, from the
+    files of *all* years: rows of other folders in them, and duplicates across
+    folders, come out as in a full run.  A partition that no file feeds any more
+    stays until the next full run.  The default replaces the whole table.
+
+    ``encoding`` is the raw files' character set (header discovery decodes the
+    same way), ``filesystem`` is passed to ``sources.file_headers``.  Returns the
+    rows written.
     """
-    if discover:
-        in_years = _year_folders(years)
-        layouts = discover_layouts(spark, raw_root.rstrip("/"), movement_schema(parity),
-                                   MOVEMENT_COLUMNS, sep=";", include=in_years,
-                                   encoding=encoding, method=header_method)
+    root = raw_root.rstrip("/")
+
+    def cleaned(of: Sequence[str]) -> DataFrame:
+        if discover:
+            layouts = discover_layouts(spark, root, movement_schema(parity), MOVEMENT_COLUMNS,
+                                       sep=";", include=_year_folders(root, of),
+                                       encoding=encoding, filesystem=filesystem)
+        else:
+            layouts = movement_layouts(root, of, variant_files, parity)
+        raw = read_layouts(spark, layouts, sep=";", null_value="null",
+                           strict_header=strict_header, encoding=encoding)
+        return clean_movements(raw, parity)
+
+    if not dynamic:
+        silver = cleaned(years)
     else:
-        layouts = movement_layouts(raw_root, years, variant_files, parity)
-    raw = read_layouts(spark, layouts, sep=";", null_value="null", strict_header=strict_header,
-                       encoding=encoding)
-    silver = clean_movements(raw, parity)
+        silver = touched_partitions(cleaned([*years, *(y for y in all_years if y not in years)]),
+                                    cleaned(years), MOVEMENT_PARTITIONS)
     return sinks.write_parquet(silver, silver_path, MOVEMENT_PARTITIONS, rebalance=True,
                                dynamic=dynamic, count=True)
 
@@ -266,10 +287,13 @@ def sentinel_rows(spark: SparkSession, path: str, sentinel_column: str = "qtd_ca
     return df.where(F.col(sentinel_column) == F.lit(value))
 
 
-def service_types_to_raw(pages: DataFrame, raw_path: str) -> int:
-    """Third table of each stored page -> raw CSV with the table's header."""
+def service_types_to_raw(pages: DataFrame, raw_path: str, url: str | None = None) -> int:
+    """Third table of the stored page ``url`` (default: of every page given) ->
+    raw CSV with the table's header; a column that the table lacks is an error."""
+    if url is not None:
+        pages = pages.where(F.col("url") == F.lit(url))
     rows = extract_tables(pages, "html", keep=[], table_index=SERVICE_TABLE_INDEX)
-    table = table_columns(rows, {h: h for h in SERVICE_TYPE_COLUMNS}, keep=[])
+    table = table_columns(rows, {h: h for h in SERVICE_TYPE_COLUMNS}, keep=[], required=True)
     return sinks.write_csv(table, raw_path, header=True, count=True)
 
 
@@ -286,20 +310,35 @@ def airports_to_silver(spark: SparkSession, raw_path: str, silver_path: str) ->
     return sinks.write_parquet(silver, silver_path, count=True)
 
 
+def measure_dimensions(service_types: DataFrame, airports: DataFrame) -> list[bool]:
+    """Which of the two dimensions may be broadcast (key clean-up only shortens)."""
+    return joins.measure(service_types, airports)
+
+
+# labels that replaced nulls: keys that may hold a large share of the movements
+HOT_SERVICE = [text for text, cols in MOVEMENT_FILLS if "tipo_servico" in cols]
+HOT_AIRPORT = [text for text, cols in MOVEMENT_FILLS if "aeroporto_ref" in cols]
+
+
 def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: DataFrame,
-                     unique_dimensions: bool = False) -> DataFrame:
-    """Silver -> gold rows (lazy): lookups, derived flags, both airport roles."""
+                     unique_dimensions: bool = False,
+                     small: Sequence[bool] | None = None) -> DataFrame:
+    """Silver -> gold rows (lazy): lookups, derived flags, both airport roles.
+
+    ``small``: results of :func:`measure_dimensions`, measured here if not given.
+    """
+    # measured once, concurrently (the airport dimension serves two roles);
+    # a later dedup only shrinks them, so the bounds still hold
+    services_small, airports_small = small or measure_dimensions(service_types, airports)
     movements = clean_columns(movements, ["tipo_servico", "aeroporto_ref", "aeroporto_outro"])
     service_types = clean_columns(service_types, ["cod_tipo_servico"])
     airports = clean_columns(airports, ["aeroporto_icao"])
-    # measured once, concurrently (the airport dimension serves two roles);
-    # a later dedup only shrinks them, so the bounds still hold
-    services_small, airports_small = joins.measure(service_types, airports)
     if unique_dimensions:
         airports = dedup.by_key(airports, ["aeroporto_icao"])
     steps = [
         partial(joins.lookup, dim=service_types, fact_key="tipo_servico",
-                dim_key="cod_tipo_servico", unique=unique_dimensions, small=services_small),
+                dim_key="cod_tipo_servico", unique=unique_dimensions, small=services_small,
+                hot_keys=HOT_SERVICE),
         partial(enrich.weekday_column, column="data_manobra", labels=WEEKDAY_LABELS,
                 out="dia_semana", default=WEEKDAY_DEFAULT),
         partial(enrich.date_range_flag, column="data_manobra", low=DECREE_START,
@@ -310,9 +349,11 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
                 own="aeroporto_ref", other="aeroporto_outro",
                 out_from="aeroporto_partida", out_to="aeroporto_chegada"),
         partial(joins.role_lookup, dim=airports, fact_key="aeroporto_partida",
-                dim_key="aeroporto_icao", mapping=DEPARTURE_COLUMNS, small=airports_small),
+                dim_key="aeroporto_icao", mapping=DEPARTURE_COLUMNS, small=airports_small,
+                hot_keys=HOT_AIRPORT),
         partial(joins.role_lookup, dim=airports, fact_key="aeroporto_chegada",
-                dim_key="aeroporto_icao", mapping=ARRIVAL_COLUMNS, small=airports_small),
+                dim_key="aeroporto_icao", mapping=ARRIVAL_COLUMNS, small=airports_small,
+                hot_keys=HOT_AIRPORT),
     ]
     return enrich_fact(movements, steps)
 
@@ -331,13 +372,14 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
         movements = movements.where(F.col("ano").isin(list(years)))
     service_types = read_parquet(spark, f"{root}/service_types")
     airports = read_parquet(spark, f"{root}/airports")
-    gold = enrich_movements(movements, service_types, airports, unique_dimensions)
-    # No rebalance here: silver is read folder by folder (every file belongs to
-    # one ano/mes), the dimensions are broadcast, so each task writes into at
-    # most a few gold folders and gold gets about as many files as silver.  A
-    # rebalance would shuffle the widest table once more for nothing.
+    small = measure_dimensions(service_types, airports)
+    gold = enrich_movements(movements, service_types, airports, unique_dimensions, small)
+    # Silver is read folder by folder (every file belongs to one ano/mes): while
+    # the dimensions are broadcast, each task writes into few gold folders, and a
+    # rebalance would shuffle the widest table for nothing.  After a shuffle join
+    # every task holds every month, so then the rows are rebalanced.
     return sinks.write_parquet(gold, gold_path, MOVEMENT_PARTITIONS, dynamic=dynamic,
-                               count=True)
+                               rebalance=not all(small), count=True)
 
 
 def run_all(spark: SparkSession, raw_root: str, silver_root: str, gold_path: str,

@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidylake.functions.labels import map_labels
 from tidylake.functions.text import ZERO_WIDTH_SPACE
@@ -73,3 +75,11 @@ def enrich_fact(fact: DataFrame, steps: Iterable[Callable[[DataFrame], DataFrame
                 ) -> DataFrame:
     """Apply DataFrame steps in order (``df.transform`` chain)."""
     return reduce(lambda df, step: df.transform(step), steps, fact)
+
+
+def touched_partitions(full: DataFrame, part: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``full`` in the partitions that rows of ``part`` fall into (null
+    partition values included)."""
+    touched = part.select(*[ref(c).alias(f"__tidylake_{c}") for c in partition_by]).distinct()
+    same = reduce(and_, [ref(c).eqNullSafe(F.col(f"__tidylake_{c}")) for c in partition_by])
+    return full.join(touched, same, "left_semi")

@@ -51,25 +51,31 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return configure(spark)
 
 
+_NO_FOLDER = "set spark.checkpoint.dir to a folder that the driver and all executors share"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared filesystem (HDFS/S3/...) every executor can
-    reach.  Only when the session has none (local tests) a private temporary
-    folder is created and registered as the checkpoint directory.
+    Every executor and the driver must reach it (HDFS/S3/...).  A session
+    without the setting raises an error unless it runs in local mode, on one
+    machine, where the session's checkpoint directory or a private temporary
+    folder serves (tests).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    context = None
+    if root:
+        return root.rstrip("/")
     try:
-        context = spark.sparkContext  # absent on Spark Connect sessions
-    except Exception:  # noqa: BLE001
-        pass
-    if not root and context is not None:
-        root = context.getCheckpointDir()
+        context = spark.sparkContext
+    except Exception as exc:  # Spark Connect sessions have none
+        raise ValueError(_NO_FOLDER) from exc
+    root = context.getConf().get("spark.checkpoint.dir")
     if not root:
-        root = tempfile.mkdtemp(prefix="tidylake-ckpt-")
-        if context is not None:
-            context.setCheckpointDir(root)
+        if context.master.split("[")[0] != "local":
+            raise ValueError(_NO_FOLDER)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="tidylake-ckpt-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -76,7 +76,7 @@ def exclude_files(df: DataFrame, exclude: Iterable[str]) -> DataFrame:
     fragments = [e for e in exclude if "/" in e and e not in full]
     drop = F.lit(False)
     if names:
-        forms = sorted({f for n in names for f in (n, _encode(n))})
+        forms = sorted({f for n in names for f in (n, encode_path(n))})
         drop = drop | F.col("_metadata.file_name").isin(forms)
     if full:
         forms = sorted({f for e in full for f in (e, _as_uri(e))})
@@ -92,7 +92,8 @@ _URI_SAFE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
                 "-._~!$&'()*+,;=:@/")
 
 
-def _encode(text: str) -> str:
+def encode_path(text: str) -> str:
+    """A path as ``_metadata`` spells it: ASCII specials percent-encoded."""
     return "".join(c if c in _URI_SAFE or ord(c) > 127 else f"%{ord(c):02X}" for c in text)
 
 
@@ -105,14 +106,14 @@ def _as_uri(path: str) -> str:
     """``file:/a b/c.csv`` -> ``file:/a%20b/c.csv``: how ``_metadata`` spells a
     path (ASCII specials percent-encoded, non-ASCII and the slashes kept)."""
     scheme, rest = path.split(":", 1)
-    return f"{scheme}:{_encode(rest)}"
+    return f"{scheme}:{encode_path(rest)}"
 
 
 def _uri_forms(fragment: str) -> set[str]:
     """A path fragment without scheme, raw and URI-encoded."""
     bare = fragment.split(":", 1)[1] if _has_scheme(fragment) else fragment
     bare = "/" + bare.lstrip("/") if bare.startswith("/") else bare
-    return {bare, _encode(bare)}
+    return {bare, encode_path(bare)}
 
 
 @dataclass

@@ -62,9 +62,17 @@ _SPANS = {n: re.compile(rf"\b{n}\s*=\s*[\"']?\s*(\d+)", re.I) for n in ("colspan
 _STRUCTURE = {"table", "tr", "td", "th"}
 
 
+# a row span is carried, never written out, so it needs no bound; a cell that
+# asks for more columns than this is an error that names the page
+MAX_COLSPAN = 1_000_000
+
+
 def _span(attrs: str, name: str) -> int:
     m = _SPANS[name].search(attrs)
-    return max(1, min(int(m.group(1)), 1000)) if m else 1
+    span = max(1, int(m.group(1))) if m else 1
+    if name == "colspan" and span > MAX_COLSPAN:
+        raise ValueError(f"a cell spans {span} columns (limit {MAX_COLSPAN})")
+    return span
 
 
 def _collect(html: str) -> list[list[list[list]]]:
@@ -182,7 +190,7 @@ def _clean_header(cells, chars: str) -> list[str | None]:
 
 def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id",),
                    table_index: int | None = None, header: bool = True,
-                   header_chars: str = ZERO_WIDTH_SPACE, spread: bool = True) -> DataFrame:
+                   header_chars: str = ZERO_WIDTH_SPACE, spread: int | None = None) -> DataFrame:
     """One output row per table row of each document.
 
     Output columns: ``keep`` columns, ``table_ix`` (int, document order),
@@ -191,8 +199,9 @@ def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] =
     table is its header (names cleaned of ``header_chars`` and stripped) and
     is not emitted itself; otherwise ``header`` is null and every row is
     emitted.  ``table_index`` keeps only that table of each document (a page
-    with fewer tables yields nothing).  ``spread`` spreads a scan with fewer
-    partitions than task slots over all slots before parsing.
+    with fewer tables yields nothing).  ``spread`` deals the pages over
+    that many partitions before parsing (one large row group cannot be split
+    otherwise); by default nothing is shuffled.
     """
     keep = list(keep)
     in_schema = df.select(*keep, html_col).schema
@@ -210,7 +219,11 @@ def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] =
             rows = []
             key_vals = [pdf[k].tolist() for k in keep]
             for i, html in enumerate(pdf[html_col].tolist()):
-                tables = parse_tables(html)
+                try:
+                    tables = parse_tables(html)
+                except ValueError as exc:
+                    page = {k: v[i] for k, v in zip(keep, key_vals)}
+                    raise ValueError(f"page {page}: {exc}") from exc
                 picks = (range(len(tables)) if table_index is None
                          else [table_index] if table_index < len(tables) else [])
                 base = [kv[i] for kv in key_vals]
@@ -229,35 +242,27 @@ def extract_tables(df: DataFrame, html_col: str = "html", keep: Sequence[str] =
 
     src = df.select(*keep, html_col)
     if spread:
-        src = _spread(src, keep)
+        src = src.repartition(spread, *keep) if keep else src.repartition(spread)
     return src.mapInPandas(run, schema=out_schema)
 
 
-def _spread(src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give the parse all cores when the input has fewer partitions than the
-    cluster has task slots (e.g. one large row group).  Hash-partitioned on the
-    page keys (deterministic on retry); a large input already split into many
-    partitions is left alone, so no HTML is shuffled at scale."""
-    try:
-        slots = src.sparkSession.sparkContext.defaultParallelism
-        if src.rdd.getNumPartitions() >= slots:
-            return src
-    except Exception:  # noqa: BLE001  (Spark Connect: no RDD view, leave as is)
-        return src
-    return src.repartition(slots, *keys) if keys else src.repartition(slots)
-
-
 def table_columns(rows: DataFrame, names: Mapping[str, str],
-                  keep: Sequence[str] = ("page_id",)) -> DataFrame:
+                  keep: Sequence[str] = ("page_id",), required: bool = False) -> DataFrame:
     """Project extracted rows to named columns by header text.
 
     ``names`` maps header text to output column names (in output order).  Each
     row looks its header up for the position, so pages whose tables order the
-    columns differently still line up; a header missing on a page, or a short
-    row, gives null.
+    columns differently still line up; a short row gives null, and so
+    does a header missing on a page, unless the columns are ``required``: then
+    the job fails and names the header.
     """
     cols = [F.col(k) for k in keep]
     for head, out in names.items():
         pos = F.array_position(F.col("header"), F.lit(head)).cast("int")
-        cols.append(F.when(pos > 0, F.try_element_at(F.col("cells"), pos)).alias(out))
+        cell = F.when(pos > 0, F.try_element_at(F.col("cells"), pos))
+        if required:
+            cell = F.when(F.coalesce(pos, F.lit(0)) == 0, F.raise_error(F.concat(
+                F.lit(f"no column {head!r} in the table with the header "),
+                F.to_json("header"))).cast("string")).otherwise(cell)
+        cols.append(cell.alias(out))
     return rows.select(*cols)

@@ -30,28 +30,27 @@ from tidylake.sources.csv import CsvLayout
 # (by value) so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_MAX_HEADER_BYTES = 1 << 20
 
-
-def _open(path: str):
+def _open(path: str, options: Mapping[str, object]):
     import pyarrow.fs as pafs
     if path.startswith("file:"):
         local = "/" + path[len("file:"):].lstrip("/")
         return pafs.LocalFileSystem().open_input_stream(local)
-    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
+    scheme, _, rest = path.partition("://")
+    if scheme in ("s3", "s3a", "s3n") and options:
+        return pafs.S3FileSystem(**options).open_input_stream(rest)
+    uri = "s3://" + rest if scheme == "s3a" else path
     fs, inner = pafs.FileSystem.from_uri(uri)
     return fs.open_input_stream(inner)
 
 
-def _first_line(path: str, encoding: str) -> str:
-    chunks, size = [], 0
-    with _open(path) as fh:
-        while size < _MAX_HEADER_BYTES:
-            block = fh.read(65536)
-            if not block:
-                break
+def _first_line(path: str, encoding: str, options: Mapping[str, object] = {}) -> str:
+    """The file's first line, however long; no more than a block beyond it is
+    read."""
+    chunks = []
+    with _open(path, options) as fh:
+        while block := fh.read(65536):
             chunks.append(block)
-            size += len(block)
             if b"\n" in block:
                 break
     raw = b"".join(chunks).split(b"\n", 1)[0].rstrip(b"\r")
@@ -59,16 +58,15 @@ def _first_line(path: str, encoding: str) -> str:
 
 
 def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.csv",
-                 recursive: bool = True, include: str | None = None,
-                 encoding: str = "utf-8", method: str = "auto") -> DataFrame:
+                 recursive: bool = True, include: str | None = None, encoding: str = "utf-8",
+                 filesystem: Mapping[str, object] | None = None) -> DataFrame:
     """``(path, header)`` for every matching file.
 
-    ``method="arrow"``: one small read per file inside tasks via ``pyarrow.fs``
-    (local, HDFS, S3, ...).  ``method="spark"``: Spark's own ``text`` source,
-    so any filesystem the cluster's Hadoop configuration reaches (e.g.
-    ``s3a://`` with credentials only in that configuration); it reads the
-    first block of every file, so it costs more.  ``"auto"`` probes one file
-    from the driver with ``pyarrow`` and falls back to ``"spark"``.
+    Spark lists the files; tasks read the first line of each through
+    ``pyarrow.fs`` (local, HDFS, S3, ...), so what is read does not grow with a
+    file's length.  ``filesystem`` are the arguments of ``pyarrow.fs.S3FileSystem``
+    (keys, endpoint, region) where the workers' environment does not hold them.
+    A file that the workers cannot reach is an error.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
@@ -76,62 +74,26 @@ def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.
     files = reader.load(root if isinstance(root, str) else list(root)).select("path")
     if include:
         files = files.where(F.col("path").rlike(include))
-    roots = [root] if isinstance(root, str) else list(root)
-    if method == "auto" and all(r.startswith("/") or r.startswith("file:") for r in roots):
-        method = "arrow"  # local files: always readable from Python, no probe needed
-    if method == "auto":
-        first = files.limit(1).collect()
-        method = "arrow"
-        if first:
-            try:
-                _first_line(first[0]["path"], encoding)
-            except Exception:  # noqa: BLE001  (filesystem not reachable from Python)
-                method = "spark"
-    if method == "spark":
-        return _headers_with_spark(spark, root, glob, recursive, include)
+    options = dict(filesystem or {})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             paths = pdf["path"].tolist()
             yield pd.DataFrame({"path": paths,
-                                "header": [_first_line(p, encoding) for p in paths]})
+                                "header": [_first_line(p, encoding, options) for p in paths]})
 
     return files.mapInPandas(run, T.StructType([T.StructField("path", T.StringType()),
                                                 T.StructField("header", T.StringType())]))
 
 
-def _headers_with_spark(spark: SparkSession, root, glob: str, recursive: bool,
-                        include: str | None) -> DataFrame:
-    """First line of every file with Spark's ``text`` source (JVM only).
-
-    Rows of a file's first split arrive in file order, so the smallest
-    ``monotonically_increasing_id`` of that split is its first line.  Paths
-    come back in the raw form ``binaryFile`` uses (``_metadata`` percent-encodes
-    them).
-    """
-    reader = spark.read.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    lines = reader.text(root if isinstance(root, str) else list(root)).select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("i"), "value")
-    first = (lines.where(F.col("start") == 0).groupBy("uri")
-             .agg(F.min_by("value", "i").alias("header"))
-             .select(F.url_decode(F.regexp_replace("uri", r"\+", "%2B")).alias("path"),
-                     F.regexp_replace("header", "^\ufeff", "").alias("header")))
-    if include:
-        first = first.where(F.col("path").rlike(include))
-    return first
-
-
 def _names(header: str, sep: str) -> list[str]:
     return [c.strip().strip('"').strip() for c in header.split(sep)]
 
 
 def discover_layouts(spark: SparkSession, root: str, schema, rename: Mapping[str, str] | None,
                      sep: str = ",", glob: str = "*.csv", include: str | None = None,
-                     encoding: str = "utf-8", method: str = "auto") -> list[CsvLayout]:
+                     encoding: str = "utf-8",
+                     filesystem: Mapping[str, object] | None = None) -> list[CsvLayout]:
     """One ``CsvLayout`` per distinct header found under ``root``.
 
     Every header must name exactly the columns of ``schema`` (any order);
@@ -141,7 +103,7 @@ def discover_layouts(spark: SparkSession, root: str, schema, rename: Mapping[str
     """
     schema = make_schema(schema)
     wanted = sorted(schema.fieldNames())
-    headers = file_headers(spark, root, glob, True, include, encoding, method).cache()
+    headers = file_headers(spark, root, glob, True, include, encoding, filesystem).cache()
     try:
         counts = headers.groupBy("header").count().collect()
         if not counts:
