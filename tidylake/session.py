@@ -29,7 +29,11 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators assume; returns ``spark``."""
+    """Apply the runtime settings the operators assume; returns ``spark``.
+
+    The settings stay on the caller's session: plans are lazy, so they must still
+    hold when the returned DataFrames run.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

@@ -83,7 +83,9 @@ def merge_batch(batch: DataFrame, out_path: str, partition_by: Sequence[str],
 
     The batch's keys are broadcast when measured small (a micro-batch is
     bounded by the files per trigger), so silver's key columns are only
-    scanned, never shuffled, to find the keys already present.
+    scanned, never shuffled, to find the keys already present.  That scan covers
+    the keys of the whole table in every micro-batch, because a key may lie in any
+    partition: the ingest suits tables whose key columns are cheap to read.
     """
     spark = batch.sparkSession
     fresh = dedup.by_key(batch, dedup_keys, dedup_order).persist()
@@ -117,8 +119,8 @@ def ingest_to_silver(spark: SparkSession, layouts: Sequence[CsvLayout],
 
     ``refine`` holds the row-wise silver rules (``refine_fact`` without
     dedup).  ``checkpoint`` defaults to a stable folder below the session's
-    shared checkpoint directory derived from ``out_path``, so a restart
-    resumes where the last run stopped.  ``available_now`` processes every
+    shared checkpoint directory (``spark.checkpoint.dir``) derived from
+    ``out_path``, so a restart resumes where the last run stopped.  ``available_now`` processes every
     file present and stops (scheduled runs); otherwise the query keeps
     running.
     """
