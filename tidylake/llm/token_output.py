@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 
 from tidylake.llm.common import ref
 
-REMEMBERED_CHUNKS = 300_000
+REMEMBERED_CHUNKS = 800_000
 BATCH_CHUNKS = 20_000
 RUN_WORDS = 500
 _SPACE = "\u0120"  # stands for a space in byte-level vocabularies
@@ -107,21 +107,32 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each whole text, the end id appended."""
-        whole = [any(s in t for s in self.specials) or not _PLAIN.fullmatch(t) for t in texts]
-        pieces = [() if w else _CHUNK.findall(t) for t, w in zip(texts, whole)]
-        met: set[str] = set()
-        met.update(*pieces)
         known = self.known
-        missing = [p for p in met if p not in known]
+        pieces: list[list[str]] = []
+        found: list[list[bytes | None]] = []
+        missing: set[str] = set()
+        for text in texts:
+            if any(s in text for s in self.specials) or not _PLAIN.fullmatch(text):
+                pieces.append([])
+                found.append(self._library([text]))
+                continue
+            chunks = _CHUNK.findall(text)
+            ids = list(map(known.get, chunks))
+            if None in ids:
+                missing.update([c for c, x in zip(chunks, ids) if x is None])
+            pieces.append(chunks)
+            found.append(ids)
         words = [p for p in missing if p[0] == " " and p[1:].isalpha()]
         known.update(zip(words, self._words(words)))
-        missing = [p for p in missing if p not in known]
-        for at in range(0, len(missing), BATCH_CHUNKS):
-            part = missing[at:at + BATCH_CHUNKS]
+        others = [p for p in missing if p not in known]
+        for at in range(0, len(others), BATCH_CHUNKS):
+            part = others[at:at + BATCH_CHUNKS]
             known.update(zip(part, self._library(part)))
-        out = [self._library([t])[0] + self.end if w
-               else b"".join(map(known.__getitem__, p)) + self.end
-               for t, w, p in zip(texts, whole, pieces)]
+        out = []
+        for chunks, ids in zip(pieces, found):
+            if None in ids:
+                ids = [known[c] if x is None else x for c, x in zip(chunks, ids)]
+            out.append(b"".join(ids) + self.end)
         if len(known) > REMEMBERED_CHUNKS:
             known.clear()
         return out
