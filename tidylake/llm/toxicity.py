@@ -108,16 +108,15 @@ def _unit_vectors(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def kernel(a: list[str], b: list[str]) -> np.ndarray:
     """Normalised kernel of all units of ``a`` with all of ``b``; ``b`` is short."""
-    dense = np.zeros((CLASSES**3, len(b)), np.float32)
     row, sub, weight = _unit_vectors(b)
-    dense[sub, row] = weight
-    used = np.unique(sub)
-    place = np.full(CLASSES**3, -1)
+    used, column = np.unique(sub, return_inverse=True)
+    dense = np.zeros((len(used), len(b)), np.float32)
+    dense[column, row] = weight
+    place = np.full(CLASSES**3, -1, np.int32)
     place[used] = np.arange(len(used))
-    dense = dense[used]
-    out = np.zeros((len(a), len(b)))
-    for at in range(0, len(a), 2000):
-        part = a[at:at + 2000]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, len(a), 500):
+        part = a[at:at + 500]
         row, sub, weight = _unit_vectors(part)
         seen = place[sub] >= 0
         full = np.zeros((len(part), len(used)), np.float32)
@@ -128,16 +127,20 @@ def kernel(a: list[str], b: list[str]) -> np.ndarray:
 
 def train_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30):
     """Linear support vector machine (squared hinge, Newton steps); the last
-    coordinate is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    ridge = REGULAR * np.eye(x.shape[1]) * weight.sum()
+    coordinate is the bias.  Rows are taken in pieces, to bound the memory."""
+    w = np.zeros(x.shape[1] + 1)
+    ridge = REGULAR * np.eye(len(w)) * weight.sum()
     for _ in range(rounds):
-        margin = 1 - y * (x @ w)
-        on = margin > 0
-        xs, ws = x[on], weight[on]
-        gradient = ridge @ w - xs.T @ (ws * y[on] * margin[on])
-        step = np.linalg.solve(ridge + (xs * ws[:, None]).T @ xs, gradient)
+        gradient, curve = ridge @ w, ridge.copy()
+        for at in range(0, len(x), 2000):
+            part = np.hstack([x[at:at + 2000], np.ones((len(x[at:at + 2000]), 1))])
+            side, load = y[at:at + 2000], weight[at:at + 2000]
+            margin = 1 - side * (part @ w)
+            on = margin > 0
+            part, side, load, margin = part[on], side[on], load[on], margin[on]
+            gradient -= part.T @ (load * side * margin)
+            curve += (part * load[:, None]).T @ part
+        step = np.linalg.solve(curve, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -172,8 +175,11 @@ class Model:
             units += parts
             owner += [i] * len(parts)
         out = np.full(len(words), -np.inf)
-        for at in range(0, len(units), 5000):
-            np.maximum.at(out, owner[at:at + 5000], self.of_units(units[at:at + 5000]))
+        # equal lengths together: a batch is as wide as its longest unit
+        order = sorted(range(len(units)), key=lambda i: len(units[i]))
+        for at in range(0, len(order), 2000):
+            part = order[at:at + 2000]
+            np.maximum.at(out, [owner[i] for i in part], self.of_units([units[i] for i in part]))
         return out
 
     def raw(self, texts: list[str]) -> np.ndarray:
@@ -299,9 +305,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         F.desc("bad"), "unit").limit(MAX_POSITIVE).collect()
     if not positive:  # few labels: the most telling words
         positive = rated.where(F.col("odds") > 1).orderBy(F.desc("odds"), "unit").limit(50).collect()
-    pool = {r["unit"]: r["good"] for r in rated.where(
-        (F.col("good") > 0) & (F.col("odds") < 2)).orderBy(
-        F.xxhash64("unit"), "unit").limit(MAX_POOL).collect()}
+    clean = rated.where((F.col("good") > 0) & (F.col("odds") < 2)).select("unit", "good").orderBy(
+        F.xxhash64("unit"), "unit").limit(MAX_POOL).toArrow()
+    pool = dict(zip(clean["unit"].to_pylist(), clean["good"].to_pylist()))
     if not positive or not pool:
         return None
     model = fit({r["unit"]: r["bad"] for r in positive}, pool)
@@ -330,10 +336,10 @@ def fit(witnesses: dict[str, int], clean: dict[str, int]) -> Model:
     half = min(LANDMARKS // 2, len(witnesses))
     landmarks = words[:half] + negative[:LANDMARKS - half]
     for _ in range(2):
-        values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
+        values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
         good = values > 1e-6
         root = vectors[:, good] / np.sqrt(values[good])
-        x = kernel(words + negative, landmarks) @ root
+        x = kernel(words + negative, landmarks) @ root.astype(np.float32)
         y = np.array([1.0] * len(words) + [-1.0] * len(negative))
         less = np.sqrt([float(clean[u]) for u in negative])
         w = train_machine(x, y, np.concatenate([weight / weight.sum(), less / less.sum()]))
