@@ -62,12 +62,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def spread(df: DataFrame, *cols: Column | str, per_partition: int = 1) -> DataFrame:
-    """``df`` dealt over the session's shuffle partitions by ``cols``."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(1, n // per_partition), *cols)
-
-
 def ref(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")
