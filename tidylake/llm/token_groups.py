@@ -15,13 +15,14 @@ of at least 0.75, exactly, as links between distinct sets.
 4. Token-group matrix: each component is a group, and other sets are grouped by
    their most common shingle.  Per group the union of its members' prefix
    shingles is stored (rarest first, a set's first quarter meets any partner's),
-   so the matrix names the pairs of groups that can hold a link at all.  Groups
-   are opened in blocks of bounded size: a query is bounded by its overlap with
-   the block's token union, and only where that suffices are the members counted.
-   Pairs inside one component are never looked at again.
+   so the matrix names the queries that can have a link in another group at all;
+   of two groups, the sets of the smaller are the queries.  Groups are opened in
+   blocks of bounded size: a query is bounded by its overlap with the block's
+   token union, and only where that suffices are the members counted.  Pairs
+   inside one component are never looked at again.
 5. Components of all links.
 
-No pair of documents is ever a row: blocks meet blocks inside a task and return
+No pair of documents is ever a row: queries meet blocks inside a task and return
 at most a spanning forest of their links.
 """
 
@@ -47,7 +48,7 @@ PERCENT = 75
 PART = 0.4
 SMALL, SMALL_PARTNER = 96, 128  # a partner of a set of 96 has at most 128 shingles
 PIVOT_ROUNDS = 3
-BLOCK_SETS = 256
+BLOCK_SETS, PART_QUERIES = 256, 1024
 MAX_BROADCAST_SETS = 2_000_000
 _LIMIT = np.int64(-(2**63) + int(PART * 2**64))
 
@@ -191,15 +192,15 @@ def _pivot_links(sets: DataFrame) -> DataFrame:
         F.col("set_id").alias("a"), F.col("pivot").alias("b"))
 
 
-def opened(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
-    """Links between two blocks (columns ``set_id, n, tokens``), at most a
-    spanning forest of them."""
-    postings = np.concatenate(right["tokens"].to_numpy())
-    owner = np.repeat(np.arange(len(right)), right["tokens"].map(len))
+def opened(queries: pd.DataFrame, members: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links of queries with a block's members (columns ``set_id, n, tokens``),
+    at most a spanning forest of them."""
+    postings = np.concatenate(members["tokens"].to_numpy())
+    owner = np.repeat(np.arange(len(members)), members["tokens"].map(len))
     order = np.argsort(postings, kind="stable")
     union, first = np.unique(postings[order], return_index=True)
     owner, first = owner[order], np.append(first, len(postings))
-    sizes, names = right["n"].to_numpy(), right["set_id"].to_numpy()
+    sizes, names = members["n"].to_numpy(), members["set_id"].to_numpy()
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -209,7 +210,7 @@ def opened(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
         return x
 
     links = []
-    for name, n, tokens in zip(left["set_id"], left["n"], left["tokens"]):
+    for name, n, tokens in zip(queries["set_id"], queries["n"], queries["tokens"]):
         at = np.searchsorted(union, tokens)
         at[at == len(union)] = 0
         held = at[union[at] == tokens]
@@ -227,48 +228,76 @@ def opened(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
     return links
 
 
-def _group_links(sets: DataFrame, found: DataFrame) -> DataFrame:
-    """``a, b``: links between sets of different components (``found``: node,
-    component), by the token-group matrix."""
-    alone = F.col("component").isNull()
-    grouped = sets.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "set_id", "n", "tokens", "prefix", alone.alias("loose"),
-        F.when(alone, F.xxhash64("common", F.lit("loose"))).otherwise(
+def _grouped(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """``sets`` with ``group`` and ``loose``: a component (``found``: node,
+    component) is a group; other sets are grouped by their most common shingle, in
+    groups of about a block, equal smallest hashes together."""
+    known = sets.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "loose", F.col("component").isNull())
+    many = known.where("loose").groupBy("common").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("long").alias("parts"))
+    low = F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit("part"))))
+    part = F.when(F.col("loose"), F.pmod(low, F.coalesce("parts", F.lit(1).cast("long"))))
+    return known.join(many, "common", "left").select(
+        "set_id", "n", "tokens", "prefix", "loose",
+        F.when(F.col("loose"), F.xxhash64("common", part)).otherwise(
             F.xxhash64("component", F.lit("whole"))).alias("group"))
-    counts = grouped.groupBy("group").agg(
-        F.count(F.lit(1)).alias("members"), F.max("loose").alias("loose"))
-    matrix = checkpointed(grouped.select("group", F.explode("prefix").alias("token")).distinct())
+
+
+def _group_links(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """``a, b``: links between sets of different components, by the token-group
+    matrix.  Sets of the smaller group are the queries of a pair of groups."""
+    grouped = checkpointed(_grouped(sets, found))
+    counts = checkpointed(grouped.groupBy("group").agg(
+        F.count(F.lit(1)).alias("members"), F.max("loose").alias("loose")))
+    prefixes = grouped.select("set_id", "group", F.explode("prefix").alias("token"))
+    matrix = prefixes.select("token", "group").distinct()
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    shared = matrix.join(several.select("token"), "token")
-    pairs = shared.join(shared.select("token", F.col("group").alias("other")), "token").where(
-        F.col("group") < F.col("other")).select("group", "other").distinct()
-    inside = counts.where("loose and members > 1").select("group", F.col("group").alias("other"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK_SETS)).cast("long")
-    sized = counts.select("group", blocks.alias("blocks"))
-    meets = pairs.union(inside).join(sized, "group").join(
-        sized.select(F.col("group").alias("other"), F.col("blocks").alias("other_blocks")), "other")
-    meets = meets.select("group", "other", "other_blocks",
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    meets = checkpointed(meets.select(
-        "group", "other", "block",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("other_blocks") - 1)).alias("other_block")).where(
-        "group <> other or block <= other_block"))
-    rows = grouped.join(sized, "group").select(
-        "group", F.pmod(F.xxhash64("set_id"), F.col("blocks")).alias("block"),
-        "set_id", "n", "tokens")
-    key = ["group", "block", "other", "other_block"]
-    left = rows.join(meets, ["group", "block"])
-    right = rows.select(F.col("group").alias("other"), F.col("block").alias("other_block"),
-                        *[F.col(c).alias(c) for c in ("set_id", "n", "tokens")]).join(
-        meets, ["other", "other_block"])
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        links = opened(a, b) if len(a) and len(b) else []
+    # the matrix: only shingles that can join two groups, with the groups' sizes
+    matrix = checkpointed(matrix.join(several.select("token"), "token").join(
+        counts.select("group", "members"), "group"))
+    other = matrix.select("token", F.col("group").alias("other"),
+                          F.col("members").alias("other_members"))
+    queries = prefixes.join(matrix, ["token", "group"]).join(other, "token").where(
+        "members < other_members or (members = other_members and group < other)").select(
+        "set_id", F.col("other").alias("group")).distinct()
+    # a group of loose sets that is larger than a block asks itself
+    large = counts.where(F.col("loose") & (F.col("members") > BLOCK_SETS)).select("group")
+    inside = grouped.join(large, "group").select("set_id", "group")
+    queries = checkpointed(queries.union(inside))
+    asked = queries.groupBy("group").agg(F.count(F.lit(1)).alias("asked"))
+    # a group is opened in blocks of members and parts of queries
+    plan = checkpointed(counts.join(asked, "group", "left").where(
+        "asked is not null or (loose and members > 1)").select(
+        "group", "loose", F.ceil(F.col("members") / BLOCK_SETS).cast("long").alias("blocks"),
+        F.ceil(F.coalesce("asked", F.lit(1)) / PART_QUERIES).cast("long").alias("parts")))
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+    def spread(n: str) -> Column:
+        return F.pmod(F.xxhash64("set_id", F.lit(n)), F.col(n))
+
+    shape = [F.col(c).alias(c) for c in ("set_id", "n", "tokens")]
+    members = grouped.select("group", *shape).join(plan, "group").select(
+        "group", spread("blocks").alias("block"), F.explode(upto("parts")).alias("part"),
+        (F.col("loose") & (F.col("blocks") == 1)).alias("loose"), "set_id", "n", "tokens")
+    asking = queries.join(plan.select("group", "blocks", "parts"), "group").select(
+        "set_id", "group", F.explode(upto("blocks")).alias("block"),
+        spread("parts").alias("part"))
+    asking = asking.join(grouped.select(*shape), "set_id").select(
+        "group", "block", "part", "set_id", "n", "tokens")
+
+    def run(key: tuple, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        if len(members):
+            # members of a group of loose sets in one block are queries too
+            own = [members] if members["loose"].iloc[0] and key[2] == 0 else []
+            links = opened(pd.concat([queries, *own]), members) if len(queries) or own else []
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    columns = [*key, "set_id", "n", "tokens"]
-    return left.select(columns).groupBy(*key).cogroup(right.select(columns).groupBy(*key)
-                                                      ).applyInPandas(run, "a long, b long")
+    key = ["group", "block", "part"]
+    return asking.groupBy(*key).cogroup(members.groupBy(*key)).applyInPandas(run, "a long, b long")
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Join:
