@@ -69,6 +69,31 @@ def test_quality_odd_rows(spark):
     assert quality.compression_bands(empty(spark, df.schema)).count() == 0
 
 
+def test_quality_limits_come_from_the_table(spark):
+    """Texts that repeat a little more, or less, than the table's prose of their
+    length are rejected; a family of copies does not set the limits."""
+    rng = random.Random(11)
+
+    def text(words, n, lead):
+        return f"{lead} " + " ".join(rng.choice(words) for _ in range(n))
+
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(3, 9))) for _ in range(900)]
+    rows = [("prose", text(words, rng.randrange(200, 500), i)) for i in range(150)]
+    rows += [("repeats", text(words[:110], 350, i)) for i in range(8)]
+    rows += [("noise", " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789")
+                                        for _ in range(7)) for _ in range(300))) for i in range(8)]
+    copy = text(words[:300], 350, "copy " * 2 + " ".join(words[:12]))
+    rows += [("copy", f"{copy} {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "kind string, text string")
+    pack = zstandard.ZstdCompressor(level=3).compress
+    fixed = {(k, quality.compression(t.encode(), pack)[-1]) for k, t in rows}
+    got = quality.compression_bands(df).where("not base_failed").collect()
+    kinds = {k: [r["verdict"] for r in got if r["kind"] == k] for k in ("prose", "repeats", "noise")}
+    assert ("repeats", "prose") in fixed and ("noise", "prose") in fixed
+    assert set(kinds["repeats"]) == {"repetitive"} and set(kinds["noise"]) == {"incompressible"}
+    assert kinds["prose"].count("prose") >= 0.97 * len(kinds["prose"]) > 0
+
+
 @pytest.fixture(scope="module")
 def codec():
     return bpe.load(WORDS).prepare()
