@@ -86,6 +86,29 @@ def test_join_without_pivots_finds_the_same(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(rows)[0]
 
 
+def brute_links(rows):
+    """doc_id -> number of other rows with a similarity of at least 0.75."""
+    sets = [(i, brute_sets(t)) for i, t in rows]
+    return {i: sum(i != j and len(a & b) * 100 >= 75 * len(a | b) > 0 for j, b in sets)
+            for i, a in sets}
+
+
+def test_join_counts_every_link(spark, monkeypatch):
+    """In families of copies, with and without pivots, in one and in many blocks."""
+    rows = near_copies(2)
+    want, df = brute_links(rows), spark.createDataFrame(rows, "doc_id long, text string")
+    assert max(want.values()) > 5
+    for block, part in ((256, 1024), (4, 3)):
+        monkeypatch.setattr(token_groups, "BLOCK_SETS", block)
+        monkeypatch.setattr(token_groups, "PART_QUERIES", part)
+        got = token_groups.clusters(token_groups.jaccard_join(df)).collect()
+        assert {r["doc_id"]: r["n_links"] for r in got} == want
+    monkeypatch.setattr(token_groups, "_pivot_links", lambda sets: sets.sparkSession.createDataFrame(
+        [], "a long, b long"))
+    got = token_groups.clusters(token_groups.jaccard_join(df)).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == want
+
+
 def test_opened_returns_a_forest_of_exact_links():
     tokens = [np.arange(i, i + 20) for i in (0, 1, 2, 30)]
     block = pd.DataFrame({"set_id": [1, 2, 3, 4], "n": [20] * 4, "tokens": tokens})

@@ -1,7 +1,8 @@
 """N-gram Jaccard join by a token-group matrix.
 
 All pairs of documents whose sets of five-word shingles have a Jaccard similarity
-of at least 0.75, exactly, as links between distinct sets.
+of at least 0.75, exactly: the components that they connect and, per document, the
+number of other documents that it is linked with.
 
 1. Documents with equal sets are one.  A set can have a partner only if at least
    three quarters of its shingles occur in another set, so sets with too many
@@ -18,16 +19,18 @@ of at least 0.75, exactly, as links between distinct sets.
    so the matrix names the queries that can have a link in another group at all;
    of two groups, the sets of the smaller are the queries.  Groups are opened in
    blocks of bounded size: a query is bounded by its overlap with the block's
-   token union, and only where that suffices are the members counted.  Pairs
-   inside one component are never looked at again.
-5. Components of all links.
+   token union, and only where that suffices are the members counted.  Every group is
+   opened to its own sets too, so that each pair that can be linked meets once;
+   without counting, pairs inside one component are not looked at again.
+5. Components of all links; sums of the counted links.
 
 No pair of documents is ever a row: queries meet blocks inside a task and return
-at most a spanning forest of their links.
+a spanning forest of their links and, per set, the number of documents met.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -55,8 +58,9 @@ _LIMIT = np.int64(-(2**63) + int(PART * 2**64))
 
 class Join(NamedTuple):
     """``documents``: doc_id, text_key, set_id, n_shingles, component (a set
-    id), one row per input row; ``links``: a, b, set ids of a linked pair - enough pairs to
-    connect every component."""
+    id), n_links (other rows with a similarity of at least 0.75, equal sets
+    included; null if not counted), one row per input row; ``links``: a, b, set ids of a
+    linked pair - enough pairs to connect every component, not all."""
     documents: DataFrame
     links: DataFrame
 
@@ -115,8 +119,8 @@ def _needed(n: Column) -> Column:
 
 
 def _open_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Sets (``set_id, n, doc_id, text_key``) that may have a partner, by the
-    first count."""
+    """Sets (``set_id, n, copies, doc_id, text_key``) that may have a partner, by
+    the first count."""
     counted = docs.select("text").mapInArrow(_tokens_first, "token long, owner long")
     owners = F.shiftright("owner", 1)
     own = counted.groupBy("token").agg(
@@ -126,7 +130,7 @@ def _open_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     joined = sets.withColumn("half", F.shiftright("set_id", 1)).join(
         own, F.col("half") == F.col("least"), "left")
     return joined.where(F.coalesce("own", F.lit(0)) <= F.col("n") - _needed(F.col("n"))).select(
-        "set_id", "n", "doc_id", "text_key")
+        "set_id", "n", "copies", "doc_id", "text_key")
 
 
 def _tokens_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -152,18 +156,18 @@ def _tokens_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def _shared(sets: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Sets that may have a partner, by the full count: ``set_id, n, tokens``
+    """Sets that may have a partner, by the full count: ``set_id, n, copies, tokens``
     (shingles that other sets hold too, sorted), ``prefix`` and ``common`` (the
     most common shingle)."""
     rows = tokens.select("set_id", F.explode("tokens").alias("token"))
     often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     lists = rows.join(often, "token").groupBy("set_id").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ordered"))
-    kept = sets.select("set_id", "n").join(lists, "set_id").where(
+    kept = sets.select("set_id", "n", "copies").join(lists, "set_id").where(
         F.size("ordered") >= _needed(F.col("n")))
     spare = F.size("ordered") - _needed(F.col("n")) + 1
     return kept.select(
-        "set_id", "n", F.array_sort(F.col("ordered.token")).alias("tokens"),
+        "set_id", "n", "copies", F.array_sort(F.col("ordered.token")).alias("tokens"),
         F.slice(F.col("ordered.token"), F.lit(1), spare.cast("int")).alias("prefix"),
         F.element_at("ordered", -1)["token"].alias("common"))
 
@@ -195,12 +199,22 @@ def _pivot_links(sets: DataFrame) -> DataFrame:
 def opened(queries: pd.DataFrame, members: pd.DataFrame) -> list[tuple[int, int]]:
     """Links of queries with a block's members (columns ``set_id, n, tokens``),
     at most a spanning forest of them."""
+    return met(queries.assign(copies=1, inside=True), members.assign(copies=1))[0]
+
+
+def met(queries: pd.DataFrame, members: pd.DataFrame) -> tuple[list[tuple[int, int]], dict[int, int]]:
+    """A spanning forest of the links of queries with a block's members (columns
+    ``set_id, n, tokens, copies``), and per set the copies of the sets that it is
+    linked with.  Queries ``inside`` the block's group are asked both ways, so
+    only their own side counts; others meet the members once, for both sides."""
     postings = np.concatenate(members["tokens"].to_numpy())
     owner = np.repeat(np.arange(len(members)), members["tokens"].map(len))
     order = np.argsort(postings, kind="stable")
     union, first = np.unique(postings[order], return_index=True)
     owner, first = owner[order], np.append(first, len(postings))
     sizes, names = members["n"].to_numpy(), members["set_id"].to_numpy()
+    copies, reached = members["copies"].to_numpy(), np.zeros(len(members), np.int64)
+    counts: Counter[int] = Counter()
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -210,7 +224,8 @@ def opened(queries: pd.DataFrame, members: pd.DataFrame) -> list[tuple[int, int]
         return x
 
     links = []
-    for name, n, tokens in zip(queries["set_id"], queries["n"], queries["tokens"]):
+    for name, n, tokens, weight, inside in zip(*[queries[c] for c in (
+            "set_id", "n", "tokens", "copies", "inside")]):
         at = np.searchsorted(union, tokens)
         at[at == len(union)] = 0
         held = at[union[at] == tokens]
@@ -220,12 +235,20 @@ def opened(queries: pd.DataFrame, members: pd.DataFrame) -> list[tuple[int, int]
         ends = np.cumsum(lengths)
         place = np.repeat(first[held] - (ends - lengths), lengths) + np.arange(ends[-1])
         inter = np.bincount(owner[place], minlength=len(names))
-        for i in np.flatnonzero(100 * inter >= PERCENT * (n + sizes - inter)):
+        hits = np.flatnonzero((100 * inter >= PERCENT * (n + sizes - inter)) & (names != name))
+        if not len(hits):
+            continue
+        counts[int(name)] += int(copies[hits].sum())
+        if not inside:
+            reached[hits] += weight
+        for i in hits:
             a, b = find(int(name)), find(int(names[i]))
             if a != b:
                 root[a] = b
                 links.append((int(name), int(names[i])))
-    return links
+    for i in np.flatnonzero(reached):
+        counts[int(names[i])] += int(reached[i])
+    return links, counts
 
 
 def _grouped(sets: DataFrame, found: DataFrame) -> DataFrame:
@@ -239,17 +262,20 @@ def _grouped(sets: DataFrame, found: DataFrame) -> DataFrame:
     low = F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit("part"))))
     part = F.when(F.col("loose"), F.pmod(low, F.coalesce("parts", F.lit(1).cast("long"))))
     return known.join(many, "common", "left").select(
-        "set_id", "n", "tokens", "prefix", "loose",
+        "set_id", "n", "copies", "tokens", "prefix", "loose",
         F.when(F.col("loose"), F.xxhash64("common", part)).otherwise(
             F.xxhash64("component", F.lit("whole"))).alias("group"))
 
 
-def _group_links(sets: DataFrame, found: DataFrame) -> DataFrame:
-    """``a, b``: links between sets of different components, by the token-group
-    matrix.  Sets of the smaller group are the queries of a pair of groups."""
+def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame:
+    """``a, b, met``: links (``met`` is 0) between sets of different
+    components, by the token-group matrix; if ``counting``, of all sets, and rows
+    with b -1 and in ``met`` documents that a is linked with, to be summed.  Sets
+    of the smaller group are the queries of a pair of groups."""
     grouped = checkpointed(_grouped(sets, found))
     counts = checkpointed(grouped.groupBy("group").agg(
-        F.count(F.lit(1)).alias("members"), F.max("loose").alias("loose")))
+        F.count(F.lit(1)).alias("members"),
+        (F.max("loose") | F.lit(counting)).alias("asks_itself")))
     prefixes = grouped.select("set_id", "group", F.explode("prefix").alias("token"))
     matrix = prefixes.select("token", "group").distinct()
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
@@ -260,16 +286,16 @@ def _group_links(sets: DataFrame, found: DataFrame) -> DataFrame:
                           F.col("members").alias("other_members"))
     queries = prefixes.join(matrix, ["token", "group"]).join(other, "token").where(
         "members < other_members or (members = other_members and group < other)").select(
-        "set_id", F.col("other").alias("group")).distinct()
-    # a group of loose sets that is larger than a block asks itself
-    large = counts.where(F.col("loose") & (F.col("members") > BLOCK_SETS)).select("group")
-    inside = grouped.join(large, "group").select("set_id", "group")
+        "set_id", F.col("other").alias("group")).distinct().withColumn("inside", F.lit(False))
+    # a group that asks itself and is larger than a block
+    large = counts.where(F.col("asks_itself") & (F.col("members") > BLOCK_SETS)).select("group")
+    inside = grouped.join(large, "group").select("set_id", "group", F.lit(True).alias("inside"))
     queries = checkpointed(queries.union(inside))
     asked = queries.groupBy("group").agg(F.count(F.lit(1)).alias("asked"))
     # a group is opened in blocks of members and parts of queries
     plan = checkpointed(counts.join(asked, "group", "left").where(
-        "asked is not null or (loose and members > 1)").select(
-        "group", "loose", F.ceil(F.col("members") / BLOCK_SETS).cast("long").alias("blocks"),
+        "asked is not null or (asks_itself and members > 1)").select(
+        "group", "asks_itself", F.ceil(F.col("members") / BLOCK_SETS).cast("long").alias("blocks"),
         F.ceil(F.coalesce("asked", F.lit(1)) / PART_QUERIES).cast("long").alias("parts")))
 
     def upto(n: str) -> Column:
@@ -278,30 +304,37 @@ def _group_links(sets: DataFrame, found: DataFrame) -> DataFrame:
     def spread(n: str) -> Column:
         return F.pmod(F.xxhash64("set_id", F.lit(n)), F.col(n))
 
-    shape = [F.col(c).alias(c) for c in ("set_id", "n", "tokens")]
+    shape = [F.col(c).alias(c) for c in ("set_id", "n", "copies", "tokens")]
     members = grouped.select("group", *shape).join(plan, "group").select(
         "group", spread("blocks").alias("block"), F.explode(upto("parts")).alias("part"),
-        (F.col("loose") & (F.col("blocks") == 1)).alias("loose"), "set_id", "n", "tokens")
+        (F.col("asks_itself") & (F.col("blocks") == 1)).alias("own"), "set_id", "n", "copies", "tokens")
     asking = queries.join(plan.select("group", "blocks", "parts"), "group").select(
-        "set_id", "group", F.explode(upto("blocks")).alias("block"),
+        "set_id", "group", "inside", F.explode(upto("blocks")).alias("block"),
         spread("parts").alias("part"))
     asking = asking.join(grouped.select(*shape), "set_id").select(
-        "group", "block", "part", "set_id", "n", "tokens")
+        "group", "block", "part", "inside", "set_id", "n", "copies", "tokens")
 
     def run(key: tuple, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        links = []
+        rows = []
         if len(members):
-            # members of a group of loose sets in one block are queries too
-            own = [members] if members["loose"].iloc[0] and key[2] == 0 else []
-            links = opened(pd.concat([queries, *own]), members) if len(queries) or own else []
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+            # members of a group that asks itself in one block are queries too
+            own = [members.assign(inside=True)] if members["own"].iloc[0] and key[2] == 0 else []
+            if len(queries) or own:
+                links, counts = met(pd.concat([queries, *own]), members)
+                rows = [(a, b, 0) for a, b in links]
+                if counting:
+                    rows += [(a, -1, n) for a, n in counts.items()]
+        return pd.DataFrame(rows, columns=["a", "b", "met"], dtype="int64")
 
     key = ["group", "block", "part"]
-    return asking.groupBy(*key).cogroup(members.groupBy(*key)).applyInPandas(run, "a long, b long")
+    return asking.groupBy(*key).cogroup(members.groupBy(*key)).applyInPandas(
+        run, "a long, b long, met long")
 
 
-def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Join:
-    """Exact similarity join of the texts; see :class:`Join`.
+def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 counting: bool = True) -> Join:
+    """Exact similarity join of the texts; see :class:`Join`.  Without
+    ``counting`` only the components are found, with fewer comparisons.
 
     Words are runs of characters other than space and \\t to \\r, A-Z
     lower-cased.  A text with fewer than five words has its whole sequence as one
@@ -315,37 +348,46 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     documents = checkpointed(docs.select("doc_id", "text", "text_key").mapInArrow(
         _text_sets, f"doc_id {kind}, set_id long, n long, text_key long"))
     sets = documents.where("n > 0").groupBy("set_id").agg(
-        F.max("n").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("from")).select(
-        "set_id", "n", "from.doc_id", "from.text_key")
+        F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"),
+        F.min(F.struct("doc_id", "text_key")).alias("from")).select(
+        "set_id", "n", "copies", "from.doc_id", "from.text_key")
     chosen = checkpointed(_open_sets(docs, sets))
     tokens = checkpointed(_tokens_of(docs, chosen))
     candidates = checkpointed(_shared(chosen, tokens))
     first = checkpointed(_pivot_links(candidates))
-    second = checkpointed(_group_links(candidates, components(first)))
-    links = first.union(second)
-    found = checkpointed(components(links))
-    members = documents.join(found, documents["set_id"] == found["node"], "left").select(
+    second = checkpointed(_group_links(candidates, components(first), counting))
+    links = first.union(second.where("b >= 0").select("a", "b"))
+    found = checkpointed(components(links)).select(
+        F.col("node").alias("of"), "component", F.lit(None).cast("long").alias("met"))
+    if counting:
+        none = F.lit(None).cast("long").alias("component")
+        twins = documents.where("n > 0").groupBy("set_id").agg((F.count(F.lit(1)) - 1).alias("met"))
+        found = checkpointed(found.union(second.where("b < 0").select("a", none, "met")).union(
+            twins.where("met > 0").select("set_id", none, "met")).groupBy("of").agg(
+            F.max("component").alias("component"), F.sum("met").alias("met")))
+    n_links = F.coalesce("met", F.lit(0).cast("long")) if counting else F.lit(None).cast("long")
+    members = documents.join(found, documents["set_id"] == found["of"], "left").select(
         "doc_id", "text_key", "set_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component", "set_id").alias("component"))
+        F.coalesce("component", "set_id").alias("component"), n_links.alias("n_links"))
     return Join(members, links)
 
 
 def clusters(join: Join) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per document: the smallest id
-    reachable by links (null where all are null); a document with an empty set is
-    alone."""
+    """``doc_id, n_shingles, component_id, n_links`` per document: the smallest id
+    reachable by links (null where all are null) and the number of other documents
+    that it is linked with; a document with an empty set is alone."""
     ids = join.documents.where("n_shingles > 0").groupBy("component").agg(
         F.min("doc_id").alias("smallest"))
     alone = join.documents.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "n_links")
     return join.documents.where("n_shingles > 0").join(ids, "component").select(
-        "doc_id", "n_shingles", F.col("smallest").alias("component_id")).union(alone)
+        "doc_id", "n_shingles", F.col("smallest").alias("component_id"), "n_links").union(alone)
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with one row of each component: that with the smallest id (nulls
     first).  Rows without words are all kept."""
-    documents = jaccard_join(df, id_col, text_col).documents
+    documents = jaccard_join(df, id_col, text_col, counting=False).documents
     alone = documents.where("n_shingles = 0").select("doc_id", "text_key")
     first = documents.where("n_shingles > 0").groupBy("component").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first")).select("first.*")
