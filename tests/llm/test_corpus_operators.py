@@ -57,6 +57,25 @@ def test_style_tree_cuts_what_repeats(spark):
     assert few[0].startswith("All rights kept by us\n\n")  # too few pages for a tree
 
 
+def articles(n):
+    """Pages of one host whose articles hold the same plea and the same heading."""
+    plea = "<p class=x>Please subscribe to support us</p>"
+    return [(i, f"https://paper.example/{i}",
+             f"<article><h1>Story {i}</h1><p>{prose(12, 50 * i)}</p>{plea}<h2>Sources</h2>"
+             f"<p>{prose(9, 50 * i + 7)}</p><p>{'Same on few pages' if i < 4 else prose(5, i)}</p></article>")
+            for i in range(n)]
+
+
+def test_repeated_texts_are_cut_inside_the_article(spark, monkeypatch):
+    rows = articles(24)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: "\n\n".join(t for t in re.findall(r"<[ph][^>]*>(.*?)</", page) if "subscribe" not in t)
+            for i, _, page in rows}
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()} == want
+    monkeypatch.setattr(html_text, "MAX_BROADCAST_BRANCHES", -1)
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()} == want
+
+
 def test_importance_equals_brute_force(spark):
     import math
     rows = site(24)

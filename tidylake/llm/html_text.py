@@ -13,11 +13,14 @@ on page after page, main content does not, which entropy measures:
 * composite importance: presentation weighs 1 - g^l and what lies below g^l, for
   l children.
 
-Branches of low composite importance are cut from each page.  A tree says
+Branches of low composite importance are cut from each page, and single texts that
+most pages with their element show, also inside the article.  A tree says
 nothing about hosts with few pages, and nothing about template parts with
 changing text, so an element's presentation also counts by its meaning: tags,
 roles and names of menus, notices, adverts, forms, comments and the like have
-importance 0; article and main, and headings and paragraphs in them, are kept.
+importance 0; in article and main, the element of a heading or paragraph is kept
+whatever its importance, and only its repeated texts are cut; headings, cells and
+terms, which recur by nature, are kept altogether.
 
 Trees are merged by Spark: tasks emit hashes of (host, path) with hashes of what
 a page shows there, and grouped counts give the entropies, so a host with a
@@ -80,6 +83,9 @@ DENIALS = {"no", "with", "without", "has", "article", "post", "entry"}
 MAIN_TAGS = {"article", "main"}
 KEPT_TAGS = set("h1 h2 h3 h4 h5 h6 p blockquote pre li dt dd td th figcaption".split())
 
+#: Of these, what stays although most pages of the host show the same text.
+LABEL_TAGS = set("h1 h2 h3 h4 h5 h6 pre dt dd td th".split())
+
 _TAG = re.compile(r"""<(?:!--|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<>]*+"|'[^'<>]*+')*+)(>?)|[!?/])""")
 _ATTRIBUTE = re.compile(
     r"""\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
@@ -115,7 +121,7 @@ class Paths:
     def reset(self) -> None:
         self.known: dict[tuple[int, str, str], int] = {}
         self.parent, self.label = [0], [""]
-        self.noise, self.main, self.kept = [False], [False], [False]
+        self.noise, self.main, self.kept, self.labels = [False], [False], [False], [False]
         self.up: list[list[int]] = [[]]
 
     def child(self, parent: int, tag: str, attributes: str) -> int:
@@ -153,6 +159,7 @@ class Paths:
                 self.noise.append(noise or (self.noise[parent] and tag != "main"))
                 self.main.append(self.main[parent] or (tag in MAIN_TAGS and not noise))
                 self.kept.append(self.main[path] and tag in KEPT_TAGS)
+                self.labels.append(self.labels[parent] or tag in LABEL_TAGS)
                 self.up.append([*self.up[parent], parent] if parent else [])
         self.known[key] = path
         return path
@@ -333,6 +340,12 @@ class Keys:
         return key
 
 
+def text_key(element: int, text: str) -> int:
+    """64-bit key of a text at an element (by the element's key)."""
+    return _signed(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"),
+                                            seed=element & 0xFFFFFFFFFFFFFFFF))
+
+
 _WORKER: list = []
 
 
@@ -355,7 +368,7 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             paths, keys = _worker()
             host = host_key(url.as_py())
             blocks, shows = walk(html.as_py() or "", paths)
-            rows += {(keys.of(host, p), _TEXT, _hash(t), 0, None) for p, t in blocks}
+            rows += {(key := keys.of(host, p), _TEXT, text_key(key, t), 0, None) for p, t in blocks}
             rows += {(keys.of(host, p), _STYLE, _signed(s), n, None) for p, s, n in shows}
             elements = {p for p, _ in blocks} | {p for p, _, _ in shows}
             rows += [(keys.of(host, p), _ELEMENT, 0, 0, [keys.of(host, u) for u in paths.up[p]])
@@ -373,13 +386,32 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["key", "kind", "feature", "children", "up"])
 
 
-def importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``key, pages, importance`` of every element node of the merged trees."""
+def _counted(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """On how many pages an element shows a thing: ``key, kind, feature, n, ...``."""
     seen = pages.select(ref(url_col).alias("url"), ref(html_col).alias("html")).mapInArrow(
         _observed, _SEEN)
-    counted = seen.groupBy("key", "kind", "feature").agg(
-        F.count(F.lit(1)).alias("n"), F.max("children").alias("children"), F.max("up").alias("up"))
+    return checkpointed(seen.groupBy("key", "kind", "feature").agg(
+        F.count(F.lit(1)).alias("n"), F.max("children").alias("children"), F.max("up").alias("up")))
+
+
+def importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``key, pages, importance`` of every element node of the merged trees."""
+    return _importance(_counted(pages, url_col, html_col))
+
+
+def repeated_texts(counted: DataFrame, elements: DataFrame) -> DataFrame:
+    """``key`` (:func:`text_key`) of texts that more than half of the pages with
+    their element show, and whose content importance there is low."""
+    often = counted.where((F.col("kind") == _TEXT) & (F.col("n") > MIN_PAGES / 2)).select(
+        "key", F.col("feature"), "n")
+    enough = elements.where(F.col("pages") >= MIN_PAGES).select("key", "pages")
+    content = 1 - F.log(F.col("n").cast("double")) / F.log(F.col("pages").cast("double"))
+    return often.join(enough, "key").where(
+        (2 * F.col("n") > F.col("pages")) & (content <= LOW_IMPORTANCE)).select(
+        F.col("feature").alias("key"))
+
 
+def _importance(counted: DataFrame) -> DataFrame:
     def only(kind: int, value: Column) -> Column:
         return F.when(F.col("kind") == kind, value)
 
@@ -411,12 +443,14 @@ def importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return per.join(below, "key", "left").select("key", "pages", composite.alias("importance"))
 
 
-def text_of(html: str, paths: Paths, is_low) -> str:
-    """A page's main text; ``is_low(path)`` tells branches of low importance."""
+def text_of(html: str, paths: Paths, is_low, is_repeated=lambda path, text: False) -> str:
+    """A page's main text; ``is_low(path)`` tells branches of low importance,
+    ``is_repeated(path, text)`` texts that the host's pages repeat."""
     blocks, _ = walk(html, paths)
     if any(paths.main[p] for p, _ in blocks):
         blocks = [b for b in blocks if paths.main[b[0]]]
-    return "\n\n".join(t for p, t in blocks if paths.kept[p] or not is_low(p))
+    return "\n\n".join(t for p, t in blocks if (paths.kept[p] or not is_low(p)) and (
+        (paths.main[p] and paths.labels[p]) or not is_repeated(p, t)))
 
 
 def _texts(urls: pa.Array, pages: pa.Array, low_of) -> pa.Array:
@@ -424,8 +458,10 @@ def _texts(urls: pa.Array, pages: pa.Array, low_of) -> pa.Array:
     for i, (url, html) in enumerate(zip(urls, pages)):
         paths, keys = _worker()
         low, host = low_of(i), host_key(url.as_py())
-        out.append(text_of(html.as_py() or "", paths, lambda p: any(
-            keys.of(host, q) in low for q in (p, *paths.up[p]))))
+        out.append(text_of(
+            html.as_py() or "", paths,
+            lambda p: any(keys.of(host, q) in low for q in (p, *paths.up[p])),
+            lambda p, t: text_key(keys.of(host, p), t) in low))
     return pa.array(out, pa.string())
 
 
@@ -441,8 +477,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     columns play no part, whatever their names.
     """
     spark = pages.sparkSession
-    low = checkpointed(importance(pages, url_col, html_col).where(
-        (F.col("pages") >= MIN_PAGES) & (F.col("importance") <= LOW_IMPORTANCE)).select("key"))
+    counted = _counted(pages, url_col, html_col)
+    elements = checkpointed(_importance(counted))
+    low = checkpointed(elements.where(
+        (F.col("pages") >= MIN_PAGES) & (F.col("importance") <= LOW_IMPORTANCE)).select("key").union(
+        repeated_texts(counted, elements)))
     rows = pages.select(ref(id_col).alias("page_id"), ref(url_col).alias("url"),
                         ref(html_col).alias("html"))
     kinds = dict(rows.dtypes)
@@ -477,6 +516,7 @@ def _joined_text(rows: DataFrame, low: DataFrame, schema: str, result) -> DataFr
                 blocks, shows = walk(html.as_py() or "", paths)
                 for p in {p for p, _ in blocks} | {p for p, _, _ in shows}:
                     found.add((host, keys.of(host, p)))
+                found |= {(host, text_key(keys.of(host, p), t)) for p, t in blocks}
             hosts, held = zip(*found) if found else ([], [])
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()),
                                               pa.array(held, pa.int64())], names=["host", "key"])
