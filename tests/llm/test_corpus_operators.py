@@ -31,6 +31,30 @@ def test_blocks(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div class=content>" + "the body is here " * 5 + "</div><article class=card>teaser</article>",
+     ("the body is here " * 5).strip() + "\n\nteaser"),
+    ("<article><h2 id=related-work>Related work</h2><p>a b</p><h2 id=legal-status>Law</h2></article>",
+     "Related work\n\na b\n\nLaw"),
+    ("<article><section id=discussion><p>we find</p></section><section class=side-effects><p>pain</p>"
+     "</section><section id=share-prices><p>up</p></section></article>", "we find\n\npain\n\nup"),
+    ("<article><p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p><dialog open>d</dialog></article>",
+     "let x=2 be\n\nd"),
+    ("<article><p>a</p><div class=share-buttons>s</div><div id=comments>c</div></article>", "a"),
+    ("<div>" * 300 + "deep<nav>menu<p>more</p></nav><div class=ad>buy</div>text" + "</div>" * 300,
+     "deep\n\ntext"),
+    ("<div>" * 300 + "out<main><p>one two</p><nav>m</nav></main>" + "</div>" * 300, "one two"),
+])
+def test_article_text_is_kept(page, want):
+    assert text(page) == want
+
+
+def test_doubtful_names_leave_it_to_the_tree():
+    page = "<article><p>body text here</p><div class=related><p>more on this</p></div></article>"
+    assert text(page) == "body text here\n\nmore on this"
+    assert text(page, lambda p: True) == "body text here"
+
+
 def test_hostile_pages_take_linear_time():
     for page in ('<a "' * 100_000, "<div>" * 20_000 + "x" + "</p>" * 20_000, "<p>" * 100_000,
                  "<!--" * 100_000, "<script>" * 50_000, "<b 'x>" * 50_000):

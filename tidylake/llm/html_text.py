@@ -18,7 +18,11 @@ most pages with their element show, also inside the article.  A tree says
 nothing about hosts with few pages, and nothing about template parts with
 changing text, so an element's presentation also counts by its meaning: tags,
 roles and names of menus, notices, adverts, forms, comments and the like have
-importance 0; in article and main, the element of a heading or paragraph is kept
+importance 0.  Inside article and main, a name that can also be a topic (``side``,
+``related``), and any id that is not made of such words alone, is only a prior: the
+element is judged by its importance; names of headings say nothing.
+An article or main is preferred to the rest of the page where it holds most of the
+words of high importance.  In article and main, the element of a heading or paragraph is kept
 whatever its importance, and only its repeated texts are cut; headings, cells and
 terms, which recur by nature, are kept altogether.
 
@@ -59,7 +63,9 @@ VOID = set("area base basefont bgsound br col embed frame hr img input keygen li
 RAW = set("script style title textarea xmp iframe noembed noframes".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label "
              "mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
-             "input".split())
+             "input math annotation semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle "
+             "merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts "
+             "mprescripts mtable mtr mtd menclose".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset "
                "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav "
                "ol p pre section table ul".split())
@@ -68,7 +74,9 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 ENDS_STOP = set("ul ol dl table select body html article section div".split())
 # What marks an element as no main content.
 NOISE_TAGS = set("head nav footer aside form script style noscript template button select "
-                 "textarea iframe svg math object embed dialog menu title".split())
+                 "textarea iframe svg math object embed dialog menu title annotation".split())
+# Of these, what can be a part of an article.
+NOISE_OUTSIDE = {"header", "math", "dialog"}
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog "
                   "alert menu menubar toolbar tablist".split())
 NOISE_WORDS = set("ad ads adv advert adverts advertisement advertisements advertising adsense "
@@ -79,8 +87,14 @@ NOISE_WORDS = set("ad ads adv advert adverts advertisement advertisements advert
                   "commentlist reply replies respond disqus discussion related recommended "
                   "recommendations footer masthead topbar toolbar widget widgets pagination pager "
                   "copyright legal disclaimer hidden skip".split())
+# Of these, what can be a topic or a part of an article.
+TOPIC_WORDS = set("side rail related recommended recommendations legal discussion disclaimer "
+                  "notice notices notification alert skip social sharing copyright reply replies "
+                  "respond overlay modal login menu menus navigation promotion sponsor sponsors "
+                  "consent".split())
 DENIALS = {"no", "with", "without", "has", "article", "post", "entry"}
 MAIN_TAGS = {"article", "main"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 KEPT_TAGS = set("h1 h2 h3 h4 h5 h6 p blockquote pre li dt dd td th figcaption".split())
 
 #: Of these, what stays although most pages of the host show the same text.
@@ -93,15 +107,21 @@ _ATTRIBUTE = re.compile(
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _means_noise(names: str, in_main: bool) -> bool:
+def _means_noise(names: str, in_main: bool, anchor: bool = False) -> bool | None:
     """Whether one of the class or id names says that an element is no main
-    content; names like ``no-sidebar`` or ``with-menu`` say nothing."""
+    content; names like ``no-sidebar`` or ``with-menu`` say nothing.  Inside the
+    main part, None is a mere sign of it: a word that can be a topic, or an id
+    (``anchor``) with other words."""
+    sign = False
     for name in names.split():
         words = {w.lower() for w in _NAME.findall(name)}
         if not words.isdisjoint(NOISE_WORDS) or ("header" in words and not in_main):
             if words.isdisjoint(DENIALS):
-                return True
-    return False
+                verdict = words & (NOISE_WORDS - TOPIC_WORDS)
+                if not in_main or (verdict and (not anchor or words <= NOISE_WORDS)):
+                    return True
+                sign = None
+    return sign
 
 
 def _signed(x: int) -> int:
@@ -122,6 +142,7 @@ class Paths:
         self.known: dict[tuple[int, str, str], int] = {}
         self.parent, self.label = [0], [""]
         self.noise, self.main, self.kept, self.labels = [False], [False], [False], [False]
+        self.doubtful = [False]
         self.up: list[list[int]] = [[]]
 
     def child(self, parent: int, tag: str, attributes: str) -> int:
@@ -131,7 +152,9 @@ class Paths:
         found = self.known.get(key)
         if found is not None:
             return found
-        label, noise = tag, tag in NOISE_TAGS or (tag == "header" and not self.main[parent])
+        in_main, doubtful = self.main[parent], False
+        label, noise = tag, (tag in NOISE_TAGS or tag == "header") and not (
+            in_main and tag in NOISE_OUTSIDE)
         if attributes:
             for name, *values in _ATTRIBUTE.findall(attributes):
                 name, names = name.lower(), "".join(values)
@@ -139,28 +162,39 @@ class Paths:
                 if name in ("class", "id"):
                     label += ("." if name == "class" else "#") + value
                     # a class of the page, its body or its main part says nothing
-                    if tag not in ("html", "body", "main"):
-                        noise |= _means_noise(names, self.main[parent])
+                    if tag not in ("html", "body", "main") and not (in_main and tag in HEADINGS):
+                        means = _means_noise(names, in_main, name == "id")
+                        noise |= bool(means)
+                        doubtful |= means is None
                 elif name == "role":
                     noise |= value in NOISE_ROLES
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                     noise = True
                 elif name == "style":
                     noise |= "display:none" in value.replace(" ", "")
-        if (tag in INLINE and not noise) or len(self.up[parent]) >= MAX_DEPTH:
+        in_noise = noise or (self.noise[parent] and tag != "main")
+        now_main = in_main or (tag in MAIN_TAGS and not noise)
+        deep = len(self.up[parent]) >= MAX_DEPTH
+        if deep:  # one node at this depth for all elements with the same flags
+            label = f"{self.label[parent].split(chr(1))[0]}\1{in_noise:d}{now_main:d}"
+        if (tag in INLINE and not noise) or (
+                deep and (in_noise, now_main) == (self.noise[parent], in_main)):
             path = parent
         else:
-            same = (parent, label, "\0")
+            above = self.parent[parent] if deep else parent
+            same = (above, label, "\0")
             path = self.known.get(same)
             if path is None:
                 path = self.known[same] = len(self.parent)
-                self.parent.append(parent)
+                self.parent.append(above)
                 self.label.append(label)
-                self.noise.append(noise or (self.noise[parent] and tag != "main"))
-                self.main.append(self.main[parent] or (tag in MAIN_TAGS and not noise))
-                self.kept.append(self.main[path] and tag in KEPT_TAGS)
-                self.labels.append(self.labels[parent] or tag in LABEL_TAGS)
-                self.up.append([*self.up[parent], parent] if parent else [])
+                self.noise.append(in_noise)
+                self.main.append(now_main)
+                self.doubtful.append(doubtful or self.doubtful[parent])
+                self.kept.append(now_main and tag in KEPT_TAGS and not self.doubtful[path])
+                self.labels.append((self.labels[parent] or tag in LABEL_TAGS)
+                                   and not self.doubtful[path])
+                self.up.append(self.up[parent] if deep else [*self.up[parent], parent] if parent else [])
         self.known[key] = path
         return path
 
@@ -447,10 +481,14 @@ def text_of(html: str, paths: Paths, is_low, is_repeated=lambda path, text: Fals
     """A page's main text; ``is_low(path)`` tells branches of low importance,
     ``is_repeated(path, text)`` texts that the host's pages repeat."""
     blocks, _ = walk(html, paths)
-    if any(paths.main[p] for p, _ in blocks):
-        blocks = [b for b in blocks if paths.main[b[0]]]
-    return "\n\n".join(t for p, t in blocks if (paths.kept[p] or not is_low(p)) and (
-        (paths.main[p] and paths.labels[p]) or not is_repeated(p, t)))
+    high = [(p, t) for p, t in blocks if (paths.kept[p] or not is_low(p)) and (
+        (paths.main[p] and paths.labels[p]) or not is_repeated(p, t))]
+    main = [(p, t) for p, t in high if paths.main[p]]
+    words = sum(len(t.split()) for _, t in high)
+    # an article or main with most of the words is the main text
+    if 2 * sum(len(t.split()) for _, t in main) > words:
+        high = main
+    return "\n\n".join(t for _, t in high)
 
 
 def _texts(urls: pa.Array, pages: pa.Array, low_of) -> pa.Array:
