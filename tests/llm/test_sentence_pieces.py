@@ -1,0 +1,110 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from tests.llm.helpers import empty, odd_documents, prose
+from tidylake.llm import sentence_pieces
+from tidylake.llm.queries import PIECE_FILE
+
+PATH = public_tokenizers.path(PIECE_FILE)
+PARTS = ["a", "b", "e", "th", "ing", " ", "  ", "\n", "\t", "1", "23", "é", "日", "本", "😀", "▁", "\x00",
+         ".", "=-", "    ", "́", "", "ﬁ", "int ", "return"]
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return sentence_pieces.load(PATH)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def test_random_texts_equal_the_library(pieces, library):
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
+    for text, ids in zip(texts, pieces.encode_batch(texts)):
+        assert ids.tolist() == library.encode(text)
+        assert pieces.decode(ids) == library.decode(ids.tolist())
+
+
+@pytest.mark.parametrize("unit", ["a", " ", "ab", "=-", "日本", "\n", "▁", "x y", ""])
+def test_long_runs(pieces, library, unit):
+    for n in (1, 2, 17, 255, 256, 257, 258, 3000):
+        text = unit * n
+        assert pieces.encode_batch([text])[0].tolist() == library.encode(text), n
+
+
+def test_rounds_and_heap_agree(pieces, monkeypatch):
+    text = prose(400) + "a" * 200 + " " * 50
+    rounds = pieces.encode_batch([text])[0]
+    monkeypatch.setattr(sentence_pieces, "LONG_WORD", 0)
+    assert (pieces.encode_batch([text])[0] == rounds).all()
+
+
+def test_any_ids_decode_as_in_the_library(pieces, library):
+    rnd = random.Random(3)
+    for _ in range(4000):
+        ids = [rnd.choice([rnd.randrange(300), rnd.randrange(3), 28705, 259, rnd.randrange(32000)])
+               for _ in range(rnd.randint(0, 8))]
+        assert pieces.decode(ids) == library.decode(ids)
+    with pytest.raises(ValueError):
+        pieces.decode([32000])
+
+
+def test_memory_is_bounded_and_changes_nothing(pieces, monkeypatch):
+    texts = [prose(50, i) for i in range(40)]
+    want = [i.tolist() for i in pieces.encode_batch(texts)]
+    monkeypatch.setattr(sentence_pieces, "REMEMBERED_BYTES", 1000)
+    monkeypatch.setattr(sentence_pieces, "SLICE_BYTES", 500)
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], names=["i", "text"])
+    got = [i.tolist() for _, ids in sentence_pieces._encoded(pieces, iter([batch])) for i in ids]
+    assert got == want
+    memory = sentence_pieces._Memory()
+    memory.update([("word" * 9, b"1234")])
+    memory.trim()
+    assert memory.held > 200
+    memory.update([("w" * 300, b"")])
+    memory.trim()
+    assert memory.held == 0 and not memory
+
+
+def test_digests_of_odd_rows(spark, library):
+    df = odd_documents(spark)
+    got = sentence_pieces.digests(df, PATH).collect()
+    want = []
+    for r in df.select("doc_id", "text").collect():
+        ids = library.encode(r["text"] or "")
+        want.append((r["doc_id"], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert sentence_pieces.digests(df.limit(0), PATH).collect() == []
+
+
+def test_round_trip_columns(spark):
+    df = odd_documents(spark).select("doc_id", "text", "ids", "c0")
+    ids = sentence_pieces.encoded(df, PATH)
+    assert ids.columns == ["doc_id", "text", "c0", "ids"]
+    for r in sentence_pieces.decoded(ids, PATH).collect():
+        assert r["c0"] == "clash" and r["decoded"] == (r["text"] or "")
+    none = empty(spark, "doc_id long, text string")
+    assert sentence_pieces.encoded(none, PATH).collect() == []
+
+
+def test_other_models_are_refused():
+    with pytest.raises(ValueError):
+        sentence_pieces.Pieces(b"\x12\x02\x18\x01")  # a unigram model
+
+
+def test_words_cover_the_text(pieces):
+    rnd = random.Random(5)
+    for _ in range(200):
+        text = "".join(rnd.choice(PARTS) for _ in range(30))
+        assert "".join(pieces.split(text)) == ("▁" + text.replace(" ", "▁") if text else "")
+    assert np.array_equal(pieces.encode_batch([""])[0], [])

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidylake.llm import (bpe, html_text, mixing, quality, sharding, token_groups, token_output,
-                          topk, toxicity, url_filter)
+from tidylake.llm import (bpe, html_text, mixing, quality, sentence_pieces, sharding, token_groups,
+                          token_output, topk, toxicity, url_filter)
 from tidylake.llm.common import scratch_path
 
 
@@ -102,6 +102,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+PIECE_FILE = "piece_bpe_32k.model"
+
+
+def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(_table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path(PIECE_FILE))
+
+
 QUERIES = {
     "op1_style_tree_text": op1_style_tree_text,
     "op2_compression_bands": op2_compression_bands,
@@ -113,6 +121,7 @@ QUERIES = {
     "op8_interleaved_shards": op8_interleaved_shards,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
+    "op13_merge_rounds": op13_merge_rounds,
 }
 
 ORACLE_SQL = {}
