@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidylake.llm import (bpe, html_text, mixing, quality, sentence_pieces, sharding, token_groups,
-                          token_output, topk, toxicity, url_filter)
+from tidylake.llm import (bpe, hard_negatives, html_text, lexical_search, mixing, quality,
+                          sentence_pieces, sharding, token_groups, token_output, topk, toxicity,
+                          url_filter)
 from tidylake.llm.common import scratch_path
 
 
@@ -102,6 +103,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+RANKED = 10
+
+
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"),
+                                 _table(spark, sf_dir, "benchmark"), RANKED)
+
+
+ANCHOR_EVERY = 100
+
+
+def op12_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = _table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+        .alias("label"))
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % ANCHOR_EVERY == 0))
+
+
 PIECE_FILE = "piece_bpe_32k.model"
 
 
@@ -121,6 +141,8 @@ QUERIES = {
     "op8_interleaved_shards": op8_interleaved_shards,
     "op9_bpe": op9_bpe,
     "op10_url_filter": op10_url_filter,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_rtree_negatives": op12_rtree_negatives,
     "op13_merge_rounds": op13_merge_rounds,
 }
 
@@ -179,6 +201,58 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+ORACLE_SQL["op11_ranked_search"] = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS place, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+q AS (
+  SELECT item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+a AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+t AS (
+  SELECT place, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*)::BIGINT AS tf
+  FROM (SELECT place, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY place, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM t GROUP BY term), a),
+s AS (
+  SELECT item_id, place, any_value(doc_id) AS doc_id,
+         sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term), a GROUP BY item_id, place),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE_SQL["op12_rtree_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+         list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+  WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+         s.score AS negative_score, row_number() OVER (
+           PARTITION BY p.anchor_id, p.place ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND p.place <= 5
+   AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 _RULE_SQL = "CASE " + " ".join(
     f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{}}'".replace(
         "{}", f"{h}{p}|{v}")
