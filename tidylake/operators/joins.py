@@ -8,9 +8,11 @@ Strategy of :func:`lookup`:
 2. Otherwise both sides are hash-partitioned (sort-merge join).  Fact rows with a
    null key can never match, yet would all hash to one partition; they get a
    deterministic salt so they spread over ``null_salt`` partitions.  Keys named
-   in ``hot_keys`` (e.g. the label that replaced nulls) are spread over
+   in ``hot_keys`` (e.g. the label that replaced nulls), or found in the data by
+   :func:`heavy_keys` (``hot_keys="measure"``), are spread over
    ``hot_salt`` partitions, and only their dimension rows are replicated;
-   ``skew_salt=N`` does that for every key.  AQE's skew-join splitting stays on as
+   ``skew_salt=N`` does that for every key.  With ``prune`` dimension rows that no
+   fact row refers to are left out before the shuffle (:func:`referenced`).  AQE's skew-join splitting stays on as
    the backstop.
 
 Both ways give the same rows.  Replicating dimension rows would repeat unmatched
@@ -24,6 +26,7 @@ so a recomputed task after an executor loss sends every row to the same place.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -105,6 +108,74 @@ def measure(*dims: DataFrame, max_rows: int | None = None,
     return small
 
 
+#: Share of the rows from which a key counts as heavy, and the keys that the summary
+#: tracks: its counts are low by at most about 3.5 / TRACKED_KEYS of the rows.
+HEAVY_SHARE, TRACKED_KEYS = 0.01, 8192
+
+
+def heavy_keys(df: DataFrame, *columns: str, share: float | None = None,
+               tracked: int | None = None) -> list[list[object]]:
+    """For each column the values that hold at least ``share`` of all rows, heaviest first
+    (nulls are not counted).
+
+    A mergeable frequent-items summary per column, built as one aggregate: a task sends
+    a summary of a bounded number of keys, whatever it reads, so the key that dominates
+    one part of the data is found without counting all keys.  Counts are low by
+    ``3.5 / tracked`` of the rows at most, which is allowed for.  At most ``1 / share``
+    values per column reach the driver."""
+    share = HEAVY_SHARE if share is None else share
+    tracked = TRACKED_KEYS if tracked is None else tracked
+    if not 4 / tracked < share <= 1:
+        raise ValueError("share must be over 4 / tracked, and 1 at most")
+    most = math.ceil(1 / (share - 3.5 / tracked))
+    tops = [F.expr(f"approx_top_k({_quoted(c)}, {most}, {tracked}) FILTER (WHERE {_quoted(c)} IS NOT NULL)")
+            .alias(f"top{i}") for i, c in enumerate(columns)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *tops).first()
+    least = max(1, row["n"] * (share - 3.5 / tracked))
+    return [[r["item"] for r in row[f"top{i}"] or [] if r["count"] >= least and r["item"] is not None]
+            for i in range(len(columns))]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+#: 64-bit words of a filter of referenced keys: at most 16 MB when broadcast.
+FILTER_WORDS = 1 << 20
+
+
+def referenced(dim: DataFrame, fact: DataFrame, dim_key: str | Sequence[str],
+               fact_key: str | Sequence[str], words: int | None = None) -> DataFrame:
+    """``dim`` without rows that no row of ``fact`` refers to, by a Bloom filter of the
+    fact's keys: rows that are referred to are never lost, a few others stay.
+
+    The filter is a table of ``words`` words; each key sets four bits of one word.  It is
+    built by one aggregate over the fact's key columns, where a task sends at most one row
+    per word, and broadcast: its size is bounded by ``words``, not by the data."""
+    words = FILTER_WORDS if words is None else words
+
+    def bits(columns: Sequence[Column]) -> tuple[Column, Column]:
+        h = F.xxhash64(*columns, F.lit("word"))
+        g = F.xxhash64(*columns, F.lit("bits"))
+        mask = F.lit(0).cast("long")
+        for i in range(4):
+            place = F.shiftrightunsigned(g, 16 * i).bitwiseAND(F.lit(63)).cast("int")
+            mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+        return F.pmod(h, F.lit(words)), mask
+
+    fks, dks = _keys(fact_key), _keys(dim_key)
+    types = [fact.schema[f].dataType for f in fks]
+    word, mask = bits([ref(f) for f in fks])
+    filled = fact.select(word.alias("__tl_word"), mask.alias("__tl_bits")).groupBy("__tl_word").agg(
+        F.bit_or("__tl_bits").alias("__tl_set"))
+    # hashes depend on the type
+    word, mask = bits([ref(d).cast(t) for d, t in zip(dks, types)])
+    kept = dim.withColumns({"__tl_at": word, "__tl_mask": mask}).join(
+        F.broadcast(filled), F.col("__tl_at") == F.col("__tl_word"))
+    return kept.where(F.col("__tl_set").bitwiseAND(F.col("__tl_mask")) == F.col("__tl_mask")).select(
+        *[ref(c) for c in dim.columns])
+
+
 # joins that keep dimension rows without a match
 _KEEPS_DIMENSION = {"right", "rightouter", "full", "fullouter", "outer"}
 
@@ -124,8 +195,9 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
            max_broadcast_rows: int | None = None,
            max_broadcast_bytes: int | None = None,
            null_salt: int = 64, skew_salt: int = 1,
-           hot_keys: Sequence[object] = (), hot_salt: int = 64,
-           salt_by: Sequence[str] | None = None, small: bool | None = None) -> DataFrame:
+           hot_keys: Sequence[object] | str = (), hot_salt: int = 64,
+           salt_by: Sequence[str] | None = None, small: bool | None = None,
+           prune: bool = False) -> DataFrame:
     """Join ``dim`` onto ``fact`` by equal keys (left outer by default).
 
     Both key columns are kept when their names differ (with equal names the
@@ -135,8 +207,9 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
 
     ``broadcast``: ``"auto"``/``True`` broadcast after the size check (``True``
     logs when the check fails and falls back), ``False`` never.  ``hot_keys``
-    lists key values that may hold a large share of the fact.  ``small`` passes
-    the result of an earlier :func:`checked_broadcast` of the same
+    lists key values that may hold a large share of the fact; ``"measure"`` finds them
+    by one aggregate over the fact's key if the join shuffles.  ``prune`` filters the
+    dimension by the fact's keys before a shuffle.  ``small`` passes the result of an earlier :func:`checked_broadcast` of the same
     dimension (e.g. one dimension used in two roles), skipping the check.
     """
     fks = _keys(fact_key)
@@ -168,6 +241,10 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
         cond = [_of(fact, f) == _of(bdim, d) for f, d in zip(fks, dks)]
         return fact.join(bdim, on=cond, how=how)
 
+    if prune and how.lower().replace("_", "") not in _KEEPS_DIMENSION:
+        dim = referenced(dim, fact, dks, fks)
+    if hot_keys == "measure":
+        hot_keys = heavy_keys(fact, fks[0])[0]
     # Shuffle join: salt the partitioning so null (or hot) keys spread out.
     row_hash = F.xxhash64(*[ref(c) for c in (salt_by or fact.columns)])
     copies = F.array(F.lit(0))

@@ -17,18 +17,20 @@ from pyspark.sql import functions as F
 from tidylake import sinks
 from tidylake.functions.labels import map_labels
 from tidylake.functions.text import ZERO_WIDTH_SPACE, html_escape
-from tidylake.operators import cleaning, dedup, enrich, joins
+from tidylake.operators import cleaning, colocated, dedup, enrich, joins
 from tidylake.operators.projection import clean_headers, select_renamed
 from tidylake.operators.union import union_by_name
-from tidylake.plans import airport
-from tidylake.plans.layers import (LabelRule, refine_dimension, refine_fact,
-                                   touched_partitions)
+from tidylake.plans import airport, ledger
+from tidylake.plans.layers import LabelRule, changed_only, refine_dimension, refine_fact
 from tidylake.schema import make_schema, reorder
 from tidylake.session import configure, scratch_path
 from tidylake.sources.csv import CsvLayout, read_csv, read_layouts
 from tidylake.sources.html_tables import extract_tables, table_columns
 from tidylake.sources.layouts import discover_layouts
+from tidylake.sources.mixed import read_mixed
 from tidylake.sources.parquet import read_parquet
+from tidylake.sources.parquet import row_count as footer_count
+from tidylake.streaming.keyed import ingest_keyed
 
 ZW = ZERO_WIDTH_SPACE
 STATUS_LABELS = {"F": "Março", "O": "Aberto"}  # accented partition values
@@ -75,6 +77,59 @@ def csv_scan_variant_union(spark, d):
                         sep=";", null_value="null", strict_header=True)
 
 
+def csv_scan_mixed_layouts(spark, d):
+    """Four column orders with a quarter of the orders each, in one folder, read
+    in one scan by the table of the files' headers."""
+    _start(spark)
+    orders = table(spark, d, "orders")
+    base = scratch_path(spark, "csv_scan_mixed_layouts")
+    cols = orders.columns
+    ways = [cols, cols[::-1], cols[1:] + cols[:1], cols[::2] + cols[1::2]]
+    for i, way in enumerate(ways):
+        sinks.write_csv(orders.where(F.pmod("o_orderkey", F.lit(len(ways))) == i).select(*way),
+                        base, sep=";", mode="append")
+    schema = make_schema([(f.name, f.dataType) for f in orders.schema.fields])
+    return read_mixed(spark, base, schema, sep=";", null_value="null")
+
+
+def csv_scan_positional(spark, d):
+    """S2 as the original read it: by position under a schema, whatever the headers say."""
+    _start(spark)
+    orders = table(spark, d, "orders")
+    path = scratch_path(spark, "csv_scan_positional")
+    sinks.write_csv(orders.toDF(*[f"field_{i}" for i in range(len(orders.columns))]), path, sep=";")
+    schema = make_schema([(f.name, f.dataType) for f in orders.schema.fields])
+    return read_csv(spark, path, schema=schema, sep=";", null_value="null", strict_header=False)
+
+
+def _planted_lines(orders: DataFrame) -> DataFrame:
+    """Orders as CSV lines; every eleventh has a bad price, every thirteenth a cell too few."""
+    price = F.when(F.col("o_orderkey") % 11 == 0, F.lit("12,x")).otherwise(
+        F.col("o_totalprice").cast("string"))
+    line = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), price)
+    return orders.select(F.when(F.col("o_orderkey") % 13 == 0, F.concat_ws(
+        ";", F.col("o_orderkey").cast("string"), F.col("o_orderstatus"))).otherwise(line).alias("line"))
+
+
+def csv_scan_rejects(spark, d):
+    """Malformed rows of a CSV are written as a table of their own, with their file and
+    text, and counted; good and rejected rows side by side."""
+    _start(spark)
+    base = scratch_path(spark, "csv_scan_rejects")
+    # one column of text with the header as its name: the files' lines are the rows
+    _planted_lines(table(spark, d, "orders")).toDF("o_orderkey;o_orderstatus;o_totalprice").write.option(
+        "header", True).option("sep", "\t").option("quote", "").csv(f"{base}/raw")
+    raw = read_csv(spark, f"{base}/raw", schema="o_orderkey bigint, o_orderstatus string, o_totalprice double",
+                   sep=";", strict_header=True, corrupt="__bad", file="__file")
+    good, bad = sinks.write_with_rejects(raw, f"{base}/good", f"{base}/bad", "__bad", "__file")
+    goods, bads = (read_parquet(spark, f"{base}/{x}") for x in ("good", "bad"))
+    counts = F.lit(good).cast("long").alias("n_good"), F.lit(bad).cast("long").alias("n_bad")
+    return goods.select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(None).cast("string").alias("text"),
+                        F.lit(True).alias("known_file"), *counts).union(bads.select(
+                            "parsed.o_orderkey", "parsed.o_orderstatus", "parsed.o_totalprice", "text",
+                            F.col("file").contains("/raw/part-"), *counts))
+
+
 def csv_scan_header_strings(spark, d):
     """Names from the header, every column a string, directory read."""
     _start(spark)
@@ -87,12 +142,12 @@ def csv_scan_header_strings(spark, d):
 def file_discovery(spark, d):
     """Recursive listing, `*.csv` only (a `.txt` decoy), one folder excluded."""
     _start(spark)
-    nation = table(spark, d, "nation")
+    orders = table(spark, d, "orders")
     root = scratch_path(spark, "file_discovery")
-    (nation.withColumn("grp", F.col("n_regionkey")).write.mode("overwrite")
-     .partitionBy("grp").option("header", True).csv(root))
-    nation.select(F.concat_ws(";", *nation.columns).alias("v")).write.mode("append").text(root)
-    return read_csv(spark, root, schema=nation.schema, glob="*.csv", recursive=True,
+    (orders.withColumn("grp", F.pmod("o_orderkey", F.lit(5))).hint("rebalance", "grp")
+     .write.mode("overwrite").partitionBy("grp").option("header", True).csv(root))
+    orders.select(F.concat_ws(";", *orders.columns).alias("v")).write.mode("append").text(root)
+    return read_csv(spark, root, schema=orders.schema, glob="*.csv", recursive=True,
                     exclude=["grp=4/"])
 
 
@@ -170,6 +225,12 @@ def row_count(spark, d):
     return table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
 
 
+def row_count_footers(spark, d):
+    """A3: a count that reads no column, from the Parquet footers."""
+    _start(spark)
+    return footer_count(spark, f"{d.rstrip('/')}/lineitem.parquet")
+
+
 def write_count(spark, d):
     """K4: the rows observed during a write, next to the count of what was
     written."""
@@ -294,6 +355,47 @@ def lookup_null_and_hot_keys(spark, d):
     return joins.lookup(li, dim, "k", "part_key", broadcast=False, hot_keys=[HOT_PART])
 
 
+def lookup_measured_hot_keys(spark, d):
+    """J1 on the shuffle path with hot keys that nobody listed: a third of the line items
+    fall on one part and a sixth on another; the join finds both in the data."""
+    _start(spark)
+    turn = F.pmod(F.col("l_orderkey"), F.lit(6))
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.when(turn < 2, F.lit(1)).when(turn == 2, F.lit(2)).when(turn < 5, F.col("l_partkey"))
+        .cast("bigint").alias("k"))
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("part_key"), "p_name")
+    return joins.lookup(li, part, "k", "part_key", broadcast=False, hot_keys="measure")
+
+
+def lookup_pruned_dimension(spark, d):
+    """J1 on the shuffle path where few dimension rows are referred to: orders of one
+    status, looked up in all customers; a filter of the orders' keys cuts the customers
+    before they are shuffled."""
+    _start(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", F.when(
+        F.col("o_custkey") % 10 == 0, F.col("o_custkey")).alias("o_custkey"))
+    customer = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return joins.lookup(orders, customer, "o_custkey", "c_custkey", broadcast=False, prune=True)
+
+
+def lookup_colocated(spark, d):
+    """J1 without an exchange: line items and parts stored in buckets of the part key, a third
+    of the line items on one part and some without any."""
+    _start(spark)
+    base = scratch_path(spark, "lookup_colocated")
+    turn = F.pmod(F.col("l_orderkey"), F.lit(6))
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("bigint").alias("l_partkey"),
+        F.when(turn < 2, F.lit(1)).when(turn < 5, F.col("l_partkey")).cast("bigint").alias("k"))
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("part_key"), "p_name")
+    hot = joins.heavy_keys(li, "k")[0]
+    name = "tidylake_" + base.rsplit("-", 1)[1]
+    fact = colocated.store_fact(li, f"{name}_fact", "k", 16, f"{base}/fact", hot)
+    dim = colocated.store_dimension(part, f"{name}_dim", "part_key", 16, f"{base}/dim", hot)
+    return colocated.lookup(fact, dim, "k", "part_key")
+
+
 def left_join_unique_dimension(spark, d):
     """J1 with D9: a dimension holding every key twice (two spellings of the
     name); ``unique=True`` keeps one deterministic row per key, so the fact
@@ -338,6 +440,15 @@ def dedup_subset(spark, d):
     return dedup.by_key(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def dedup_rare_keys(spark, d):
+    """A1 in two phases: keys almost unique, one in a hundred orders there twice."""
+    _start(spark)
+    orders = table(spark, d, "orders")
+    again = orders.where(F.col("o_orderkey") % 100 == 0).withColumn(
+        "o_totalprice", F.col("o_totalprice") - 1)
+    return dedup.by_rare_key(union_by_name([orders, again]), ["o_orderkey"], ["o_totalprice"])
+
+
 def dedup_rows(spark, d):
     """A2: whole rows, every line item there twice."""
     _start(spark)
@@ -354,12 +465,12 @@ def dedup_null_keys(spark, d):
 
 
 def union_by_name_q(spark, d):
-    """Two overlapping parts of the orders in different column orders; rows in
-    both come out twice."""
+    """Two overlapping parts that together hold all orders, in different column
+    orders; rows in both come out twice."""
     _start(spark)
     orders = table(spark, d, "orders")
     a = orders.where(F.col("o_orderkey") % 3 != 0)
-    b = orders.where(F.col("o_orderkey") % 2 == 0).select(*reversed(orders.columns))
+    b = orders.where(F.col("o_orderkey") % 3 < 2).select(*reversed(orders.columns))
     return union_by_name([a, b])
 
 
@@ -449,59 +560,133 @@ def silver_dimension(spark, d):
     """L2 L3: a lookup table as dirty CSV (decorated headers and keys, rows
     twice) -> silver (header clean-up, rename, key clean-up, dedup)."""
     _start(spark)
-    nation = table(spark, d, "nation")
-    dirty = nation.select(
-        F.concat(F.lit(f"{ZW} "), F.col("n_name"), F.lit(ZW)).alias(f"{ZW}code"),
-        F.col("n_regionkey").alias(f"region{ZW}"), F.lit("dropped").alias("note"))
+    part = table(spark, d, "part")
+    dirty = part.select(
+        F.concat(F.lit(f"{ZW} "), F.col("p_partkey").cast("string"), F.lit(ZW)).alias(f"{ZW}code"),
+        F.col("p_name").alias(f"name{ZW}"), F.lit("dropped").alias("note"))
     base = scratch_path(spark, "silver_dimension")
     sinks.write_csv(dirty, f"{base}/raw")
     sinks.write_csv(dirty, f"{base}/raw", mode="append")
     raw = read_csv(spark, f"{base}/raw")
-    silver = refine_dimension(raw, {"code": "code", "region": "region_code"},
+    silver = refine_dimension(raw, {"code": "code", "name": "part_name"},
                               key_columns=["code"])
     sinks.write_parquet(silver, f"{base}/silver")
     return read_parquet(spark, f"{base}/silver")
 
 
-def _movement_files(spark, d, base: str) -> tuple[DataFrame, object, dict]:
-    """Orders as raw CSVs below ``base/{year}``: rows of 1995 (some without a
-    year, each twice) also in the folder 1996; their schema and renaming."""
+ORDER_YEARS = [str(y) for y in range(1992, 1999)]
+_SILVER_ORDERS = "o_orderkey bigint, o_custkey bigint, o_totalprice double, ano string, mes string"
+
+
+def _order_year_files(spark, d, base: str) -> tuple[object, dict]:
+    """Orders as raw CSVs below ``base/{year}``, years outside the range in the nearest: rows
+    of odd years (some without a year) also in the next folder, half of the years in the
+    reverse column order; the folder of 1997 for a start with rows of its own. Their schema
+    and renaming."""
+    y = F.greatest(F.lit(1992), F.least(F.lit(1998), F.coalesce(F.year("o_orderdate"), F.lit(1992))))
     raw = table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice",
         F.when(F.col("o_orderkey") % 7 != 0, F.year("o_orderdate")).cast("string").alias("ANO"),
-        F.date_format("o_orderdate", "MM").alias("MES"), F.year("o_orderdate").alias("y"))
-    for year in (1995, 1996):
-        rows = raw.where(F.col("y") == year) if year == 1995 else raw.where(
-            (F.col("y") == 1996) | ((F.col("y") == 1995) & (F.col("o_orderkey") % 2 == 0)))
-        sinks.write_csv(rows.drop("y"), f"{base}/{year}", sep=";")
+        F.date_format("o_orderdate", "MM").alias("MES"), y.alias("y"))
+    for i, year in enumerate(map(int, ORDER_YEARS)):
+        rows = raw.where((F.col("y") == year) | ((F.col("y") == year - 1) & (F.col("y") % 2 == 1)
+                                                 & (F.col("o_orderkey") % 2 == 0))).drop("y")
+        rows = rows.select(*reversed(rows.columns)) if i % 2 else rows
+        sinks.write_csv(rows, f"{base}/{year}", sep=";")
+        if year == 1997:  # files that will disappear: rows of a partition of their own
+            lost = rows.withColumns({"ANO": F.lit("1900"), "o_orderkey": -F.col("o_orderkey")})
+            sinks.write_csv(lost.select(*rows.columns), f"{base}/{year}/late", sep=";")
     schema = make_schema([(f.name, f.dataType) for f in raw.drop("y").schema.fields])
     rename = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey",
               "o_totalprice": "o_totalprice", "ANO": "ano", "MES": "mes"}
-    return raw, schema, rename
-
+    return schema, rename
 
-def silver_movements_rerun(spark, d):
-    """L1 with D15: a full run over two year folders that share partitions (rows
-    without a year, rows in the other year's folder), then a dynamic re-run of one
-    folder; the table must be that of the full run."""
-    _start(spark)
-    base = scratch_path(spark, "silver_movements_rerun")
-    _, schema, rename = _movement_files(spark, d, f"{base}/raw")
 
-    def silver(years):
-        bronze = read_layouts(spark, [CsvLayout(f"{base}/raw/{y}", schema, rename) for y in years],
-                              sep=";", null_value="null")
+def _order_run(spark, base: str, schema, rename, only=None):
+    """A run, or a re-run of some years, of the order years below ``base`` with a ledger."""
+    def read(paths):
+        raw = read_mixed(spark, paths, schema, rename, sep=";", null_value="null", file="__file")
         return refine_fact(
-            bronze, fills=[("Ano não informado", ["ano"])],
+            raw, fills=[("Ano não informado", ["ano"])],
             labels=[LabelRule("mes", airport.MONTH_LABELS, airport.MONTH_DEFAULT, key_type="int")],
-            dedup_keys=["o_orderkey"], strict_fills=True)
+            strict_fills=True)
+
+    return ledger.run(spark, f"{base}/silver", f"{base}/ledger",
+                      {y: f"{base}/raw/{y}" for y in ORDER_YEARS}, read, ["ano", "mes"],
+                      ["o_orderkey"], only=only, file="__file")
+
 
+def silver_movements_rerun(spark, d):
+    """L1 with D15: a full run over all order years, whose folders share partitions (rows
+    without a year, rows in the next year's folder) and lie in two layouts; then files of
+    one year disappear and that year is re-run by the ledger. The table must be that of a
+    full run without them, partitions that nothing feeds any more included."""
+    _start(spark)
+    base = scratch_path(spark, "silver_movements_rerun")
+    schema, rename = _order_year_files(spark, d, f"{base}/raw")
+    _order_run(spark, base, schema, rename)
+    # the late files are replaced by one without rows
+    empty = spark.createDataFrame([], schema)
+    sinks.write_csv(empty.coalesce(1), f"{base}/raw/1997/late", sep=";")
+    _order_run(spark, base, schema, rename, only=["1997"])
+    return read_parquet(spark, f"{base}/silver", schema=_SILVER_ORDERS)
+
+
+def gold_changed_partitions(spark, d):
+    """L4 incremental: gold from a first silver table; then a year's files disappear, silver is
+    re-run by its ledger, and gold is brought up to date from the changed partitions only
+    (pruned at run time). The result is that of a full run."""
+    _start(spark)
+    base = scratch_path(spark, "gold_changed")
+    schema, rename = _order_year_files(spark, d, f"{base}/raw")
+    _order_run(spark, base, schema, rename)
+    customer = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    small = joins.checked_broadcast(customer)
     parts = ["ano", "mes"]
-    sinks.write_parquet(silver([1995, 1996]), f"{base}/silver", parts, rebalance=True)
-    again = touched_partitions(silver([1995, 1996]), silver([1996]), parts)
-    sinks.write_parquet(again, f"{base}/silver", parts, rebalance=True, dynamic=True)
+
+    def enriched(silver):
+        gold = joins.lookup(silver, customer, "o_custkey", "c_custkey", small=small)
+        return gold.select("o_orderkey", "o_totalprice", "c_mktsegment", "ano", "mes")
+
+    def silver():
+        return read_parquet(spark, f"{base}/silver", schema=_SILVER_ORDERS)
+
+    sinks.write_parquet(enriched(silver()), f"{base}/gold", parts, rebalance=not small)
+    sinks.write_csv(spark.createDataFrame([], schema).coalesce(1), f"{base}/raw/1997/late", sep=";")
+    done = _order_run(spark, base, schema, rename, only=["1997"])
+    ledger.log_changes("second", done.changed, f"{base}/changes")
+    changed = spark.read.schema("ano string, mes string, run string").parquet(
+        f"{base}/changes").where(F.col("run") == "second")
+    touched = changed_only(silver(), changed, parts)
+    ledger.drop_partitions(spark, f"{base}/gold", ledger.outside(
+        done.changed, touched.select(*parts).distinct(), parts), parts)
+    sinks.write_parquet(enriched(touched), f"{base}/gold", parts, rebalance=not small, dynamic=True)
+    return read_parquet(spark, f"{base}/gold", schema=(
+        "o_orderkey bigint, o_totalprice double, c_mktsegment string, ano string, mes string"))
+
+
+def silver_incremental(spark, d):
+    """A1 in the incremental ingest: orders arrive in three drops that overlap; keys seen
+    before are found in the stream's keyed state, and the first drop's row of a key stays."""
+    _start(spark)
+    base = scratch_path(spark, "silver_incremental")
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey"), "o_totalprice",
+        F.year("o_orderdate").cast("string").alias("ANO"))
+    schema = make_schema([(f.name, f.dataType) for f in orders.schema.fields])
+    rename = {"o_orderkey": "o_orderkey", "o_custkey": "cust", "o_totalprice": "price", "ANO": "ano"}
+    layout = CsvLayout(f"{base}/raw", schema, rename, glob="*.csv", recursive=True)
+    for drop in range(3):
+        rows = orders.where(F.col("o_orderkey") % 3 <= drop).withColumn(
+            "o_totalprice", F.col("o_totalprice") + drop)
+        # every order twice in a drop: the smaller price stays
+        sinks.write_csv(rows.union(rows.withColumn("o_totalprice", F.col("o_totalprice") + 0.5)),
+                        f"{base}/raw/{drop}", sep=";")
+        ingest_keyed(spark, [layout], lambda df: cleaning.fill_nulls(df, "Ano não informado", ["ano"]),
+                     f"{base}/silver", ["ano"], ["o_orderkey"], ["price"], sep=";",
+                     checkpoint=f"{base}/checkpoint").awaitTermination()
     return read_parquet(spark, f"{base}/silver", schema=(
-        "o_orderkey bigint, o_custkey bigint, o_totalprice double, ano string, mes string"))
+        "o_orderkey bigint, cust string, price double, ano string"))
 
 
 def gold_flow(spark, d):
@@ -557,13 +742,12 @@ def airports_flow(spark, d):
 
 
 def page_to_csv_flow(spark, d):
-    """The third table of the chosen pages (those of one site) -> CSV -> all
-    string read-back -> clean-up -> Parquet -> read-back."""
+    """The third table of every page -> CSV -> all string read-back -> clean-up ->
+    Parquet -> read-back."""
     _start(spark)
     base = scratch_path(spark, "page_to_csv_flow")
-    pages = table(spark, d, "pages")
-    chosen = pages_with_tables(pages.where(F.col("url").contains("example.com")))
-    rows = extract_tables(chosen, "html", keep=["page_id"], table_index=2)
+    rows = extract_tables(pages_with_tables(table(spark, d, "pages")), "html", keep=["page_id"],
+                          table_index=2)
     sinks.write_csv(table_columns(rows, {"part_no": "part_no", "part": "part"}, keep=["page_id"],
                                   required=True), f"{base}/raw")
     silver = refine_dimension(read_csv(spark, f"{base}/raw"),
@@ -634,6 +818,9 @@ def gold_enriched(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan_typed": csv_scan_typed,
     "csv_scan_variant_union": csv_scan_variant_union,
+    "csv_scan_mixed_layouts": csv_scan_mixed_layouts,
+    "csv_scan_positional": csv_scan_positional,
+    "csv_scan_rejects": csv_scan_rejects,
     "csv_scan_header_strings": csv_scan_header_strings,
     "file_discovery": file_discovery,
     "csv_write_roundtrip": csv_write_roundtrip,
@@ -642,6 +829,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_pruned_read": partition_pruned_read,
     "parquet_overwrite": parquet_overwrite,
     "row_count": row_count,
+    "row_count_footers": row_count_footers,
     "write_count": write_count,
     "select_rename": select_rename,
     "clean_headers": clean_headers_q,
@@ -654,9 +842,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "left_join_dimension": left_join_dimension,
     "left_join_unique_dimension": left_join_unique_dimension,
     "lookup_null_and_hot_keys": lookup_null_and_hot_keys,
+    "lookup_measured_hot_keys": lookup_measured_hot_keys,
+    "lookup_pruned_dimension": lookup_pruned_dimension,
+    "lookup_colocated": lookup_colocated,
     "role_playing_join": role_playing_join,
     "dedup_subset": dedup_subset,
     "dedup_null_keys": dedup_null_keys,
+    "dedup_rare_keys": dedup_rare_keys,
     "dedup_rows": dedup_rows,
     "union_by_name": union_by_name_q,
     "clean_keys": clean_keys,
@@ -666,7 +858,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_flag": delay_flag,
     "silver_movements": silver_movements,
     "silver_movements_rerun": silver_movements_rerun,
+    "silver_incremental": silver_incremental,
     "silver_dimension": silver_dimension,
+    "gold_changed_partitions": gold_changed_partitions,
     "gold_flow": gold_flow,
     "airports_flow": airports_flow,
     "page_to_csv_flow": page_to_csv_flow,
@@ -689,7 +883,7 @@ ORACLE_SQL: dict[str, str] = {
     "csv_scan_header_strings": (
         "SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, "
         "o_orderstatus FROM orders"),
-    "file_discovery": "SELECT * FROM nation WHERE n_regionkey <> 4",
+    "file_discovery": "SELECT * FROM orders WHERE o_orderkey % 5 <> 4",
     "csv_write_roundtrip": "SELECT * FROM supplier",
     "html_table_extract": (
         "SELECT page_id, i::VARCHAR AS part_no, NULLIF(parts[i], '') AS part FROM ("
@@ -756,7 +950,7 @@ ORACLE_SQL: dict[str, str] = {
     "dedup_rows": "SELECT DISTINCT * FROM lineitem",
     "union_by_name": (
         "SELECT * FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL "
-        "SELECT * FROM orders WHERE o_orderkey % 2 = 0"),
+        "SELECT * FROM orders WHERE o_orderkey % 3 < 2"),
     "clean_keys": "SELECT p_partkey, trim(p_name) AS p_key FROM part",
     "lookup_null_and_hot_keys": (
         "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE l_orderkey % 3 WHEN 1 THEN "
@@ -766,8 +960,44 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM l LEFT JOIN p ON k = part_key"),
     "silver_movements_rerun": (
         "SELECT o_orderkey, o_custkey, o_totalprice, coalesce(CASE WHEN o_orderkey % 7 <> 0 THEN "
-        "year(o_orderdate)::VARCHAR END, 'Ano não informado') AS ano, " + _MONTHS +
-        "[month(o_orderdate)] AS mes FROM orders WHERE year(o_orderdate) IN (1995, 1996)"),
+        "year(o_orderdate)::VARCHAR END, 'Ano não informado') AS ano, coalesce(" + _MONTHS +
+        "[month(o_orderdate)], '" + airport.MONTH_DEFAULT + "') AS mes FROM orders"),
+    "gold_changed_partitions": (
+        "SELECT o_orderkey, o_totalprice, c_mktsegment, coalesce(CASE WHEN o_orderkey % 7 <> 0 THEN "
+        "year(o_orderdate)::VARCHAR END, 'Ano não informado') AS ano, coalesce(" + _MONTHS +
+        "[month(o_orderdate)], '" + airport.MONTH_DEFAULT + "') AS mes FROM orders "
+        "LEFT JOIN customer ON o_custkey = c_custkey"),
+    "silver_incremental": (
+        "SELECT o_orderkey, o_custkey::VARCHAR AS cust, o_totalprice + o_orderkey % 3 AS price, "
+        "coalesce(year(o_orderdate)::VARCHAR, 'Ano não informado') AS ano FROM orders"),
+    "csv_scan_mixed_layouts": "SELECT * FROM orders",
+    "csv_scan_positional": "SELECT * FROM orders",
+    "csv_scan_rejects": (
+        "WITH r AS (SELECT *, o_orderkey % 13 = 0 AS short, o_orderkey % 11 = 0 AS odd FROM orders), "
+        "c AS (SELECT count(*) FILTER (NOT short AND NOT odd) AS n_good, "
+        "count(*) FILTER (short OR odd) AS n_bad FROM r) "
+        "SELECT o_orderkey, o_orderstatus, CASE WHEN NOT short AND NOT odd THEN o_totalprice END AS "
+        "o_totalprice, CASE WHEN short THEN o_orderkey::VARCHAR || ';' || o_orderstatus WHEN odd THEN "
+        "o_orderkey::VARCHAR || ';' || o_orderstatus || ';12,x' END AS text, true AS known_file, "
+        "n_good, n_bad FROM r, c"),
+    "row_count_footers": "SELECT count(*) AS n FROM lineitem",
+    "lookup_measured_hot_keys": (
+        "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey % 6 < 2 THEN 1 "
+        "WHEN l_orderkey % 6 = 2 THEN 2 WHEN l_orderkey % 6 < 5 THEN l_partkey END::BIGINT AS k "
+        "FROM lineitem) SELECT l.*, p_partkey::BIGINT AS part_key, p_name FROM l LEFT JOIN part "
+        "ON k = p_partkey"),
+    "lookup_pruned_dimension": (
+        "WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN o_custkey END AS o_custkey "
+        "FROM orders) SELECT o.*, c_custkey, c_name, c_mktsegment FROM o LEFT JOIN customer "
+        "ON o_custkey = c_custkey"),
+    "lookup_colocated": (
+        "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey::BIGINT AS l_partkey, CASE WHEN "
+        "l_orderkey % 6 < 2 THEN 1 WHEN l_orderkey % 6 < 5 THEN l_partkey END::BIGINT AS k "
+        "FROM lineitem) SELECT l.*, p_partkey::BIGINT AS part_key, p_name FROM l LEFT JOIN part "
+        "ON k = p_partkey"),
+    "dedup_rare_keys": (
+        "SELECT * REPLACE (CASE WHEN o_orderkey % 100 = 0 THEN o_totalprice - 1 ELSE o_totalprice "
+        "END AS o_totalprice) FROM orders"),
     "gold_flow": (
         "WITH f AS (SELECT *, CASE l_returnflag WHEN 'A' THEN l_suppkey WHEN 'R' THEN "
         "l_linenumber END AS k_from, CASE l_returnflag WHEN 'R' THEN l_suppkey WHEN 'A' THEN "
@@ -785,8 +1015,7 @@ ORACLE_SQL: dict[str, str] = {
     "page_to_csv_flow": (
         "SELECT DISTINCT page_id::VARCHAR AS page_id, i::VARCHAR AS no, NULLIF(trim(parts[i]), '') "
         "AS part FROM (SELECT page_id, string_split(url, '/') AS parts, "
-        "unnest(generate_series(1, len(string_split(url, '/')))) AS i FROM pages "
-        "WHERE contains(url, 'example.com'))"),
+        "unnest(generate_series(1, len(string_split(url, '/')))) AS i FROM pages)"),
     "single_file_check_flow": (
         "SELECT o_orderkey AS order_id, coalesce(nullif(o_orderstatus, 'P'), 'Não informado') AS "
         "status, -1.0::DOUBLE AS total, CASE month(o_orderdate) WHEN 1 THEN 'Janeiro' ELSE "
@@ -813,7 +1042,7 @@ ORACLE_SQL: dict[str, str] = {
         "AS mes FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate "
         "ORDER BY o_orderkey, o_orderstatus, o_totalprice) = 1"),
     "silver_dimension": (
-        "SELECT DISTINCT n_name AS code, n_regionkey::VARCHAR AS region_code FROM nation"),
+        "SELECT DISTINCT p_partkey::VARCHAR AS code, p_name AS part_name FROM part"),
     "gold_enriched": (
         "WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_shipdate, "
         "o_orderdate, c_nationkey, s_nationkey FROM lineitem LEFT JOIN orders ON "

@@ -30,12 +30,13 @@ from tidylake.functions.time import seconds_of_day
 from tidylake.operators import dedup, enrich, joins
 from tidylake.operators.cleaning import clean_columns, fill_nulls, replace_values
 from tidylake.operators.projection import select_renamed
-from tidylake.plans.layers import (LabelRule, enrich_fact, refine_dimension, refine_fact,
-                                   touched_partitions)
+from tidylake.plans import ledger as ledgers
+from tidylake.plans.layers import (LabelRule, changed_only, enrich_fact, refine_dimension,
+                                   refine_fact, touched_partitions)
 from tidylake.schema import make_schema, reorder
 from tidylake.sources.csv import CsvLayout, encode_path, read_csv, read_layouts
 from tidylake.sources.html_tables import extract_tables, table_columns
-from tidylake.sources.layouts import discover_layouts
+from tidylake.sources.mixed import read_mixed
 from tidylake.sources.parquet import read_parquet
 
 S, I, D, TS = "string", "int", "double", "timestamp"
@@ -181,7 +182,7 @@ def _combine_clock(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def clean_movements(df: DataFrame, parity: bool = False) -> DataFrame:
+def clean_movements(df: DataFrame, parity: bool = False, deduplicate: bool = True) -> DataFrame:
     """Silver rules on raw movements already renamed to silver names."""
     if not parity:
         df = _combine_clock(df)
@@ -190,8 +191,12 @@ def clean_movements(df: DataFrame, parity: bool = False) -> DataFrame:
         df, fills=MOVEMENT_FILLS,
         labels=[LabelRule("mes", MONTH_LABELS, MONTH_DEFAULT, key_type="int"),
                 LabelRule("natureza_operacao", NATURE_LABELS, nature_default)],
-        dedup_keys=MOVEMENT_DEDUP_KEYS,
-        dedup_order=[] if parity else ["numero_voo", "aeroporto_ref"])
+        dedup_keys=MOVEMENT_DEDUP_KEYS if deduplicate else None,
+        dedup_order=_dedup_order(parity))
+
+
+def _dedup_order(parity: bool) -> list[str]:
+    return [] if parity else ["numero_voo", "aeroporto_ref"]
 
 
 def _year_folders(root: str, years: Sequence[str]) -> str:
@@ -228,14 +233,15 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
                         parity: bool = False, strict_header: bool = True,
                         discover: bool = True, dynamic: bool = False,
                         encoding: str = "utf-8", filesystem: Mapping[str, object] | None = None,
-                        all_years: Sequence[str] = MOVEMENT_YEARS) -> int:
+                        all_years: Sequence[str] = MOVEMENT_YEARS, ledger: str | None = None,
+                        changes: tuple[str, str] | None = None) -> int:
     """Raw movement CSVs -> silver, partitioned by year and month name.
 
-    ``discover=True`` finds the column layouts from the files' header lines
-    (any number of layouts, no list of exceptions); ``discover=False`` uses
-    the declared ``variant_files`` names, as the original did.  Every file's
-    header is also checked by the scan itself (``strict_header``), so an
-    undeclared layout fails instead of being misread.
+    ``discover=True`` reads files of any column layouts in one scan, by a table of
+    the files' header lines (``sources.read_mixed``); ``discover=False`` uses
+    the declared ``variant_files`` names, as the original did, and one scan per layout,
+    which checks every file's header (``strict_header``).  A header that does not fit
+    fails either way instead of being misread.
 
     ``dynamic`` re-runs ``years`` and keeps the other partitions.  A partition is
     named by its rows, not by their folder, so the run first finds the partitions
@@ -244,23 +250,42 @@ def movements_to_silver(spark: SparkSession, raw_root: str, silver_path: str,
     folders, come out as in a full run.  A partition that no file feeds any more
     stays until the next full run.  The default replaces the whole table.
 
+    With ``ledger`` (a path) each run keeps a ledger of which file feeds which
+    partition (``plans.ledger``): a ``dynamic`` run then reads only the files that feed
+    partitions it has to rewrite, and drops those that nothing feeds any more.
+    Duplicates are then looked for within a partition; rows of one date and time key with
+    two years or months, a contradiction in the raw data, all stay.  ``changes`` (a run's
+    name and a path) also logs the partitions that the run rewrote or dropped.
+
     ``encoding`` is the raw files' character set (header discovery decodes the
     same way), ``filesystem`` is passed to ``sources.file_headers``.  Returns the
     rows written.
     """
     root = raw_root.rstrip("/")
 
+    def mixed(paths: str | Sequence[str], **more) -> DataFrame:
+        return read_mixed(spark, paths, movement_schema(parity), MOVEMENT_COLUMNS, sep=";",
+                          null_value="null", encoding=encoding, filesystem=filesystem, **more)
+
     def cleaned(of: Sequence[str]) -> DataFrame:
         if discover:
-            layouts = discover_layouts(spark, root, movement_schema(parity), MOVEMENT_COLUMNS,
-                                       sep=";", include=_year_folders(root, of),
-                                       encoding=encoding, filesystem=filesystem)
+            raw = mixed(root, include=_year_folders(root, of))
         else:
-            layouts = movement_layouts(root, of, variant_files, parity)
-        raw = read_layouts(spark, layouts, sep=";", null_value="null",
-                           strict_header=strict_header, encoding=encoding)
+            raw = read_layouts(spark, movement_layouts(root, of, variant_files, parity), sep=";",
+                               null_value="null", strict_header=strict_header, encoding=encoding)
         return clean_movements(raw, parity)
 
+    if ledger is not None:
+        known = list(dict.fromkeys([*years, *all_years])) if dynamic else list(years)
+        done = ledgers.run(
+            spark, silver_path, ledger, {y: f"{root}/{y}" for y in known},
+            lambda paths: clean_movements(mixed(paths, file="__tidylake_file"), parity, False),
+            MOVEMENT_PARTITIONS, MOVEMENT_DEDUP_KEYS, _dedup_order(parity),
+            only=list(years) if dynamic else None)
+        if changes is not None:
+            ledgers.log_changes(changes[0], done.changed, changes[1])
+        return done.rows
+
     if not dynamic:
         silver = cleaned(years)
     else:
@@ -315,9 +340,16 @@ def measure_dimensions(service_types: DataFrame, airports: DataFrame) -> list[bo
     return joins.measure(service_types, airports)
 
 
-# labels that replaced nulls: keys that may hold a large share of the movements
-HOT_SERVICE = [text for text, cols in MOVEMENT_FILLS if "tipo_servico" in cols]
-HOT_AIRPORT = [text for text, cols in MOVEMENT_FILLS if "aeroporto_ref" in cols]
+def hot_movement_keys(movements: DataFrame, services_small: bool, airports_small: bool
+                      ) -> tuple[list, list]:
+    """Service types and airports that hold a large share of the movements, found by one
+    aggregate, for the joins that will shuffle: busy airports and the labels of missing
+    values alike.  An airport is a key in either role."""
+    if services_small and airports_small:
+        return [], []
+    services, own, other = joins.heavy_keys(movements, "tipo_servico", "aeroporto_ref",
+                                            "aeroporto_outro")
+    return services, sorted(set(own) | set(other))
 
 
 def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: DataFrame,
@@ -331,6 +363,7 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
     # a later dedup only shrinks them, so the bounds still hold
     services_small, airports_small = small or measure_dimensions(service_types, airports)
     movements = clean_columns(movements, ["tipo_servico", "aeroporto_ref", "aeroporto_outro"])
+    hot_services, hot_airports = hot_movement_keys(movements, services_small, airports_small)
     service_types = clean_columns(service_types, ["cod_tipo_servico"])
     airports = clean_columns(airports, ["aeroporto_icao"])
     if unique_dimensions:
@@ -338,7 +371,7 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
     steps = [
         partial(joins.lookup, dim=service_types, fact_key="tipo_servico",
                 dim_key="cod_tipo_servico", unique=unique_dimensions, small=services_small,
-                hot_keys=HOT_SERVICE),
+                hot_keys=hot_services),
         partial(enrich.weekday_column, column="data_manobra", labels=WEEKDAY_LABELS,
                 out="dia_semana", default=WEEKDAY_DEFAULT),
         partial(enrich.date_range_flag, column="data_manobra", low=DECREE_START,
@@ -350,30 +383,45 @@ def enrich_movements(movements: DataFrame, service_types: DataFrame, airports: D
                 out_from="aeroporto_partida", out_to="aeroporto_chegada"),
         partial(joins.role_lookup, dim=airports, fact_key="aeroporto_partida",
                 dim_key="aeroporto_icao", mapping=DEPARTURE_COLUMNS, small=airports_small,
-                hot_keys=HOT_AIRPORT),
+                hot_keys=hot_airports),
         partial(joins.role_lookup, dim=airports, fact_key="aeroporto_chegada",
                 dim_key="aeroporto_icao", mapping=ARRIVAL_COLUMNS, small=airports_small,
-                hot_keys=HOT_AIRPORT),
+                hot_keys=hot_airports),
     ]
     return enrich_fact(movements, steps)
 
 
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str,
                    unique_dimensions: bool = False, dynamic: bool = False,
-                   years: Sequence[str] | None = None) -> int:
+                   years: Sequence[str] | None = None,
+                   changes: tuple[str, str] | None = None) -> int:
     """Read the three silver tables, enrich, write gold partitioned; row count.
 
     ``years`` restricts the run to those silver partitions (pruned folders);
-    with ``dynamic`` only the gold partitions written are replaced.
+    with ``dynamic`` only the gold partitions written are replaced.  ``changes`` (a run's
+    name and the table of changes that ``movements_to_silver`` keeps) restricts the run to
+    the partitions which that run changed: they are pruned at run time, replaced in gold,
+    and dropped there if silver no longer has them.
     """
     root = silver_root.rstrip("/")
     movements = read_parquet(spark, f"{root}/movements", schema=silver_movement_schema())
     if years:
         movements = movements.where(F.col("ano").isin(list(years)))
+    changed = None
+    if changes is not None:
+        dynamic = True
+        changed = spark.read.schema("ano string, mes string, run string").parquet(changes[1]).where(
+            F.col("run") == changes[0])
+        movements = changed_only(movements, changed, MOVEMENT_PARTITIONS)
     service_types = read_parquet(spark, f"{root}/service_types")
     airports = read_parquet(spark, f"{root}/airports")
     small = measure_dimensions(service_types, airports)
     gold = enrich_movements(movements, service_types, airports, unique_dimensions, small)
+    if changed is not None:
+        left = movements.select(*MOVEMENT_PARTITIONS).distinct()
+        ledgers.drop_partitions(spark, gold_path, ledgers.outside(
+            changed.select(*MOVEMENT_PARTITIONS).distinct(), left, MOVEMENT_PARTITIONS),
+            MOVEMENT_PARTITIONS)
     # Silver is read folder by folder (every file belongs to one ano/mes): while
     # the dimensions are broadcast, each task writes into few gold folders, and a
     # rebalance would shuffle the widest table for nothing.  After a shuffle join

@@ -83,3 +83,14 @@ def touched_partitions(full: DataFrame, part: DataFrame, partition_by: Sequence[
     touched = part.select(*[ref(c).alias(f"__tidylake_{c}") for c in partition_by]).distinct()
     same = reduce(and_, [ref(c).eqNullSafe(F.col(f"__tidylake_{c}")) for c in partition_by])
     return full.join(touched, same, "left_semi")
+
+
+def changed_only(table: DataFrame, changed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a partitioned table in the partitions that ``changed`` lists.
+
+    ``changed`` (one row per folder) is broadcast and its values prune the table's folders
+    at run time; for that it must be a filtered table (one run of a table of changes) and
+    its partition values not null."""
+    listed = changed.select(*[ref(c).alias(f"__tidylake_{c}") for c in partition_by])
+    same = reduce(and_, [ref(c) == F.col(f"__tidylake_{c}") for c in partition_by])
+    return table.join(F.broadcast(listed), same, "left_semi")

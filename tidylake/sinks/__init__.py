@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidylake.sources.csv import split_rejects
+
 
 def _counted(df: DataFrame, count: bool):
     if not count:
@@ -61,3 +63,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return obs.get["rows"] if obs is not None else None
+
+
+def write_with_rejects(df: DataFrame, path: str, rejects_path: str, corrupt: str,
+                       file: str | None = None, partition_by: Sequence[str] = (),
+                       **options) -> tuple[int, int]:
+    """Write the good rows of a scan as Parquet and its malformed rows, with their file and
+    text, as a second Parquet table; the numbers of both.
+
+    ``df`` comes from ``read_csv`` or ``read_mixed`` with ``corrupt`` (and ``file``).  Each
+    output is one pass over the scan, so the rejects are written without holding rows."""
+    good, rejects = split_rejects(df, corrupt, file)
+    return (write_parquet(good, path, partition_by, count=True, **options),
+            write_parquet(rejects, rejects_path, count=True))

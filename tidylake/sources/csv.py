@@ -9,14 +9,16 @@ nulls, extra fields are dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidylake.operators.projection import select_renamed
+from tidylake.operators.projection import ref, select_renamed
 from tidylake.operators.union import union_by_name
 from tidylake.schema import make_schema
 
@@ -25,7 +27,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
              header: bool = True, null_value: str | None = None,
              strict_header: bool = False, glob: str | None = None,
              recursive: bool = False, exclude: Iterable[str] = (),
-             include: str | None = None, **options) -> DataFrame:
+             include: str | None = None, corrupt: str | None = None, file: str | None = None,
+             **options) -> DataFrame:
     """Read CSV files (a path, a directory, a glob or a list of those).
 
     * ``schema`` - explicit schema (``StructType``, field tuples or DDL) in the
@@ -40,7 +43,17 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
     * ``include`` - regular expression a file's path must match (e.g. the
       wanted year folders).  Like ``exclude`` it is a filter on the hidden
       ``_metadata`` column, which Spark applies per file before reading.
+    * ``corrupt`` - adds a column with the text of each malformed row (a bad number or
+      time, missing or extra cells), null for good ones; every cell is then parsed,
+      whatever columns are selected.  See :func:`split_rejects`.
+    * ``file`` - adds a column with the path of the file that the row is from.
     """
+    if corrupt is not None:
+        if schema is None:
+            raise ValueError("rows can be malformed only under a schema")
+        fields = make_schema(schema).fields
+        schema = T.StructType([*fields, T.StructField(corrupt, T.StringType())])
+        options = {"columnNameOfCorruptRecord": corrupt, **options}
     reader = spark.read.option("header", header).option("sep", sep)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
@@ -55,7 +68,26 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, sep:
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     if include:
         df = df.where(F.col("_metadata.file_path").rlike(include))
-    return exclude_files(df, exclude)
+    df = exclude_files(df, exclude)
+    if corrupt is not None:
+        # the reader parses only columns that a query refers to: this refers to all, and is
+        # always the column itself
+        touched = F.xxhash64(*[ref(f.name) for f in fields])
+        df = df.withColumn(corrupt, F.coalesce(ref(corrupt), F.when(touched == 0, ref(corrupt))))
+    return df.withColumn(file, F.col("_metadata.file_path")) if file else df
+
+
+def split_rejects(df: DataFrame, corrupt: str, file: str | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
+    """The good rows, without the columns ``corrupt`` and ``file``, and the rejected ones:
+    ``file`` (if given), ``text`` (the row as it is in the file) and ``parsed`` (what could
+    be read of it)."""
+    own = [c for c in df.columns if c not in (corrupt, file)]
+    good = df.where(ref(corrupt).isNull()).select(*[ref(c) for c in own])
+    rejects = df.where(ref(corrupt).isNotNull()).select(
+        *([ref(file).alias("file")] if file else []), ref(corrupt).alias("text"),
+        F.struct(*[ref(c) for c in own]).alias("parsed"))
+    return good, rejects
 
 
 def exclude_files(df: DataFrame, exclude: Iterable[str]) -> DataFrame:
@@ -153,6 +185,12 @@ def read_layouts(spark: SparkSession, layouts: Sequence[CsvLayout], sep: str = "
     return union_by_name(frames)
 
 
+def literal_path(file: str) -> str:
+    """A path that reads exactly the file that ``_metadata.file_path`` spells so: decoded,
+    and with the characters of path patterns escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(file))
+
+
 def string_schema(names: Sequence[str]) -> T.StructType:
     """All-string schema for the given column names."""
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])

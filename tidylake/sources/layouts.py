@@ -59,8 +59,9 @@ def _first_line(path: str, encoding: str, options: Mapping[str, object] = {}) ->
 
 def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.csv",
                  recursive: bool = True, include: str | None = None, encoding: str = "utf-8",
-                 filesystem: Mapping[str, object] | None = None) -> DataFrame:
-    """``(path, header)`` for every matching file.
+                 filesystem: Mapping[str, object] | None = None, uri: bool = False) -> DataFrame:
+    """``(path, header)`` for every matching file; with ``uri`` also ``file``, the
+    path as ``_metadata.file_path`` spells it.
 
     Spark lists the files; tasks read the first line of each through
     ``pyarrow.fs`` (local, HDFS, S3, ...), so what is read does not grow with a
@@ -71,19 +72,19 @@ def file_headers(spark: SparkSession, root: str | Sequence[str], glob: str = "*.
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    files = reader.load(root if isinstance(root, str) else list(root)).select("path")
+    names = ["path", *(["file"] if uri else [])]
+    files = reader.load(root if isinstance(root, str) else list(root)).select(
+        "path", F.col("_metadata.file_path").alias("file")).select(*names)
     if include:
         files = files.where(F.col("path").rlike(include))
     options = dict(filesystem or {})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            paths = pdf["path"].tolist()
-            yield pd.DataFrame({"path": paths,
-                                "header": [_first_line(p, encoding, options) for p in paths]})
+            yield pdf.assign(header=[_first_line(p, encoding, options) for p in pdf["path"]])
 
-    return files.mapInPandas(run, T.StructType([T.StructField("path", T.StringType()),
-                                                T.StructField("header", T.StringType())]))
+    return files.mapInPandas(run, T.StructType([T.StructField(n, T.StringType())
+                                                for n in [*names, "header"]]))
 
 
 def _names(header: str, sep: str) -> list[str]:
