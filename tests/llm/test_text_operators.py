@@ -216,3 +216,22 @@ def test_only_asked_columns_are_read(spark):
 
 def test_lower_is_ascii_only():
     assert "ÀB".translate(LOWER) == "Àb"
+
+
+def test_files_are_in_the_order_of_their_parts(spark):
+    from pyspark.sql import functions as F
+    names = [f"part-{i:05d}-x.c000.zstd.parquet" for i in (0, 99_998, 99_999, 100_000, 100_001, 1_000_000)]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "file string, place int")
+    got = df.orderBy(token_output.part_number(F.col("file"))).select("place").collect()
+    assert [r.place for r in got] == list(range(6)) and sorted(names) != names
+
+
+def test_remembered_chunks_are_bounded_by_bytes(monkeypatch):
+    with open(BYTES, encoding="utf-8") as f:
+        encoder = token_output.Encoder(f.read(), 2).prepare()
+    texts = [prose(80, i) for i in range(30)]
+    want = encoder.encode(texts)
+    monkeypatch.setattr(token_output, "REMEMBERED_BYTES", 3000)
+    for text, ids in zip(texts, want):
+        assert encoder.encode([text]) == [ids]
+        assert encoder.held <= 3000 + 300 * len(text.split()) and (encoder.held > 0) == bool(encoder.known)

@@ -15,12 +15,13 @@ from one sum per file.
 The library encodes chunks: runs of letters (with the space before) and what
 lies between.  In byte-level vocabularies no token spans the border of two
 chunks, so a chunk has the same ids anywhere; ids of chunks met before are
-remembered.  Texts with characters outside the Latin range, and texts that hold
+remembered, up to a number of bytes.  Texts with characters outside the Latin range, and texts that hold
 a special token, are encoded whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -28,13 +29,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidylake.llm.common import ref
 
-REMEMBERED_CHUNKS = 800_000
+#: Bytes of chunks and their ids that a task remembers.
+REMEMBERED_BYTES = 160_000_000
 BATCH_CHUNKS = 20_000
 RUN_WORDS = 500
 _SPACE = "\u0120"  # stands for a space in byte-level vocabularies
@@ -74,12 +76,15 @@ class Encoder:
 
     def prepare(self) -> "Encoder":
         if self.tokenizer is None:
+            # a task has one core: the library's own threads would only wait for each other
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
             self.tokenizer = Tokenizer.from_str(self.spec)
             self.tokenizer.no_padding()
             self.tokenizer.no_truncation()
             added = self.tokenizer.get_added_tokens_decoder().values()
             self.specials = [str(t.content) for t in added]
             self.known: dict[str, bytes] = {}
+            self.held = 0
             tokens = self.tokenizer.get_vocab(with_added_tokens=False)
             self.spaced = np.zeros(max(tokens.values()) + 1, bool)
             self.spaced[[i for t, i in tokens.items() if t.startswith(_SPACE)]] = True
@@ -112,7 +117,8 @@ class Encoder:
         found: list[list[bytes | None]] = []
         missing: set[str] = set()
         for text in texts:
-            if any(s in text for s in self.specials) or not _PLAIN.fullmatch(text):
+            if any(s in text for s in self.specials) or not (
+                    text.isascii() or _PLAIN.fullmatch(text)):
                 pieces.append([])
                 found.append(self._library([text]))
                 continue
@@ -123,18 +129,22 @@ class Encoder:
             pieces.append(chunks)
             found.append(ids)
         words = [p for p in missing if p[0] == " " and p[1:].isalpha()]
-        known.update(zip(words, self._words(words)))
+        new = list(zip(words, self._words(words)))
+        known.update(new)
         others = [p for p in missing if p not in known]
         for at in range(0, len(others), BATCH_CHUNKS):
             part = others[at:at + BATCH_CHUNKS]
-            known.update(zip(part, self._library(part)))
+            new += zip(part, self._library(part))
+        known.update(new)
+        self.held += sum([170 + len(p) + len(x) for p, x in new])
         out = []
         for chunks, ids in zip(pieces, found):
             if None in ids:
                 ids = [known[c] if x is None else x for c, x in zip(chunks, ids)]
             out.append(b"".join(ids) + self.end)
-        if len(known) > REMEMBERED_CHUNKS:
+        if self.held > REMEMBERED_BYTES:
             known.clear()
+            self.held = 0
         return out
 
 
@@ -197,12 +207,19 @@ def read_tokens(spark: SparkSession, out: str,
         *columns, "first", F.col("_metadata.file_name").alias("file"))
 
 
+def part_number(file: Column) -> Column:
+    """The number of a file in the order of the partitions that were written."""
+    return F.regexp_extract(file, r"^part-(\d+)", 1).cast("long")
+
+
 def placed(rows: DataFrame, out: str) -> DataFrame:
     """``rows`` of :func:`read_tokens` with ``start``, the ids of all documents
     before each, for ``first`` and ``file``."""
     totals = rows.sparkSession.read.parquet(out).groupBy(
         F.col("_metadata.file_name").alias("file")).agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # by the part's number: beyond 100,000 parts the names are not in its order
+    before = Window.orderBy(part_number(F.col("file")), "file").rowsBetween(
+        Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return rows.join(starts, "file").withColumn(
         "start", (F.col("base") + F.col("first")).cast("long")).drop("base", "first", "file")
