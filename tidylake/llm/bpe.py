@@ -17,7 +17,7 @@ Decoding takes each id's bytes from one blob by an offset table.
 
 The vocabulary is a file of the tokenizers library, given by its path; it is
 read once on the driver and sent to the tasks (its size is that of the file).
-Words are remembered per Python worker, up to a fixed number.
+Words are remembered per Python worker, up to a number of bytes.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ from tokenizers.pre_tokenizers import Split
 
 from tidylake.llm.common import ref
 
-REMEMBERED_WORDS = 300_000
-REMEMBERED_PAIRS = 1_000_000
+#: Bytes of words, of chunks and of their ids that a worker remembers, and pairs.
+REMEMBERED_BYTES = 64_000_000
+REMEMBERED_PAIRS = 250_000
 SLICE_BYTES = 4_000_000
 _ENDED = 0x1000  # added to a word's last symbol
 
@@ -138,6 +139,7 @@ class Codec:
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.held = 0
         # tokens that BPE never makes of their own text are no candidates
         usable = {t: i for t, i in self.units.items() if self._self_made(i)}
         self.automaton = ahocorasick.Automaton()
@@ -240,9 +242,8 @@ class Codec:
                 units = units[:-1] + chr(ord(units[-1]) + _ENDED)
                 ids = np.array(self.word(units), "<u4").tobytes()
                 if len(word) < 64:
-                    if len(words) >= REMEMBERED_WORDS:
-                        words.clear()
                     words[word] = ids
+                    self.held += 170 + 2 * len(word) + len(ids)
             out.append(ids)
         return out
 
@@ -259,9 +260,12 @@ class Codec:
             if ids is None:
                 ids = self._chunk(chunk)
                 if len(chunk) < 64:
-                    if len(chunks) >= REMEMBERED_WORDS:
-                        chunks.clear()
                     chunks[chunk] = ids
+                    self.held += 170 + 2 * len(chunk) + len(ids)
+                    if self.held > REMEMBERED_BYTES:
+                        chunks.clear()
+                        self.words.clear()
+                        self.held = 0
             out.append(ids)
         return np.frombuffer(b"".join(out), "<u4").astype(np.int64)
 
@@ -299,6 +303,7 @@ def _mapped(df: DataFrame, column: str, name: str, kind: str, path: str, values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared.value.prepare()
+        pa.default_memory_pool().release_unused()  # what earlier tasks of the worker left
         for batch in _batches(batches):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], values(codec, batch.column(len(kinds)))],

@@ -16,8 +16,10 @@ number of other documents that it is linked with.
 4. Token-group matrix: each component is a group, and other sets are grouped by
    their most common shingle.  Per group the union of its members' prefix
    shingles is stored (rarest first, a set's first quarter meets any partner's),
-   so the matrix names the queries that can have a link in another group at all;
-   of two groups, the sets of the smaller are the queries.  Groups are opened in
+   with the sizes of the sets that hold each and the most shingles that follow it there,
+   so the matrix names the queries that can have a link in another group at all: a
+   shingle counts only if the sizes allow a link and enough shingles follow it on both
+   sides; of two groups, the sets of the smaller are the queries.  Groups are opened in
    blocks of bounded size: a query is bounded by its overlap with the block's
    token union, and only where that suffices are the members counted.  Every group is
    opened to its own sets too, so that each pair that can be linked meets once;
@@ -30,6 +32,7 @@ a spanning forest of their links and, per set, the number of documents met.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -157,8 +160,8 @@ def _tokens_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def _shared(sets: DataFrame, tokens: DataFrame) -> DataFrame:
     """Sets that may have a partner, by the full count: ``set_id, n, copies, tokens``
-    (shingles that other sets hold too, sorted), ``prefix`` and ``common`` (the
-    most common shingle)."""
+    (shingles that other sets hold too, sorted), ``prefix`` (its rarest shingles, and how
+    many shingles follow each, itself included) and ``common`` (the most common shingle)."""
     rows = tokens.select("set_id", F.explode("tokens").alias("token"))
     often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     lists = rows.join(often, "token").groupBy("set_id").agg(
@@ -168,7 +171,8 @@ def _shared(sets: DataFrame, tokens: DataFrame) -> DataFrame:
     spare = F.size("ordered") - _needed(F.col("n")) + 1
     return kept.select(
         "set_id", "n", "copies", F.array_sort(F.col("ordered.token")).alias("tokens"),
-        F.slice(F.col("ordered.token"), F.lit(1), spare.cast("int")).alias("prefix"),
+        F.transform(F.slice("ordered", F.lit(1), spare.cast("int")), lambda t, i: F.struct(
+            t["token"].alias("token"), (F.size("ordered") - i).alias("left"))).alias("prefix"),
         F.element_at("ordered", -1)["token"].alias("common"))
 
 
@@ -267,6 +271,11 @@ def _grouped(sets: DataFrame, found: DataFrame) -> DataFrame:
             F.xxhash64("component", F.lit("whole"))).alias("group"))
 
 
+def _band(size: str) -> Column:
+    """Sizes that a link allows are in the same or a neighbouring band."""
+    return F.floor(F.log(F.col(size).cast("double")) / math.log(100 / PERCENT + 0.01)).cast("int")
+
+
 def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame:
     """``a, b, met``: links (``met`` is 0) between sets of different
     components, by the token-group matrix; if ``counting``, of all sets, and rows
@@ -276,17 +285,26 @@ def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame
     counts = checkpointed(grouped.groupBy("group").agg(
         F.count(F.lit(1)).alias("members"),
         (F.max("loose") | F.lit(counting)).alias("asks_itself")))
-    prefixes = grouped.select("set_id", "group", F.explode("prefix").alias("token"))
-    matrix = prefixes.select("token", "group").distinct()
+    prefixes = grouped.select("set_id", "group", "n", F.explode("prefix").alias("at")).select(
+        "set_id", "group", "n", "at.token", "at.left")
+    matrix = prefixes.groupBy("token", "group").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("left"))
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    # the matrix: only shingles that can join two groups, with the groups' sizes
+    # the matrix: only shingles that can join two groups, with the groups' sizes, the sizes
+    # of their sets with the shingle and the most that can follow it in one of them
     matrix = checkpointed(matrix.join(several.select("token"), "token").join(
         counts.select("group", "members"), "group"))
-    other = matrix.select("token", F.col("group").alias("other"),
-                          F.col("members").alias("other_members"))
-    queries = prefixes.join(matrix, ["token", "group"]).join(other, "token").where(
-        "members < other_members or (members = other_members and group < other)").select(
-        "set_id", F.col("other").alias("group")).distinct().withColumn("inside", F.lit(False))
+    other = matrix.select(
+        "token", F.explode(F.sequence(_band("least") - 1, _band("most") + 1)).alias("band"),
+        *[F.col(c).alias(f"other_{c}") for c in ("group", "members", "least", "most", "left")])
+    askers = prefixes.join(matrix.select("token", "group", "members"), ["token", "group"])
+    # of two linked sets with their first common shingle here, neither is too large for the
+    # other, and what follows it suffices for their overlap
+    queries = askers.withColumn("band", _band("n")).join(other, ["token", "band"]).where(
+        "(members < other_members or (members = other_members and group < other_group))"
+        f" and 100 * n >= {PERCENT} * other_least and 100 * other_most >= {PERCENT} * n"
+        f" and {100 + PERCENT} * least(left, other_left) >= {PERCENT} * (n + other_least)").select(
+        "set_id", F.col("other_group").alias("group")).distinct().withColumn("inside", F.lit(False))
     # a group that asks itself and is larger than a block
     large = counts.where(F.col("asks_itself") & (F.col("members") > BLOCK_SETS)).select("group")
     inside = grouped.join(large, "group").select("set_id", "group", F.lit(True).alias("inside"))

@@ -47,7 +47,7 @@ VARIED, VARIANT_WEIGHT = 200, 0.2
 SPAN, DECAY = 6, 0.85
 REGULAR = 1e-4
 THRESHOLD = 0.7
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000  # of under 64 characters: at most 60 MB
 GROUP_CHARS = 2_000_000
 WINDOW = 48  # longer words are read in overlapping windows
 
