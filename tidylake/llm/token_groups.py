@@ -160,8 +160,8 @@ def _tokens_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def _shared(sets: DataFrame, tokens: DataFrame) -> DataFrame:
     """Sets that may have a partner, by the full count: ``set_id, n, copies, tokens``
-    (shingles that other sets hold too, sorted), ``prefix`` (its rarest shingles, and how
-    many shingles follow each, itself included) and ``common`` (the most common shingle)."""
+    (shingles that other sets hold too, sorted), ``prefix`` (the rarest, rarest first) and
+    ``common`` (the most common shingle)."""
     rows = tokens.select("set_id", F.explode("tokens").alias("token"))
     often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     lists = rows.join(often, "token").groupBy("set_id").agg(
@@ -171,8 +171,7 @@ def _shared(sets: DataFrame, tokens: DataFrame) -> DataFrame:
     spare = F.size("ordered") - _needed(F.col("n")) + 1
     return kept.select(
         "set_id", "n", "copies", F.array_sort(F.col("ordered.token")).alias("tokens"),
-        F.transform(F.slice("ordered", F.lit(1), spare.cast("int")), lambda t, i: F.struct(
-            t["token"].alias("token"), (F.size("ordered") - i).alias("left"))).alias("prefix"),
+        F.slice(F.col("ordered.token"), F.lit(1), spare.cast("int")).alias("prefix"),
         F.element_at("ordered", -1)["token"].alias("common"))
 
 
@@ -285,8 +284,11 @@ def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame
     counts = checkpointed(grouped.groupBy("group").agg(
         F.count(F.lit(1)).alias("members"),
         (F.max("loose") | F.lit(counting)).alias("asks_itself")))
-    prefixes = grouped.select("set_id", "group", "n", F.explode("prefix").alias("at")).select(
-        "set_id", "group", "n", "at.token", "at.left")
+    # left: the set's shingles from this one on
+    prefixes = grouped.select(
+        "set_id", "group", F.col("n").cast("int").alias("n"), F.size("tokens").alias("shared"),
+        F.posexplode("prefix").alias("place", "token")).select(
+        "set_id", "group", "n", "token", (F.col("shared") - F.col("place")).alias("left"))
     matrix = prefixes.groupBy("token", "group").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("left"))
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
