@@ -14,9 +14,11 @@ from one sum per file.
 
 The library encodes chunks: runs of letters (with the space before) and what
 lies between.  In byte-level vocabularies no token spans the border of two
-chunks, so a chunk has the same ids anywhere; ids of chunks met before are
-remembered, up to a number of bytes.  Texts with characters outside the Latin range, and texts that hold
-a special token, are encoded whole.
+chunks, so a chunk has the same ids anywhere.  The chunks of a batch are found and
+hashed (64 bits) over one array of its characters; ids are looked up once per
+distinct chunk, those of chunks met before are remembered, up to a number of bytes,
+and gathered by numpy.  Texts with characters outside the Latin range, and texts that
+hold a special token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidylake.llm.common import ref
+from tidylake.llm.shingles import _BASE, _DOWN, _INVERSE, _UP, _mix, _power
 
 #: Bytes of chunks and their ids that a task remembers.
 REMEMBERED_BYTES = 160_000_000
@@ -54,14 +57,37 @@ WRITER = {
     "compression": "zstd",
 }
 
-# Runs of letters with at most one space before, and what lies between.  Neither
-# an apostrophe nor white space may end a chunk that a letter follows: what the
-# library makes of them depends on that letter.
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-_CHUNK = re.compile(rf" ?[{_LETTER}]+(?:'[{_LETTER}]+)*"
-                    rf"|(?:(?! ?[{_LETTER}])[\s\S])+(?:(?<=['\s])[{_LETTER}]+)?")
-# a character beyond these may be a letter that continues a run
+# Kinds of Latin characters; any other may be a letter that continues a run.
+_OTHER, _LETTER, _SPACE_KIND, _APOSTROPHE, _WHITE = range(5)
 _PLAIN = re.compile(r"[\x00-\x7F\xA1-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF-\u024F]*")
+_KIND = np.array([_SPACE_KIND if c == " " else _APOSTROPHE if c == "'" else _WHITE if c.isspace()
+                  else _LETTER if c.isalpha() else _OTHER for c in map(chr, range(0x250))], np.int8)
+
+
+def _starts(kind: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where chunks begin; ``first`` marks the first characters of texts.
+
+    A chunk begins at a space before a letter, at what follows a run of letters, and at a
+    letter that follows neither a letter nor an apostrophe nor white space: what the
+    library makes of the last two depends on the letter behind them."""
+    before, after = np.roll(kind, 1), np.roll(kind, -1)
+    after[np.roll(first, -1)] = _OTHER
+    letter = kind == _LETTER
+    start = first | ((kind == _SPACE_KIND) & (after == _LETTER))
+    start |= (before == _LETTER) & ~letter & (kind != _APOSTROPHE)
+    start |= letter & (before == _OTHER)
+    return np.flatnonzero(start)
+
+
+def _hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of characters that begin at ``starts``."""
+    n = len(points)
+    total = np.zeros(n + 1, np.uint64)
+    mixed = _mix((points.astype(np.uint64) + np.uint64(1)) * _BASE)
+    np.cumsum(mixed * _power(_UP, _BASE, n), out=total[1:])
+    ends = np.append(starts[1:], n)
+    return _mix((total[ends] - total[starts]) * _power(_DOWN, _INVERSE, n)[starts]
+                + (ends - starts).astype(np.uint64) * _BASE)
 
 
 class Encoder:
@@ -83,7 +109,7 @@ class Encoder:
             self.tokenizer.no_truncation()
             added = self.tokenizer.get_added_tokens_decoder().values()
             self.specials = [str(t.content) for t in added]
-            self.known: dict[str, bytes] = {}
+            self.known: dict[int, bytes] = {}  # by the chunk's hash
             self.held = 0
             tokens = self.tokenizer.get_vocab(with_added_tokens=False)
             self.spaced = np.zeros(max(tokens.values()) + 1, bool)
@@ -110,42 +136,71 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each whole text, the end id appended."""
-        known = self.known
-        pieces: list[list[str]] = []
-        found: list[list[bytes | None]] = []
-        missing: set[str] = set()
-        for text in texts:
-            if any(s in text for s in self.specials) or not (
-                    text.isascii() or _PLAIN.fullmatch(text)):
-                pieces.append([])
-                found.append(self._library([text]))
-                continue
-            chunks = _CHUNK.findall(text)
-            ids = list(map(known.get, chunks))
-            if None in ids:
-                missing.update([c for c, x in zip(chunks, ids) if x is None])
-            pieces.append(chunks)
-            found.append(ids)
-        words = [p for p in missing if p[0] == " " and p[1:].isalpha()]
-        new = list(zip(words, self._words(words)))
-        known.update(new)
-        others = [p for p in missing if p not in known]
-        for at in range(0, len(others), BATCH_CHUNKS):
-            part = others[at:at + BATCH_CHUNKS]
-            new += zip(part, self._library(part))
-        known.update(new)
-        self.held += sum([170 + len(p) + len(x) for p, x in new])
-        out = []
-        for chunks, ids in zip(pieces, found):
-            if None in ids:
-                ids = [known[c] if x is None else x for c, x in zip(chunks, ids)]
-            out.append(b"".join(ids) + self.end)
+    def _chunks(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of the distinct chunks of plain texts, the chunks in order as places in
+        these, and where each text's chunks end."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        text = "".join(texts)
+        if not text:
+            return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        first = np.zeros(len(points), bool)
+        first[(ends - sizes)[sizes > 0]] = True
+        starts = _starts(_KIND[points], first)
+        hashes, at, place = np.unique(_hashes(points, starts), return_index=True, return_inverse=True)
+        keys = hashes.tolist()
+        ids = list(map(self.known.get, keys))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            low = starts[at[missing]]
+            high = np.append(starts, len(points))[at[missing] + 1]
+            strings = [text[a:b] for a, b in zip(low.tolist(), high.tolist())]
+            words = [i for i, c in enumerate(strings) if c[0] == " " and c[1:].isalpha()]
+            others = [i for i, c in enumerate(strings) if not (c[0] == " " and c[1:].isalpha())]
+            new = list(zip(words, self._words([strings[i] for i in words])))
+            for a in range(0, len(others), BATCH_CHUNKS):
+                part = others[a:a + BATCH_CHUNKS]
+                new += zip(part, self._library([strings[i] for i in part]))
+            for i, found in new:
+                ids[missing[i]] = found
+                self.known[keys[missing[i]]] = found
+            self.held += sum([180 + len(x) for _, x in new])
+        return ids, place, np.searchsorted(starts, ends)
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, the end id after each, in one array; how many each has."""
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.specials)
+                 or not (t.isascii() or _PLAIN.fullmatch(t))]
+        odd = set(whole)
+        entries, place, ends = self._chunks([t for i, t in enumerate(texts) if i not in odd])
+        end = len(entries)
+        entries = [*entries, self.end, *self._library([texts[i] for i in whole])]
+        # the texts' chunks one after the other, each followed by the end id
+        parts, plain, at, n = [], 0, 0, end + 1
+        for i in range(len(texts)):
+            if i in odd:
+                parts.append(np.array([n, end]))
+                n += 1
+            else:
+                parts += [place[at:ends[plain]], np.array([end])]
+                at, plain = ends[plain], plain + 1
+        order = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+        lengths = np.array([len(x) // 4 for x in entries], np.int64)
+        blob, first = np.frombuffer(b"".join(entries), "<u4"), np.cumsum(lengths) - lengths
+        own = lengths[order]
+        upto = np.cumsum(own)
+        values = blob[np.repeat(first[order] - (upto - own), own) + np.arange(upto[-1] if len(upto) else 0)]
+        counts = np.diff(upto[order == end], prepend=0)
         if self.held > REMEMBERED_BYTES:
-            known.clear()
+            self.known.clear()
             self.held = 0
-        return out
+        return values, counts
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each whole text, the end id appended."""
+        values, counts = self.flat(texts)
+        return [x.tobytes() for x in np.split(values, np.cumsum(counts)[:-1])] if texts else []
 
 
 def encode_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
@@ -165,15 +220,13 @@ def encode_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 while at + len(piece) < len(texts) and size < BATCH_CHARS:
                     piece.append(texts[at + len(piece)].as_py() or "")
                     size += len(piece[-1])
-                found = encoder.encode(piece)
-                counts = np.array([len(x) // 4 for x in found], np.int64)
+                values, counts = encoder.flat(piece)
                 ends = np.cumsum(counts)
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
-                values = np.frombuffer(b"".join(found), "<u4").view("<i4")
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, len(piece)), pa.array(place + ends - counts),
                      pa.array(counts),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view("<i4")))],
                     names=["doc_id", "first", "n_tokens", "ids"])
                 place += int(ends[-1])
                 at += len(piece)
