@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from tests.llm.helpers import LOWER, WORD, empty, odd_documents, prose
 from tidylake.llm import components, shingles, token_groups, topk, url_filter
@@ -220,3 +221,18 @@ def test_bloom_filter_has_no_false_negatives_and_few_false_positives(spark):
     hits = url_filter.listed_hits(urls, listed)
     assert hits.count() == listed.count() == possible.join(listed, "url", "left_semi").count()
     assert possible.count() < listed.count() + 0.02 * 20_000
+
+
+@pytest.mark.parametrize("size", [2.0**18, 2.0**21, 2.0**22.4, 2.0**23])
+def test_top_k_is_exact_up_to_64_bits_and_beyond(spark, size):
+    """Components of 2**26 to 2**31: scores of up to 2**62, about 2**63, and more."""
+    size = float(int(size))
+    rows = [(0, [size, size])] + [(i, [size - i % 4, size - i // 4]) for i in range(1, 13)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    own = [256 * int(x) for x in rows[0][1]]
+    exact = sorted(((-sum(a * 256 * int(x) for a, x in zip(own, v)), i) for i, v in rows[1:]))[:3]
+    got = topk.top_k(df, df.where("vec_id = 0"), 3).orderBy("rank").collect()
+    assert {r.vec_id for r in got} == {i for _, i in exact}
+    assert [r.score for r in got] == [min(-s, 2**63 - 1) for s, _ in exact]
+    if -exact[0][0] < 2**63:
+        assert [r.vec_id for r in got] == [i for _, i in exact]

@@ -29,7 +29,7 @@ BLOCK_QUERIES = 2048
 SLICE = 512
 SCHEMA = "query_id long, rank int, vec_id long, score long"
 _EXACT = 2.0**53
-_FAR = 2**61  # scores are held at +- this
+_FAR = 2**63 - 1  # returned scores are held at +- this
 
 
 def quantised(column: pa.Array, scale: float) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -74,13 +74,21 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows of ``a`` and ``b``; those beyond
-    +-2**61 are held there."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] < _EXACT:
+    """Integer inner products of all rows of ``a`` and ``b``, exact: as doubles, as 64-bit
+    integers or, where these do not suffice, as Python integers."""
+    reach = float(np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1])
+    if reach < _EXACT:
         return (a @ b.T).astype(np.int64)
-    whole = [[min(max(sum(int(x) * int(y) for x, y in zip(p, q)), -_FAR), _FAR) for q in b]
-             for p in a]
-    return np.array(whole, np.int64).reshape(len(a), len(b))
+    if reach < 2.0**61:
+        return a.astype(np.int64) @ b.T.astype(np.int64)
+    whole = [np.array([[int(x) for x in row] for row in m.tolist()], object).reshape(m.shape)
+             for m in (a, b)]
+    return whole[0] @ whole[1].T
+
+
+def _long(scores: np.ndarray) -> pa.Array:
+    return pa.array([min(max(int(s), -_FAR), _FAR) for s in scores] if scores.dtype == object
+                    else scores, pa.int64())
 
 
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -120,7 +128,7 @@ class _Block:
             offset = scores - self.low[:, None]
             inside = (offset >= 0) & (offset < self.span[:, None]) & ~own
             bins = offset // self.width[:, None]
-            total += np.bincount((rows + bins)[inside], minlength=n * BINS)
+            total += np.bincount((rows + bins)[inside].astype(np.int64), minlength=n * BINS)
         total = total.reshape(n, BINS)
         above = np.cumsum(total[:, ::-1], axis=1)[:, ::-1] - total
         q, b = np.nonzero((total > 0) & (above < self.need[:, None]))
@@ -136,7 +144,7 @@ class _Block:
             over = (scores > self.low[:, None]) & ~own
             q, c = np.nonzero(over)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(self.ids[q]), pa.array(ids[c]), pa.array(scores[q, c])],
+                [pa.array(self.ids[q]), pa.array(ids[c]), _long(scores[q, c])],
                 names=["query_id", "vec_id", "score"])
             at, c = np.nonzero((scores == self.low[:, None]) & ~own)
             for i in np.unique(at):
@@ -144,7 +152,7 @@ class _Block:
         for i, found in ties.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(found), self.ids[i])), pa.array(found),
-                 pa.array(np.full(len(found), self.low[i]))],
+                 _long(np.full(len(found), self.low[i], self.low.dtype))],
                 names=["query_id", "vec_id", "score"])
 
 
@@ -166,7 +174,7 @@ def _select(block: _Block, rows: DataFrame) -> DataFrame:
                  .select("q", "bin", (F.col("need") - F.col("upto") + F.col("n")).alias("need"))
                  .toPandas())
         # a query with fewer than k candidates has no k-th score: all are taken
-        low, span = np.full(len(block.ids), -_FAR - 1), np.zeros(len(block.ids), np.int64)
+        low, span = block.low - 1, np.zeros_like(block.span)
         need_left = block.need.copy()
         for q, b, n in zip(found["q"], found["bin"], found["need"]):
             width = block.width[q]
@@ -187,8 +195,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
     """``query_id, rank, vec_id, score``: the ``k`` rows of ``vectors`` with the
     highest inner product with each row of ``queries``, ties to the smaller id.
 
-    Components are ``floor(scale * x)``, so scores are exact integers (held at
-    +-2**61 beyond that).  Rows of the query's own id are no candidates.
+    Components are ``floor(scale * x)``, so scores are exact integers; the rows are
+    chosen by these, and a score that 64 bits cannot hold is returned as +-(2**63 - 1).  Rows of the query's own id are no candidates.
     Rows with a null id or vector, or a null or non-finite component, take no
     part; vectors of another length are no candidates for a query.  Repeated
     candidates count each; of queries that share an id the smallest vector is
@@ -217,8 +225,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
                 piece = held.slice(at, BLOCK_QUERIES).combine_chunks()
                 ids = piece["id"].to_numpy()
                 matrix = _matrix(piece["parts"].combine_chunks(), dim)
-                bound = np.array([min(int(np.abs(q).sum()) * int(largest), _FAR) for q in matrix],
-                                 np.int64)
+                reach = [sum(abs(int(x)) for x in q) * int(largest) for q in matrix.tolist()]
+                bound = np.array(reach, np.int64 if max(reach) < 2**61 else object)
                 block = _Block(ids, matrix, k, -bound, 2 * bound + 1,
                                np.full(len(ids), k, np.int64))
                 (_select(block, same).withColumn("rank", F.row_number().over(order))
