@@ -143,6 +143,21 @@ def test_bpe_pairs_agree_with_merges(codec):
         assert codec._compatible(a, b) == (parts == [a, b])
 
 
+def test_bpe_remembers_what_it_meets_again(monkeypatch, library):
+    """A full memory drops what was not met again, and stays within its bytes."""
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 40_000)
+    codec, asked, rng = bpe.load(WORDS).prepare(), [], random.Random(3)
+    encode_word = codec.word
+    monkeypatch.setattr(codec, "word", lambda units: asked.append(units) or encode_word(units))
+    for _ in range(200):
+        made = ["".join(rng.choice("abcdeé") for _ in range(9)) for _ in range(10)]
+        text = " ".join(["hello", "Hello,", "éternels", "world's<|endoftext|>", *made])
+        assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        held = [m for name, m in vars(codec).items() if name.endswith(("words", "chunks"))]
+        assert sum(170 + 2 * len(t) + len(ids) for m in held for t, ids in m.items()) < 41_000
+    assert len(asked) > 1500 and len(asked) - len(set(asked)) <= 5
+
+
 def test_bpe_odd_rows(spark, library):
     df = odd_documents(spark)
     got = bpe.digests(df, WORDS).collect()

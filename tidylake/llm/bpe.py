@@ -17,13 +17,15 @@ Decoding takes each id's bytes from one blob by an offset table.
 
 The vocabulary is a file of the tokenizers library, given by its path; it is
 read once on the driver and sent to the tasks (its size is that of the file).
-Words are remembered per Python worker, up to a number of bytes.
+Words are remembered per Python worker, up to a number of bytes, in two generations:
+when the younger is full, the older goes, except for what was met again meanwhile.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -39,7 +41,7 @@ from tokenizers.pre_tokenizers import Split
 from tidylake.llm.common import ref
 
 #: Bytes of words, of chunks and of their ids that a worker remembers, and pairs.
-REMEMBERED_BYTES = 64_000_000
+REMEMBERED_BYTES = 128_000_000
 REMEMBERED_PAIRS = 250_000
 SLICE_BYTES = 4_000_000
 _ENDED = 0x1000  # added to a word's last symbol
@@ -126,7 +128,7 @@ class Codec:
     def __getstate__(self):
         return {**self.__dict__, "_ready": False, "automaton": None, "split": None,
                 "special_split": None, "pairs": None, "words": None, "chunks": None,
-                "library": None}
+                "older_words": None, "older_chunks": None, "library": None}
 
     def prepare(self) -> "Codec":
         """Build what is not sent: the automaton and the caches."""
@@ -139,7 +141,9 @@ class Codec:
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
-        self.held = 0
+        self.older_words: dict[str, bytes] = {}
+        self.older_chunks: dict[str, bytes] = {}
+        self.held = 0  # bytes of the younger generation
         # tokens that BPE never makes of their own text are no candidates
         usable = {t: i for t, i in self.units.items() if self._self_made(i)}
         self.automaton = ahocorasick.Automaton()
@@ -186,38 +190,79 @@ class Codec:
             longest[end + 1 - length[token]] = token  # later ends are longer
         out: list[int] = []
         failed = bytearray(n + 1)
-        at, token = 0, longest[0]
+        at, last, token = 0, -1, longest[0]
         while True:
             end = at + length[token]
             good = not failed[end]
-            if good and out:
-                key = out[-1] << 32 | token
+            if good and last >= 0:
+                key = last << 32 | token
                 good = pairs.get(key)
                 if good is None:
                     if len(pairs) >= REMEMBERED_PAIRS:
                         pairs.clear()
-                    good = pairs[key] = self._compatible(out[-1], token)
+                    good = pairs[key] = self._compatible(last, token)
             if good:
                 out.append(token)
                 if end == n:
                     return out
-                at, token = end, longest[end]
+                at, last, token = end, token, longest[end]
                 continue
             token = shorter[token]
             while token < 0:
                 failed[at] = 1
-                last = out.pop()
+                out.pop()
                 at -= length[last]
                 token = shorter[last]
+                last = out[-1] if out else -1
+
+    def _remember(self, text: str, ids: bytes, word: bool) -> None:
+        """Keep the ids of a word or chunk; a full generation becomes the older one."""
+        if len(text) >= 64:
+            return
+        (self.words if word else self.chunks)[text] = ids
+        self.held += 170 + 2 * len(text) + len(ids)
+        if self.held > REMEMBERED_BYTES // 2:
+            self.older_chunks, self.chunks = self.chunks, {}
+            self.older_words, self.words = self.words, {}
+            self.held = 0
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a run of text without white space."""
-        parts, at = [], 0
-        for m in self.special_split.finditer(chunk):
-            parts += self._plain(chunk[at:m.start()])
-            parts.append(self.specials[m.group()].to_bytes(4, "little"))
-            at = m.end()
-        return b"".join(parts + self._plain(chunk[at:]))
+        ids = self.chunks.get(chunk)  # met since the text's first look
+        if ids is not None:
+            return ids
+        ids = self.older_chunks.pop(chunk, None)
+        if ids is None:
+            if not self.special_split.search(chunk):
+                words = self._split(chunk)
+                if words == [chunk] and chunk.isascii():
+                    return self._word(chunk)  # remembered there
+                ids = b"".join([self._word(w) for w in words])
+            else:
+                parts, at = [], 0
+                for m in self.special_split.finditer(chunk):
+                    parts += [self._word(w) for w in self._split(chunk[at:m.start()])]
+                    parts.append(self.specials[m.group()].to_bytes(4, "little"))
+                    at = m.end()
+                ids = b"".join(parts + [self._word(w) for w in self._split(chunk[at:])])
+        self._remember(chunk, ids, False)
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a normalised word.  A word of ASCII is remembered with the chunks: as a
+        chunk it is this one word."""
+        plain = word.isascii()
+        ids = (self.chunks if plain else self.words).get(word)
+        if ids is None:
+            ids = (self.older_chunks if plain else self.older_words).pop(word, None)
+            if ids is None:
+                symbols = self.symbols  # a letter of ASCII is its own
+                units = word if plain and word.isalpha() else "".join(
+                    [symbols[b] for b in word.encode("utf-8", "replace")])
+                found = self.word(units[:-1] + chr(ord(units[-1]) + _ENDED))
+                ids = struct.pack(f"<{len(found)}I", *found)
+            self._remember(word, ids, not plain)
+        return ids
 
     def _split(self, text: str) -> list[str]:
         """Normalised words of a run of text without white space."""
@@ -233,40 +278,17 @@ class Codec:
         # lower case goes by single characters: no rule for a final sigma
         return self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
-    def _plain(self, text: str) -> list[bytes]:
-        symbols, words, out = self.symbols, self.words, []
-        for word in self._split(text):
-            ids = words.get(word)
-            if ids is None:
-                units = "".join([symbols[b] for b in word.encode("utf-8", "replace")])
-                units = units[:-1] + chr(ord(units[-1]) + _ENDED)
-                ids = np.array(self.word(units), "<u4").tobytes()
-                if len(word) < 64:
-                    words[word] = ids
-                    self.held += 170 + 2 * len(word) + len(ids)
-            out.append(ids)
-        return out
-
     def encode(self, text: str) -> np.ndarray:
         """Token ids of a whole text."""
-        chunks, out = self.chunks, []
         # these four are white space for str.split alone
         if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
             parts = regex.split(r"\s+", text)
         else:
             parts = text.split()
-        for chunk in parts:
-            ids = chunks.get(chunk)
+        out = list(map(self.chunks.get, parts))
+        for i, ids in enumerate(out):
             if ids is None:
-                ids = self._chunk(chunk)
-                if len(chunk) < 64:
-                    chunks[chunk] = ids
-                    self.held += 170 + 2 * len(chunk) + len(ids)
-                    if self.held > REMEMBERED_BYTES:
-                        chunks.clear()
-                        self.words.clear()
-                        self.held = 0
-            out.append(ids)
+                out[i] = self._chunk(parts[i])
         return np.frombuffer(b"".join(out), "<u4").astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
