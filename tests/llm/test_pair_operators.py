@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -6,6 +7,7 @@ import pytest
 
 from tests.llm.helpers import LOWER, WORD, empty, odd_documents, prose
 from tidylake.llm import components, shingles, token_groups, topk, url_filter
+from tidylake.llm.common import DROP_SHUFFLES
 
 
 def brute_sets(text):
@@ -110,6 +112,23 @@ def test_join_counts_every_link(spark, monkeypatch):
     assert {r["doc_id"]: r["n_links"] for r in got} == want
 
 
+def shuffle_bytes(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(f.stat().st_size for d in disk.localDirsString() for f in Path(d).rglob("shuffle_*.data"))
+
+
+def test_join_leaves_no_shuffle_files(spark):
+    """What a step has dealt out is gone when its result is stored."""
+    rows = [(i, prose(300, i % 150)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before, set_before = shuffle_bytes(spark), spark.conf.get(DROP_SHUFFLES, None)
+    join = token_groups.jaccard_join(df)
+    assert shuffle_bytes(spark) - before < 50_000
+    assert spark.conf.get(DROP_SHUFFLES, None) == set_before
+    assert {r["n_links"] for r in token_groups.clusters(join).collect()} == {1}
+    assert {r["component_id"] for r in token_groups.clusters(join).collect()} == set(range(150))
+
+
 def test_opened_returns_a_forest_of_exact_links():
     tokens = [np.arange(i, i + 20) for i in (0, 1, 2, 30)]
     block = pd.DataFrame({"set_id": [1, 2, 3, 4], "n": [20] * 4, "tokens": tokens})

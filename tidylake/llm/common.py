@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
 
+#: Whether a query's shuffle files go when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Columns of the documents table, in order.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -55,6 +58,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``checkpointed(df)``, but the shuffle files behind it go when it is done, and not
+    only when the driver next collects its garbage (Spark 4.1 on; before, as ever).  The
+    setting is the session's and stands while the checkpoint is written: a query that
+    another thread begins meanwhile drops its own files too, and would make them anew."""
+    conf = df.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES, None)
+    conf.set(DROP_SHUFFLES, "true")
+    try:
+        return checkpointed(df.select("*"))  # planned under the setting
+    finally:
+        if before is None:
+            conf.unset(DROP_SHUFFLES)
+        else:
+            conf.set(DROP_SHUFFLES, before)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with the broadcast hint if it holds at most ``max_rows`` rows of
     bounded width; otherwise unchanged (Spark then shuffles and splits hot

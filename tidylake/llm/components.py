@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidylake.llm.common import checkpointed
+from tidylake.llm.common import settled
 
 
 def _largest_first(links: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     step is a grouped minimum and an equi-join, so a node with very many links is
     never gathered in one place; a few rounds turn any component into a star.
     """
-    edges = checkpointed(_largest_first(links))
+    edges = settled(_largest_first(links))
     last = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -34,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
         edges = _largest_first(large.union(kept))
         smallest = edges.groupBy("a").agg(F.min("b").alias("m"))
         small = edges.join(smallest, "a")
-        edges = checkpointed(_largest_first(
+        edges = settled(_largest_first(
             small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
                 smallest.select("a", F.col("m").alias("b")))))
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidylake.llm.common import WORD_PATTERN, checkpointed, ref
+from tidylake.llm.common import WORD_PATTERN, ref, settled
 from tidylake.llm.components import components
 from tidylake.llm.shingles import shingle_set
 
@@ -280,8 +280,8 @@ def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame
     components, by the token-group matrix; if ``counting``, of all sets, and rows
     with b -1 and in ``met`` documents that a is linked with, to be summed.  Sets
     of the smaller group are the queries of a pair of groups."""
-    grouped = checkpointed(_grouped(sets, found))
-    counts = checkpointed(grouped.groupBy("group").agg(
+    grouped = settled(_grouped(sets, found))
+    counts = settled(grouped.groupBy("group").agg(
         F.count(F.lit(1)).alias("members"),
         (F.max("loose") | F.lit(counting)).alias("asks_itself")))
     # left: the set's shingles from this one on
@@ -294,7 +294,7 @@ def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
     # the matrix: only shingles that can join two groups, with the groups' sizes, the sizes
     # of their sets with the shingle and the most that can follow it in one of them
-    matrix = checkpointed(matrix.join(several.select("token"), "token").join(
+    matrix = settled(matrix.join(several.select("token"), "token").join(
         counts.select("group", "members"), "group"))
     other = matrix.select(
         "token", F.explode(F.sequence(_band("least") - 1, _band("most") + 1)).alias("band"),
@@ -310,10 +310,10 @@ def _group_links(sets: DataFrame, found: DataFrame, counting: bool) -> DataFrame
     # a group that asks itself and is larger than a block
     large = counts.where(F.col("asks_itself") & (F.col("members") > BLOCK_SETS)).select("group")
     inside = grouped.join(large, "group").select("set_id", "group", F.lit(True).alias("inside"))
-    queries = checkpointed(queries.union(inside))
+    queries = settled(queries.union(inside))
     asked = queries.groupBy("group").agg(F.count(F.lit(1)).alias("asked"))
     # a group is opened in blocks of members and parts of queries
-    plan = checkpointed(counts.join(asked, "group", "left").where(
+    plan = settled(counts.join(asked, "group", "left").where(
         "asked is not null or (asks_itself and members > 1)").select(
         "group", "asks_itself", F.ceil(F.col("members") / BLOCK_SETS).cast("long").alias("blocks"),
         F.ceil(F.coalesce("asked", F.lit(1)) / PART_QUERIES).cast("long").alias("parts")))
@@ -365,24 +365,24 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = df.select(ref(id_col).alias("doc_id"), ref(text_col).alias("text"),
                      F.xxhash64(ref(text_col)).alias("text_key"))
     kind = dict(docs.dtypes)["doc_id"]
-    documents = checkpointed(docs.select("doc_id", "text", "text_key").mapInArrow(
+    documents = settled(docs.select("doc_id", "text", "text_key").mapInArrow(
         _text_sets, f"doc_id {kind}, set_id long, n long, text_key long"))
     sets = documents.where("n > 0").groupBy("set_id").agg(
         F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("doc_id", "text_key")).alias("from")).select(
         "set_id", "n", "copies", "from.doc_id", "from.text_key")
-    chosen = checkpointed(_open_sets(docs, sets))
-    tokens = checkpointed(_tokens_of(docs, chosen))
-    candidates = checkpointed(_shared(chosen, tokens))
-    first = checkpointed(_pivot_links(candidates))
-    second = checkpointed(_group_links(candidates, components(first), counting))
+    chosen = settled(_open_sets(docs, sets))
+    tokens = settled(_tokens_of(docs, chosen))
+    candidates = settled(_shared(chosen, tokens))
+    first = settled(_pivot_links(candidates))
+    second = settled(_group_links(candidates, components(first), counting))
     links = first.union(second.where("b >= 0").select("a", "b"))
-    found = checkpointed(components(links)).select(
+    found = settled(components(links)).select(
         F.col("node").alias("of"), "component", F.lit(None).cast("long").alias("met"))
     if counting:
         none = F.lit(None).cast("long").alias("component")
         twins = documents.where("n > 0").groupBy("set_id").agg((F.count(F.lit(1)) - 1).alias("met"))
-        found = checkpointed(found.union(second.where("b < 0").select("a", none, "met")).union(
+        found = settled(found.union(second.where("b < 0").select("a", none, "met")).union(
             twins.where("met > 0").select("set_id", none, "met")).groupBy("of").agg(
             F.max("component").alias("component"), F.sum("met").alias("met")))
     n_links = F.coalesce("met", F.lit(0).cast("long")) if counting else F.lit(None).cast("long")
@@ -411,7 +411,7 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     alone = documents.where("n_shingles = 0").select("doc_id", "text_key")
     first = documents.where("n_shingles > 0").groupBy("component").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first")).select("first.*")
-    chosen = checkpointed(first.union(alone).distinct())
+    chosen = settled(first.union(alone).distinct())
     wanted = chosen.select(F.col("doc_id").alias("__tl_id"), F.col("text_key").alias("__tl_key"))
     if chosen.count() <= MAX_BROADCAST_SETS:
         wanted = F.broadcast(wanted)
