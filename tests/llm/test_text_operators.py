@@ -250,3 +250,28 @@ def test_remembered_chunks_are_bounded_by_bytes(monkeypatch):
     for text, ids in zip(texts, want):
         assert encoder.encode([text]) == [ids]
         assert encoder.held <= 3000 + 300 * len(text.split()) and (encoder.held > 0) == bool(encoder.known)
+
+
+def test_chunks_are_told_apart_by_their_text():
+    # a polynomial modulo 2**64 has one value for both of these runs, whatever its base
+    with open(BYTES, encoding="utf-8") as f:
+        spec = f.read()
+    texts = ["".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(1 << 12)) for flip in (0, 1)]
+    library = Tokenizer.from_str(spec)
+    got = token_output.Encoder(spec, 2).prepare().encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_a_full_memory_keeps_chunks_met_again(monkeypatch):
+    with open(BYTES, encoding="utf-8") as f:
+        encoder = token_output.Encoder(f.read(), 2).prepare()
+    asked = []
+    words, library = encoder._words, encoder._library
+    monkeypatch.setattr(encoder, "_words", lambda new: asked.extend(new) or words(new))
+    monkeypatch.setattr(encoder, "_library", lambda new: asked.extend(new) or library(new))
+    monkeypatch.setattr(token_output, "REMEMBERED_BYTES", 3000)
+    wants = [encoder.encode([f" often éa new{chr(97 + i)}"]) for i in range(26)]
+    assert asked.count(" often") == 1 and asked.count(" newa") == 1
+    assert encoder.encode([" often éa newa"]) == wants[0] and asked.count(" newa") == 2
+    assert asked.count(" often") == 1

@@ -14,10 +14,11 @@ from one sum per file.
 
 The library encodes chunks: runs of letters (with the space before) and what
 lies between.  In byte-level vocabularies no token spans the border of two
-chunks, so a chunk has the same ids anywhere.  The chunks of a batch are found and
-hashed (64 bits) over one array of its characters; ids are looked up once per
-distinct chunk, those of chunks met before are remembered, up to a number of bytes,
-and gathered by numpy.  Texts with characters outside the Latin range, and texts that
+chunks, so a chunk has the same ids anywhere.  The chunks of a batch are found over
+one array of its characters and told apart by Arrow's dictionary encoding; ids are
+looked up once per distinct chunk, those of chunks met before are remembered, up to a
+number of bytes in two generations (when the younger is full, the older goes, except for
+what was met again meanwhile), and gathered by numpy.  Texts with characters outside the Latin range, and texts that
 hold a special token, are encoded whole.
 """
 
@@ -36,9 +37,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidylake.llm.common import ref
-from tidylake.llm.shingles import _BASE, _DOWN, _INVERSE, _UP, _mix, _power
 
-#: Bytes of chunks and their ids that a task remembers.
+#: Bytes of chunks and their ids that a worker remembers.
 REMEMBERED_BYTES = 160_000_000
 BATCH_CHUNKS = 20_000
 RUN_WORDS = 500
@@ -79,15 +79,14 @@ def _starts(kind: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def _hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the runs of characters that begin at ``starts``."""
-    n = len(points)
-    total = np.zeros(n + 1, np.uint64)
-    mixed = _mix((points.astype(np.uint64) + np.uint64(1)) * _BASE)
-    np.cumsum(mixed * _power(_UP, _BASE, n), out=total[1:])
-    ends = np.append(starts[1:], n)
-    return _mix((total[ends] - total[starts]) * _power(_DOWN, _INVERSE, n)[starts]
-                + (ends - starts).astype(np.uint64) * _BASE)
+def distinct(data: bytes, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct ones of the runs of bytes that begin at ``starts``, and the place of
+    each run in these."""
+    offsets = np.append(starts, len(data)).astype(np.int64, copy=False)
+    runs = pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    found = runs.dictionary_encode()
+    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
 
 
 class Encoder:
@@ -109,8 +108,9 @@ class Encoder:
             self.tokenizer.no_truncation()
             added = self.tokenizer.get_added_tokens_decoder().values()
             self.specials = [str(t.content) for t in added]
-            self.known: dict[int, bytes] = {}  # by the chunk's hash
-            self.held = 0
+            self.known: dict[bytes, bytes] = {}  # by the chunk's UTF-8
+            self.older: dict[bytes, bytes] = {}
+            self.held = 0  # bytes of the younger generation
             tokens = self.tokenizer.get_vocab(with_added_tokens=False)
             self.spaced = np.zeros(max(tokens.values()) + 1, bool)
             self.spaced[[i for t, i in tokens.items() if t.startswith(_SPACE)]] = True
@@ -144,28 +144,38 @@ class Encoder:
         text = "".join(texts)
         if not text:
             return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        data = text.encode()
+        narrow = len(data) == len(text)
+        # plain characters beyond ASCII take two bytes in UTF-8, as any do in UTF-16
+        points = np.frombuffer(data, np.uint8) if narrow else np.frombuffer(
+            text.encode("utf-16-le"), "<u2")
         first = np.zeros(len(points), bool)
         first[(ends - sizes)[sizes > 0]] = True
         starts = _starts(_KIND[points], first)
-        hashes, at, place = np.unique(_hashes(points, starts), return_index=True, return_inverse=True)
-        keys = hashes.tolist()
-        ids = list(map(self.known.get, keys))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        if missing:
-            low = starts[at[missing]]
-            high = np.append(starts, len(points))[at[missing] + 1]
-            strings = [text[a:b] for a, b in zip(low.tolist(), high.tolist())]
-            words = [i for i, c in enumerate(strings) if c[0] == " " and c[1:].isalpha()]
-            others = [i for i, c in enumerate(strings) if not (c[0] == " " and c[1:].isalpha())]
-            new = list(zip(words, self._words([strings[i] for i in words])))
-            for a in range(0, len(others), BATCH_CHUNKS):
-                part = others[a:a + BATCH_CHUNKS]
-                new += zip(part, self._library([strings[i] for i in part]))
-            for i, found in new:
-                ids[missing[i]] = found
-                self.known[keys[missing[i]]] = found
-            self.held += sum([180 + len(x) for _, x in new])
+        at = starts
+        if not narrow:
+            wide = np.searchsorted(starts, np.flatnonzero(points >= 0x80), side="right")
+            at = starts + np.cumsum(np.bincount(wide, minlength=len(starts) + 1))[:-1]
+        keys, place = distinct(data, at)
+        ids, known, older = list(map(self.known.get, keys)), self.known, self.older
+        words, others, held = [], [], 0
+        for i in [i for i, x in enumerate(ids) if x is None]:
+            key = keys[i]
+            found = older.get(key)
+            if found is not None:
+                ids[i] = known[key] = found
+                held += 200 + len(key) + len(found)
+            elif key[0] == 32 and key[1:].decode().isalpha():
+                words.append(i)
+            else:
+                others.append(i)
+        new = self._words([keys[i].decode() for i in words])
+        for a in range(0, len(others), BATCH_CHUNKS):
+            new += self._library([keys[i].decode() for i in others[a:a + BATCH_CHUNKS]])
+        for i, found in zip(words + others, new):
+            ids[i] = known[keys[i]] = found
+            held += 200 + len(keys[i]) + len(found)
+        self.held += held
         return ids, place, np.searchsorted(starts, ends)
 
     def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -190,11 +200,12 @@ class Encoder:
         blob, first = np.frombuffer(b"".join(entries), "<u4"), np.cumsum(lengths) - lengths
         own = lengths[order]
         upto = np.cumsum(own)
-        values = blob[np.repeat(first[order] - (upto - own), own) + np.arange(upto[-1] if len(upto) else 0)]
+        places = np.repeat(first[order] - (upto - own), own)
+        places += np.arange(len(places))
+        values = blob[places]
         counts = np.diff(upto[order == end], prepend=0)
-        if self.held > REMEMBERED_BYTES:
-            self.known.clear()
-            self.held = 0
+        if self.held > REMEMBERED_BYTES // 2:
+            self.older, self.known, self.held = self.known, {}, 0
         return values, counts
 
     def encode(self, texts: list[str]) -> list[bytes]:
