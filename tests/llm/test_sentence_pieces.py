@@ -108,3 +108,26 @@ def test_words_cover_the_text(pieces):
         text = "".join(rnd.choice(PARTS) for _ in range(30))
         assert "".join(pieces.split(text)) == ("▁" + text.replace(" ", "▁") if text else "")
     assert np.array_equal(pieces.encode_batch([""])[0], [])
+
+
+def test_a_full_memory_keeps_words_met_again(monkeypatch, library):
+    import pyarrow as pa
+    pieces, asked = sentence_pieces.load(PATH), []
+    words = pieces.words
+    monkeypatch.setattr(pieces, "words", lambda new: asked.extend(new) or words(new))
+    monkeypatch.setattr(sentence_pieces, "REMEMBERED_BYTES", 3000)
+    texts = [f"often éa  new{chr(97 + i)}  " for i in range(26)] + ["often éa  newa  "]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t])], names=["text"]) for t in texts]
+    got = [ids.tolist() for _, found in sentence_pieces._encoded(pieces, iter(batches)) for ids in found]
+    assert got == [library.encode(t) for t in texts]
+    assert asked.count("▁often") == 1 and asked.count("▁▁") == 1
+    assert asked.count("▁▁newa") == 2 and asked.count("▁▁newz") == 1
+
+
+def test_word_borders_equal_the_split(pieces, library):
+    texts = ["", " ", "  a", "a  ", " a  b ", "▁a ▁ b▁", "\n \n", "é  日 ", "a", "", "  "]
+    for together in (texts, texts[::-1]):
+        got = pieces.encode_batch(together)
+        assert [ids.tolist() for ids in got] == [library.encode(t) for t in together]
+        assert len(got) == len(together)
+    assert pieces.encode_batch([]) == [] and pieces.encode_batch(["", ""])[1].tolist() == []

@@ -19,7 +19,11 @@ rounds would read it as often as it has merges.  Symbols that are no piece becom
 byte pieces.
 
 The model file's path is a parameter; the file is read once on the driver and sent to
-the tasks.  Words are remembered while a task runs, up to a number of bytes.
+the tasks.  The words of a batch are found over one array of its bytes and told apart by
+Arrow's dictionary encoding; their ids are looked up once per distinct word and gathered by
+numpy.  Words are remembered per Python worker, up to a number of bytes, in two
+generations: when the younger is full, the older goes, except for what was met again
+meanwhile.
 """
 
 from __future__ import annotations
@@ -36,12 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidylake.llm.bpe import joined, offset_table
-from tidylake.llm.common import ref
+from tidylake.llm.common import distinct, ref
 
 SPACE = "▁"  # stands for a space in pieces
 LONG_WORD = 256
-#: Bytes of words and ids that a task remembers, and of text that is encoded at once.
-REMEMBERED_BYTES = 48_000_000
+#: Bytes of words and ids that a worker remembers, and of text that is encoded at once.
+REMEMBERED_BYTES = 128_000_000
 SLICE_BYTES = 4_000_000
 _NONE = np.int64(2**62)
 # Kinds of pieces in a model file.
@@ -134,6 +138,7 @@ class Pieces:
         self.strings = offset_table(strings)
         self.numbers = offset_table([b"%d," % i for i in range(len(pieces))])
         self.plain = (kinds == _NORMAL) | (kinds == _BYTE)
+        self.memory = _Memory()
 
     # -- encoding ---------------------------------------------------------------
 
@@ -231,8 +236,9 @@ class Pieces:
         out[np.repeat(np.isin(np.arange(len(symbols)), odd), counts)] = np.concatenate(spelt)
         return out, np.repeat(word, counts)
 
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word (a text without spaces behind other characters)."""
+    def words(self, words: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each word (a text without spaces behind other
+        characters)."""
         text = "".join(words)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
         seen, place = np.unique(points, return_inverse=True)
@@ -262,9 +268,11 @@ class Pieces:
             order = np.argsort(of, kind="stable")
             kept, of = kept[order], of[order]
         if not len(kept):
-            return [kept] * len(words)
+            return [b""] * len(words)
         kept, of = self._ids(kept, word[np.flatnonzero(cut)][of])
-        return np.split(kept, np.searchsorted(of, np.arange(1, len(words))))
+        data = kept.astype("<u4").tobytes()
+        ends = (4 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
     def split(self, text: str) -> list[str]:
         """The words of a text, spaces shown as in pieces."""
@@ -273,15 +281,34 @@ class Pieces:
         text = text.replace(" ", SPACE)
         return _WORD.findall(SPACE + text if self.dummy_prefix else text)
 
-    def encode_batch(self, texts: list[str], memory: dict[str, bytes] | None = None
+    def encode_batch(self, texts: list[str], memory: "_Memory | None" = None
                      ) -> list[np.ndarray]:
         """Ids of whole texts; ``memory`` keeps the ids of words between calls."""
-        memory = {} if memory is None else memory
-        split = [self.split(t) for t in texts]
-        new = list({w for words in split for w in words if w not in memory})
-        memory.update(zip(new, [i.astype("<u4").tobytes() for i in self.words(new)]))
-        return [np.frombuffer(b"".join([memory[w] for w in words]), "<u4").astype(np.int64)
-                for words in split]
+        memory = _Memory() if memory is None else memory
+        # as in split, but a space is one byte
+        lead = " " if self.dummy_prefix else ""
+        parts = [(lead + t.replace(SPACE, " ")).encode() if t else b"" for t in texts]
+        data = b"".join(parts)
+        if not data:
+            return [np.zeros(0, np.int64) for _ in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        ends = np.cumsum(sizes)
+        space = np.frombuffer(data, np.uint8) == 32
+        start = space.copy()
+        start[1:] &= ~space[:-1]
+        start[(ends - sizes)[sizes > 0]] = True
+        starts = np.flatnonzero(start)
+        words, place = distinct(data, starts)
+        ids = memory.find(words)
+        new = [i for i, x in enumerate(ids) if x is None]
+        found = self.words([words[i].decode().replace(" ", SPACE) for i in new])
+        memory.update(zip([words[i] for i in new], found))
+        for i, x in zip(new, found):
+            ids[i] = x
+        blob, at = offset_table(ids)
+        flat = np.frombuffer(joined(blob.view("<u4"), at // 4, place), "<u4").astype(np.int64)
+        upto = np.cumsum(np.append(0, np.diff(at)[place] // 4))
+        return np.split(flat, upto[np.searchsorted(starts, ends)][:-1])
 
     # -- decoding ---------------------------------------------------------------
 
@@ -333,17 +360,30 @@ def load(path: str) -> Pieces:
 
 
 class _Memory(dict):
-    """Words of one task and their ids, emptied beyond a number of bytes."""
-
-    held = 0
+    """Words of one worker and their ids, the older generation beside the younger."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the younger generation
+
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids of each word, None for new ones; what is met again becomes younger."""
+        found = list(map(self.get, words))
+        again = [i for i, x in enumerate(found) if x is None and words[i] in self.older]
+        for i in again:
+            found[i] = self.older[words[i]]
+        self.update([(words[i], found[i]) for i in again])
+        return found
 
     def update(self, new) -> None:
         for word, ids in new:
             self[word] = ids
-            self.held += 200 + 4 * len(word) + len(ids)
+            self.held += 200 + len(word) + len(ids)
 
     def trim(self) -> None:
-        if self.held > REMEMBERED_BYTES:
+        if self.held > REMEMBERED_BYTES // 2:
+            self.older = self.copy()
             self.clear()
             self.held = 0
 
@@ -351,7 +391,7 @@ class _Memory(dict):
 def _encoded(pieces: Pieces, batches: Iterator[pa.RecordBatch]
              ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Parts of the batches, and the ids of their last column's texts."""
-    memory = _Memory()
+    memory = pieces.memory
     for batch in batches:
         texts = batch.column(batch.num_columns - 1)
         rows = max(1, int(len(batch) * SLICE_BYTES / max(texts.nbytes, 1)))

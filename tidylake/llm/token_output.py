@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidylake.llm.common import ref
+from tidylake.llm.common import distinct, ref
 
 #: Bytes of chunks and their ids that a worker remembers.
 REMEMBERED_BYTES = 160_000_000
@@ -79,16 +79,6 @@ def _starts(kind: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def distinct(data: bytes, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct ones of the runs of bytes that begin at ``starts``, and the place of
-    each run in these."""
-    offsets = np.append(starts, len(data)).astype(np.int64, copy=False)
-    runs = pa.Array.from_buffers(pa.large_binary(), len(starts),
-                                 [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    found = runs.dictionary_encode()
-    return found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
-
-
 class Encoder:
     """The tokenizers library with a memory for chunks of text."""
 
